@@ -28,32 +28,26 @@ def is_us_holiday(day: Column) -> Column:
     on a Sunday on the Monday after. Being a function of the date alone, the test
     needs neither a calendar join nor a pass to find the years in the data.
     """
-    month, dom, dow, year = F.month(day), F.dayofmonth(day), F.weekday(day), F.year(day)
-
-    def nth(mon: int, weekday: int, n: int) -> Column:
-        return (month == mon) & (dow == weekday) & dom.between(7 * n - 6, 7 * n)
-
-    def fixed(mon: int, date: int) -> Column:
-        return (
-            ((month == mon) & (dom == date))
-            | ((month == mon) & (dom == date + 1) & (dow == MONDAY))
-            | ((month == mon) & (dom == date - 1) & (dow == FRIDAY))
-        )
-
-    new_year_eve = (month == 12) & (dom == 31) & (dow == FRIDAY)
+    date = F.month(day) * 100 + F.dayofmonth(day)  # 704 is the fourth of July
+    weekday, year = F.weekday(day), F.year(day)
+
+    on_any_day = date.isin(101, 704, 1111, 1225) | ((date == 619) & (year >= 2021))
+    on_monday = (
+        (date.between(115, 121) & (year >= 1986))  # Martin Luther King Jr. Day
+        | date.between(215, 221)  # Washington's Birthday
+        | date.between(525, 531)  # Memorial Day
+        | date.between(901, 907)  # Labor Day
+        | date.between(1008, 1014)  # Columbus Day
+        | date.isin(102, 705, 1112, 1226)  # the day before was a Sunday
+        | ((date == 620) & (year >= 2021))
+    )
+    on_thursday = date.between(1122, 1128)  # Thanksgiving
+    on_friday = date.isin(1231, 703, 1110, 1224) | ((date == 618) & (year >= 2021))
     return (
-        fixed(1, 1)
-        | new_year_eve
-        | (nth(1, MONDAY, 3) & (year >= 1986))  # Martin Luther King Jr. Day
-        | nth(2, MONDAY, 3)  # Washington's Birthday
-        | ((month == 5) & (dow == MONDAY) & (dom >= 25))  # Memorial Day
-        | (fixed(6, 19) & (year >= 2021))  # Juneteenth
-        | fixed(7, 4)
-        | nth(9, MONDAY, 1)  # Labor Day
-        | nth(10, MONDAY, 2)  # Columbus Day
-        | fixed(11, 11)  # Veterans Day
-        | nth(11, THURSDAY, 4)  # Thanksgiving
-        | fixed(12, 25)
+        on_any_day
+        | ((weekday == MONDAY) & on_monday)
+        | ((weekday == THURSDAY) & on_thursday)
+        | ((weekday == FRIDAY) & on_friday)
     )
 
 

@@ -12,8 +12,8 @@ def to_number(value: Column, dtype: str = "double") -> Column:
 
 
 def finite(value: Column) -> Column:
-    """NaN and the infinities become null."""
-    return F.when(~F.isnan(value) & (F.abs(value) != float("inf")), value)
+    """NaN and the infinities become null; NaN orders above every number."""
+    return F.when(F.abs(value) < float("inf"), value)
 
 
 def clip(value: Column, low: float, high: float) -> Column:

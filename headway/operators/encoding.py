@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headway import schema as S
-from headway.operators.profiles import long_form
+from headway.operators.profiles import category_frequencies, long_form
 from headway.operators.ranking import exact_quantiles, running_totals, top_values
 from headway.session import lookup_join
 
@@ -64,15 +64,14 @@ def scale(df: DataFrame, scaling: dict[str, tuple[float, float]]) -> DataFrame:
 # ---- categories ------------------------------------------------------------
 
 
-def most_frequent(train: DataFrame, column: str) -> str | None:
-    """The most frequent value; of equally frequent ones the smallest."""
-    row = top_values(train, column, 1).first()
-    return row[column] if row else None
+def most_frequent(train: DataFrame, columns: Sequence[str]) -> dict[str, str]:
+    """The most frequent value of each column, found in one pass; of ties the smallest."""
+    rows = category_frequencies(train, dict.fromkeys(columns, 1)).collect()
+    return {row["column"]: row["value"] for row in rows}
 
 
 def fill_most_frequent(train: DataFrame, columns: Sequence[str], *others: DataFrame) -> list[DataFrame]:
-    values = {c: most_frequent(train, c) for c in columns}
-    values = {c: v for c, v in values.items() if v is not None}
+    values = most_frequent(train, columns)
     return [df.na.fill(values) for df in (train, *others)]
 
 

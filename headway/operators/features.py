@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from headway import schema as S
 from headway.functions import calendar, labels, numeric, text, time
@@ -44,23 +45,26 @@ def year_range(df: DataFrame, column: str = "service_date") -> DataFrame:
     return df.agg(F.min(F.year(column)).alias("first_year"), F.max(F.year(column)).alias("last_year"))
 
 
+def numeric_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The named columns as finite numbers: text is parsed, floating-point values are checked."""
+    changed = {}
+    for field in df.schema:
+        if field.name in columns and not isinstance(field.dataType, T.IntegralType):
+            changed[field.name] = numeric.to_number(F.col(field.name))
+    return df.withColumns(changed)
+
+
 def processed_table(
     df: DataFrame, tolerance: float = S.TOLERANCE_SECONDS, clipped_delay: bool = False
 ) -> DataFrame:
     """Integrated rows to the table all models share: validity filter, features, labels."""
-    seconds = numeric.to_number(F.col("delay_seconds"))
-    out = valid_delays(finite_columns(df).withColumn("delay_seconds", seconds))
-    out = add_calendar(out).withColumns(
-        {
-            "hour": numeric.to_number(F.col("hour")),
-            "precip_mm": numeric.to_number(F.col("precip_mm")),
-        }
-    )
+    out = valid_delays(numeric_columns(df, ["delay_seconds", *S.PROCESSED_NUMERIC]))
+    out = add_calendar(out)
     out = out.withColumn("rainy_rush_hour", numeric.rainy_rush_hour(F.col("precip_mm"), F.col("hour")))
     if clipped_delay:
         limit = S.VALID_DELAY_SECONDS
         out = out.withColumn("delay_sec_clipped", numeric.clip(F.col("delay_seconds"), -limit, limit))
-    out = out.withColumns({c: numeric.to_number(F.col(c), "float") for c in S.PROCESSED_NUMERIC})
+    out = out.withColumns({c: F.col(c).cast("float") for c in S.PROCESSED_NUMERIC})
     return out.withColumn(
         "label_mc", labels.three_way_label(F.col("delay_seconds"), tolerance)
     ).withColumns(
@@ -74,7 +78,7 @@ def processed_table(
 def linear_features(df: DataFrame, threshold: float) -> DataFrame:
     """Features and ``is_delayed`` of the command-line linear models."""
     out = complete_rows(
-        df.withColumn("service_date", F.col("service_date").cast("date")),
+        finite_columns(df).withColumn("service_date", F.col("service_date").cast("date")),
         ["service_date", "delay_minutes"],
     )
     sine, cosine = numeric.wind_parts(F.col("wind_dir_deg"))
@@ -86,7 +90,7 @@ def linear_features(df: DataFrame, threshold: float) -> DataFrame:
             "wind_dir_cos": cosine,
         }
     )
-    return finite_columns(out.withColumn("route_id", text.pad_two(F.col("route_id"))))
+    return out.withColumn("route_id", text.pad_two(F.col("route_id")))
 
 
 def notebook_features(df: DataFrame, threshold: float = 5.0) -> DataFrame:
@@ -97,7 +101,7 @@ def notebook_features(df: DataFrame, threshold: float = 5.0) -> DataFrame:
         "delay_minutes",
     ]
     out = add_calendar(df).withColumn("season", F.coalesce(F.col("season"), F.lit(-1)).cast("string"))
-    out = out.withColumns({c: numeric.to_number(F.col(c)) for c in numbers})
+    out = numeric_columns(out, numbers)
     out = complete_rows(out, ["service_date", "delay_minutes"])
     sine, cosine = numeric.wind_parts(F.col("wind_dir_deg"), fill_missing=True)
     ids = ["route_id", "direction_id", "stop_id", "point_type", "weather_condition"]
@@ -110,13 +114,13 @@ def notebook_features(df: DataFrame, threshold: float = 5.0) -> DataFrame:
             "rainy_rush_hour": numeric.rainy_rush_hour(F.col("precip_mm"), F.col("hour")),
         }
     )
-    return finite_columns(out.withColumn("route_id", text.pad_two(F.col("route_id"))))
+    return out.withColumn("route_id", text.pad_two(F.col("route_id")))
 
 
 def legacy_features(df: DataFrame, threshold: float = 1.0) -> DataFrame:
     """Features of the first logistic model."""
     out = complete_rows(
-        df.withColumn("service_date", F.col("service_date").cast("date")),
+        finite_columns(df).withColumn("service_date", F.col("service_date").cast("date")),
         ["service_date", "delay_minutes"],
     )
     sine, cosine = numeric.wind_parts(F.col("wind_dir_deg"))
@@ -131,7 +135,7 @@ def legacy_features(df: DataFrame, threshold: float = 1.0) -> DataFrame:
             "wind_dir_cos": cosine,
         }
     )
-    return finite_columns(out)
+    return out
 
 
 def route_hour_stats(train: DataFrame, keys: Sequence[str] = S.ROUTE_HOUR_KEYS) -> DataFrame:

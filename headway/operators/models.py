@@ -48,13 +48,13 @@ def linear_stages(
     medians = encoding.fit_medians(train, numeric)
     numeric = [c for c in numeric if c in medians]  # a column without any value has no median
     scaling = encoding.fit_scaling(encoding.fill_medians(train, medians), numeric)
-    modes = {c: encoding.most_frequent(train, c) for c in categorical}
+    modes = encoding.most_frequent(train, categorical)
     columns = {
         f"{c}_scaled": f"(coalesce(cast(`{c}` as double), {_literal(medians[c])})"
         f" - {_literal(scaling[c][0])}) / {_literal(scaling[c][1])}"
         for c in numeric
     } | {
-        f"{c}_filled": f"coalesce(cast(`{c}` as string), {_text(modes[c] or S.MISSING)})"
+        f"{c}_filled": f"coalesce(cast(`{c}` as string), {_text(modes.get(c, S.MISSING))})"
         for c in categorical
     }
     fill = _select(columns)
