@@ -5,6 +5,29 @@ from pyspark.sql import functions as F
 
 MONDAY, THURSDAY, FRIDAY = 0, 3, 4
 
+# fixed values: US federal holidays as month * 100 + day
+ANY_WEEKDAY = [101, 619, 704, 1111, 1225]
+MONDAYS = {
+    "Martin Luther King Jr. Day": (115, 121),
+    "Washington's Birthday": (215, 221),
+    "Memorial Day": (525, 531),
+    "Labor Day": (901, 907),
+    "Columbus Day": (1008, 1014),
+}
+THANKSGIVING = (1122, 1128)
+OBSERVED_MONDAYS = [102, 620, 705, 1112, 1226]
+OBSERVED_FRIDAYS = [618, 703, 1110, 1224, 1231]
+
+
+def _holiday_keys() -> list[int]:
+    """Every (month, day, weekday) that is a holiday, as one number each."""
+    keys = [date * 10 + weekday for date in ANY_WEEKDAY for weekday in range(7)]
+    for first, last in MONDAYS.values():
+        keys += [date * 10 + MONDAY for date in range(first, last + 1)]
+    keys += [date * 10 + THURSDAY for date in range(THANKSGIVING[0], THANKSGIVING[1] + 1)]
+    keys += [date * 10 + MONDAY for date in OBSERVED_MONDAYS]
+    return keys + [date * 10 + FRIDAY for date in OBSERVED_FRIDAYS]
+
 
 def season(day: Column) -> Column:
     """1 winter (Dec-Feb), 2 spring, 3 summer, 4 autumn."""
@@ -28,27 +51,11 @@ def is_us_holiday(day: Column) -> Column:
     on a Sunday on the Monday after. Being a function of the date alone, the test
     needs neither a calendar join nor a pass to find the years in the data.
     """
-    date = F.month(day) * 100 + F.dayofmonth(day)  # 704 is the fourth of July
-    weekday, year = F.weekday(day), F.year(day)
-
-    on_any_day = date.isin(101, 704, 1111, 1225) | ((date == 619) & (year >= 2021))
-    on_monday = (
-        (date.between(115, 121) & (year >= 1986))  # Martin Luther King Jr. Day
-        | date.between(215, 221)  # Washington's Birthday
-        | date.between(525, 531)  # Memorial Day
-        | date.between(901, 907)  # Labor Day
-        | date.between(1008, 1014)  # Columbus Day
-        | date.isin(102, 705, 1112, 1226)  # the day before was a Sunday
-        | ((date == 620) & (year >= 2021))
-    )
-    on_thursday = date.between(1122, 1128)  # Thanksgiving
-    on_friday = date.isin(1231, 703, 1110, 1224) | ((date == 618) & (year >= 2021))
-    return (
-        on_any_day
-        | ((weekday == MONDAY) & on_monday)
-        | ((weekday == THURSDAY) & on_thursday)
-        | ((weekday == FRIDAY) & on_friday)
-    )
+    date = F.month(day) * 100 + F.dayofmonth(day)
+    holiday = (date * 10 + F.weekday(day)).isin(_holiday_keys())
+    no_juneteenth = date.between(618, 620) & (F.year(day) < 2021)
+    no_king_day = date.between(115, 121) & (F.year(day) < 1986)
+    return holiday & ~(no_juneteenth | no_king_day)
 
 
 def holiday_flag(day: Column) -> Column:

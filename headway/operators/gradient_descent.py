@@ -3,12 +3,14 @@
 Features are numeric columns and index columns (the codes of one-hot blocks). A
 one-hot block is never expanded: its share of a score is one array lookup, its
 share of the gradient a sum of residuals grouped by code. Weights live on the
-driver and enter each step as literals, so the lineage does not grow.
+driver and reach each step as a broadcast one-row table: the lineage does not
+grow, and all steps run the same compiled code.
 """
 
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import array_to_vector
@@ -80,6 +82,7 @@ class GradientDescentLogistic(Estimator, _Columns, DefaultParamsReadable, Defaul
         numeric, index, label = get("numericCols"), get("indexCols"), get("labelCol")
         rows = materialise(
             df.select(
+                F.lit(1).alias("_one"),
                 F.col(label).cast("double").alias("_y"),
                 *[F.col(c).cast("double").alias(c) for c in numeric],
                 *[F.col(c).cast("int").alias(c) for c in index],
@@ -107,12 +110,7 @@ class GradientDescentLogistic(Estimator, _Columns, DefaultParamsReadable, Defaul
 
         history = []
         for _ in range(get("maxIter")):
-            score = linear_score(
-                bias,
-                dict(zip(numeric, weights, strict=False)),
-                {c: weights[where[c] : where[c] + s].tolist() for c, s in zip(index, sizes, strict=True)},
-            )
-            slope, bias_slope, loss = self._step(rows, score, numeric, where, size)
+            slope, bias_slope, loss = self._step(rows, bias, weights, numeric, where)
             slope, bias_slope, loss = slope / n, bias_slope / n, loss / n
             slope = slope + alpha * weights
             weights = weights - get("learningRate") * slope
@@ -131,13 +129,29 @@ class GradientDescentLogistic(Estimator, _Columns, DefaultParamsReadable, Defaul
         )
         return model._resetUid(self.uid.replace("GradientDescentLogistic", "GradientDescentLogisticModel"))
 
-    def _step(self, rows, score, numeric, where, size):
+    def _step(self, rows, bias, weights, numeric, where):
         """Sums of residual * feature, of the residual and of the loss over all rows."""
-        p = sigmoid(score)
-        scored = rows.select(
-            *numeric, *where,
-            (p - F.col("_y")).alias("_r"),
-            log_loss(F.col("_y"), p, self.getOrDefault("eps")).alias("_loss"),
+        state = pa.table(
+            {
+                "_one": pa.array([1], pa.int32()),
+                "_b": pa.array([float(bias)]),
+                "_w": pa.array([weights.tolist()], pa.list_(pa.float64())),
+            }
+        )
+        score = F.col("_b")
+        for position, name in enumerate(numeric):
+            score = score + F.get("_w", F.lit(position)) * F.col(name)
+        for name, start in where.items():
+            score = score + F.coalesce(F.get("_w", F.col(name) + F.lit(start)), F.lit(0.0))
+        p = sigmoid(F.col("_score"))
+        scored = (
+            rows.join(F.broadcast(rows.sparkSession.createDataFrame(state)), "_one")
+            .select("_y", *numeric, *where, score.alias("_score"))
+            .select(
+                *numeric, *where,
+                (p - F.col("_y")).alias("_r"),
+                log_loss(F.col("_y"), p, self.getOrDefault("eps")).alias("_loss"),
+            )
         )
         sums = scored.agg(
             *[F.sum(F.col("_r") * F.col(c)).alias(f"n{i}") for i, c in enumerate(numeric)],
@@ -156,7 +170,7 @@ class GradientDescentLogistic(Estimator, _Columns, DefaultParamsReadable, Defaul
                 .groupBy("slot")
                 .agg(F.sum("_r").alias("total"))
             )
-        slope, bias_slope, loss = np.zeros(size), 0.0, 0.0
+        slope, bias_slope, loss = np.zeros(len(weights)), 0.0, 0.0
         for slot, total in parts.collect():  # one number per weight
             if slot == -2:
                 loss = total
@@ -189,13 +203,17 @@ class GradientDescentLogisticModel(Model, _Columns, DefaultParamsReadable, Defau
         return (self.probability_column() >= self.getOrDefault("threshold")).cast("double")
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        score, p = self.score_column(), self.probability_column()
-        return df.withColumns(
-            {
-                "rawPrediction": array_to_vector(F.array(-score, score)),
-                "probability": array_to_vector(F.array(1 - p, p)),
-                "prediction": self.prediction_column(),
-            }
+        score, p = F.col("_score"), sigmoid(F.col("_score"))
+        return (
+            df.withColumn("_score", self.score_column())
+            .withColumns(
+                {
+                    "rawPrediction": array_to_vector(F.array(-score, score)),
+                    "probability": array_to_vector(F.array(1 - p, p)),
+                    "prediction": (p >= self.getOrDefault("threshold")).cast("double"),
+                }
+            )
+            .drop("_score")
         )
 
     def accuracy(self, df: DataFrame) -> float:

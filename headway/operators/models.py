@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from headway import schema as S
 from headway.operators import encoding
 from headway.operators.gradient_descent import GradientDescentLogistic
-from headway.session import small_table
+from headway.session import materialise, small_table
 
 FOREST_CATEGORICAL = S.TARGET_ENCODED + S.ORDINAL_ENCODED
 
@@ -71,6 +71,14 @@ def assembled(stages: list[Model], numeric: Sequence[str]) -> list[Model]:
     ]
 
 
+def weighted_vectors(
+    stages: list[Model], train: DataFrame, label: str, weights: dict[int, float]
+) -> DataFrame:
+    """Feature vector, label and class weight, written once: a fit reads its input several times."""
+    vectors = PipelineModel(stages).transform(train).select("features", label)
+    return materialise(encoding.add_class_weight(vectors, label, weights), "vectors")
+
+
 def fit_logistic(
     train: DataFrame,
     label: str = "is_delayed",
@@ -86,9 +94,7 @@ def fit_logistic(
     stages, scaled, _ = linear_stages(train, numeric, categorical)
     stages = assembled(stages, scaled)
     weights = encoding.class_weights(train, label)
-    rows = encoding.add_class_weight(
-        PipelineModel(stages).transform(train).select("features", label), label, weights
-    )
+    rows = weighted_vectors(stages, train, label, weights)
     model = LogisticRegression(
         featuresCol="features", labelCol=label, weightCol="class_weight", maxIter=max_iter,
         regParam=1.0 / train.count(), elasticNetParam=0.0, standardization=False,
@@ -219,9 +225,7 @@ def fit_forest(train: DataFrame, label: str = "label", settings: ForestSettings
     settings = settings or ForestSettings()
     stages = forest_stages(train, label, settings)
     weights = encoding.class_weights(train, label)
-    rows = encoding.add_class_weight(
-        PipelineModel(stages).transform(train).select("features", label), label, weights
-    )
+    rows = weighted_vectors(stages, train, label, weights)
     model = RandomForestClassifier(
         featuresCol="features", labelCol=label, weightCol="class_weight",
         numTrees=settings.trees, maxDepth=settings.max_depth, minInstancesPerNode=settings.min_leaf,

@@ -45,15 +45,18 @@ def running_totals(
     groups: Sequence[str] = (),
     descending: bool = False,
     piece_rows: int = PIECE_ROWS,
+    written: bool = False,
 ) -> DataFrame:
     """Add ``<m>_upto`` and ``<m>_total`` for each measure.
 
     ``counted`` has one row per (groups, value) and no null in either. ``_upto`` is
     the sum over the rows of the group up to and including this one in the order
-    of ``value``; ``_total`` is the sum over the group.
+    of ``value``; ``_total`` is the sum over the group. ``written`` says that
+    ``counted`` is a written table already.
     """
     groups = list(groups)
-    counted = materialise(counted, "counted")
+    if not written:
+        counted = materialise(counted, "counted")
     order = F.col(value).desc() if descending else F.col(value)
     rows = counted.count()
 
@@ -123,7 +126,15 @@ def exact_quantiles(
         .groupBy(*groups, value)
         .agg((F.sum(weight) if weight else F.count(F.lit(1))).cast("long").alias("_n"))
     )
-    ranked = running_totals(counted, value, ["_n"], groups, piece_rows=piece_rows)
+    counted = materialise(counted, "counted")
+    if counted.count() <= piece_rows:
+        # few distinct values: the built-in holds at most this many in memory
+        found = F.percentile(value, list(shares.values()), F.col("_n"))
+        return counted.groupBy(*groups).agg(found.alias("_found")).select(
+            *groups, *[F.get("_found", F.lit(i)).alias(name) for i, name in enumerate(shares)]
+        )
+
+    ranked = running_totals(counted, value, ["_n"], groups, piece_rows=piece_rows, written=True)
 
     picks, results = [], []
     for name, share in shares.items():

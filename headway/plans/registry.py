@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from headway.plans.oracle import with_tables
+from headway.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,7 +41,12 @@ def query(sql: str | None = None, tables: tuple[str, ...] = (), name: str | None
         key = name or build.__name__
         if key in QUERIES:
             raise ValueError(f"query {key} registered twice")
-        QUERIES[key] = lambda spark, folder: plain(build(spark, folder))
+
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            tune(spark)
+            return plain(build(spark, folder))
+
+        QUERIES[key] = run
         if sql is not None:
             ORACLES[key] = with_tables(sql, tables)
         return build

@@ -26,7 +26,19 @@ def get_session(app_name: str = "headway", master: str | None = None, **settings
         builder = builder.master(master)
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    tune(spark)
+    return spark
+
+
+def tune(spark: SparkSession) -> None:
+    """Settings that may be changed on a running session.
+
+    The JVM never compiles a method above 8000 bytes of bytecode, and a wide feature
+    stage can exceed that. With this limit Spark splits such a stage into small
+    methods instead of running one large one interpreted.
+    """
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
 
 
 def shared_folder(spark: SparkSession) -> str:
