@@ -43,7 +43,10 @@ def report_text(scored: DataFrame, ranking: DataFrame, title: str) -> DataFrame:
         F.inline(
             F.array(
                 F.struct(F.lit(8).alias("line"), F.format_string("ROC-AUC: %.4f", "roc_auc").alias("value")),
-                F.struct(F.lit(9), F.format_string("PR-AUC: %.4f", "average_precision")),
+                F.struct(
+                    F.lit(9).alias("line"),
+                    F.format_string("PR-AUC: %.4f", "average_precision").alias("value"),
+                ),
             )
         )
     )
