@@ -20,6 +20,9 @@ from headway.session import lookup_join
 # Levels of a categorical column that a model or an indexer may hold on the driver.
 MAX_LEVELS = 1_000_000
 
+# Distinct values per column whose counts a task may keep in memory.
+FEW_VALUES = 50_000
+
 
 def check_levels(df: DataFrame, columns: Sequence[str], limit: int = MAX_LEVELS) -> None:
     """An error when a column has too many levels for a one-hot or indexed model."""
@@ -33,9 +36,23 @@ def check_levels(df: DataFrame, columns: Sequence[str], limit: int = MAX_LEVELS)
 
 
 def fit_medians(train: DataFrame, columns: Sequence[str]) -> dict[str, float]:
-    """Exact medians, one number per column."""
-    table = exact_quantiles(long_form(train, columns), "value", {"median": 0.5}, ["column"])
-    return {row["column"]: row["median"] for row in table.collect()}
+    """Exact medians, one number per column; columns without any value are absent.
+
+    Columns found to have few distinct values share one pass of the built-in, which
+    keeps their value counts in memory. The others are sorted in pieces.
+    """
+    distinct = train.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
+    few = [c for c in columns if distinct[c] <= FEW_VALUES]
+    many = [c for c in columns if distinct[c] > FEW_VALUES]
+    medians = {}
+    if few:
+        medians = train.agg(
+            *[F.median(F.nanvl(F.col(c).cast("double"), F.lit(None))).alias(c) for c in few]
+        ).first().asDict()
+    if many:
+        table = exact_quantiles(long_form(train, many), "value", {"median": 0.5}, ["column"])
+        medians |= {row["column"]: row["median"] for row in table.collect()}
+    return {c: m for c, m in medians.items() if m is not None}
 
 
 def fill_medians(df: DataFrame, medians: dict[str, float]) -> DataFrame:
@@ -123,13 +140,15 @@ def target_table(
     smoothing: float = 10.0,
     min_rows: float = 20.0,
     method: str = "sigmoid",
+    prior: float | None = None,
 ) -> tuple[DataFrame, float]:
-    """Blend of level mean and overall mean per level, and the overall mean.
+    """Blend of level mean and overall mean per level, and the overall mean (``prior`` if known).
 
     ``sigmoid`` weighs the level mean by an s-curve of its row count; ``m_estimate``
     adds ``smoothing`` rows of the overall mean.
     """
-    prior = train.agg(F.avg(label).cast("double")).first()[0]
+    if prior is None:
+        prior = train.agg(F.avg(label).cast("double")).first()[0]
     n, total = F.col("_n"), F.col("_sum")
     if method == "sigmoid":
         weight = blend_weight(n, smoothing, min_rows)

@@ -196,13 +196,13 @@ def forest_stages(train: DataFrame, label: str, settings: ForestSettings) -> lis
         stringOrderType="alphabetAsc",
     ).fit(levels)
 
-    columns = {}
+    columns, prior = {}, None
     for position, name in enumerate(FOREST_CATEGORICAL):
         known = indexer.labelsArray[position]
         index = f"cast(`{name}_index` as int)"
         if name in S.TARGET_ENCODED:
             table, prior = encoding.target_table(
-                levels, f"{name}_level", label, settings.smoothing, settings.min_rows
+                levels, f"{name}_level", label, settings.smoothing, settings.min_rows, prior=prior
             )
             local = small_table(table, encoding.MAX_LEVELS)
             if local is None:

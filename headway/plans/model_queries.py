@@ -14,6 +14,7 @@ from headway.plans import training
 from headway.plans.profile_queries import late_trips
 from headway.plans.registry import query
 from headway.plans.table_queries import labelled_shipments, weathered
+from headway.session import materialise
 
 CUT = "DATE '2024-01-21'"
 LATE = "CAST(CASE WHEN delay_minutes >= 5.0 THEN 1 ELSE 0 END AS BIGINT)"
@@ -235,7 +236,8 @@ def threshold_labels(spark, folder):
 
 
 def model_rows(spark, folder):
-    return labelled_shipments(spark, folder)
+    """Labelled shipments, written once: fitting the encoders alone reads them several times."""
+    return materialise(labelled_shipments(spark, folder), "labelled")
 
 
 def scalar_metrics(run):
@@ -249,12 +251,13 @@ def scalar_metrics(run):
 
 @query()
 def logistic_two_stage(spark, folder):
-    return scalar_metrics(training.train_logistic(model_rows(spark, folder), 5.0, D.SHIPMENT_SPLITS))
+    rows = labelled_shipments(spark, folder)
+    return scalar_metrics(training.train_logistic(rows, 5.0, D.SHIPMENT_SPLITS))
 
 
 @query()
 def descent_two_stage(spark, folder):
-    rows = model_rows(spark, folder)
+    rows = labelled_shipments(spark, folder)
     return scalar_metrics(
         training.train_gradient_descent(rows, 5.0, D.SHIPMENT_SPLITS, learningRate=0.5, maxIter=15)
     )
@@ -262,7 +265,8 @@ def descent_two_stage(spark, folder):
 
 @query()
 def forest_two_stage(spark, folder):
-    return scalar_metrics(training.train_forest(model_rows(spark, folder), FOREST, D.SHIPMENT_SPLITS))
+    rows = labelled_shipments(spark, folder)
+    return scalar_metrics(training.train_forest(rows, FOREST, D.SHIPMENT_SPLITS))
 
 
 FOREST = models.ForestSettings(trees=20, max_depth=8)

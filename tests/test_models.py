@@ -163,3 +163,11 @@ def test_two_stages_learn_something(spark):
     document = training.metrics_document(run).collect()
     assert len(document) == 1 and document[0]["test"]["support"] == summary["rows_test"]
     assert metrics.overall(run.test).first()["support"] == summary["rows_test"]
+
+
+def test_medians_agree_whichever_way_they_are_found(spark, monkeypatch):
+    df = spark.createDataFrame([(float(i % 7), i * 0.5, None) for i in range(100)], "a double, b double, c double")
+    want = {"a": 3.0, "b": 24.75}
+    assert encoding.fit_medians(df, ["a", "b", "c"]) == want
+    monkeypatch.setattr(encoding, "FEW_VALUES", 10)
+    assert encoding.fit_medians(df, ["a", "b", "c"]) == want
