@@ -108,9 +108,10 @@ class GradientDescentLogistic(Estimator, _Columns, DefaultParamsReadable, Defaul
         )
         bias, weights = (float(draw[0]), draw[1:]) if joint and with_bias else (0.0, draw)
 
+        sums = self._gradient_plan(rows, numeric, where)
         history = []
         for _ in range(get("maxIter")):
-            slope, bias_slope, loss = self._step(rows, bias, weights, numeric, where)
+            slope, bias_slope, loss = self._step(df.sparkSession, sums, bias, weights)
             slope, bias_slope, loss = slope / n, bias_slope / n, loss / n
             slope = slope + alpha * weights
             weights = weights - get("learningRate") * slope
@@ -129,55 +130,62 @@ class GradientDescentLogistic(Estimator, _Columns, DefaultParamsReadable, Defaul
         )
         return model._resetUid(self.uid.replace("GradientDescentLogistic", "GradientDescentLogisticModel"))
 
-    def _step(self, rows, bias, weights, numeric, where):
-        """Sums of residual * feature, of the residual and of the loss over all rows."""
-        state = pa.table(
-            {
-                "_one": pa.array([1], pa.int32()),
-                "_b": pa.array([float(bias)]),
-                "_w": pa.array([weights.tolist()], pa.list_(pa.float64())),
-            }
-        )
+    def _gradient_plan(self, rows, numeric, where):
+        """A function from the one-row table of weights to the table of sums of a step.
+
+        Slot -2 is the loss, -1 the residual, the others residual * feature. The
+        columns are built once and used in every step.
+        """
         score = F.col("_b")
         for position, name in enumerate(numeric):
             score = score + F.get("_w", F.lit(position)) * F.col(name)
         for name, start in where.items():
             score = score + F.coalesce(F.get("_w", F.col(name) + F.lit(start)), F.lit(0.0))
+        inputs = [F.col(c) for c in (*numeric, *where)]
         p = sigmoid(F.col("_score"))
-        scored = (
-            rows.join(F.broadcast(rows.sparkSession.createDataFrame(state)), "_one")
-            .select("_y", *numeric, *where, score.alias("_score"))
-            .select(
-                *numeric, *where,
-                (p - F.col("_y")).alias("_r"),
-                log_loss(F.col("_y"), p, self.getOrDefault("eps")).alias("_loss"),
+        scored_columns = [F.col("_y"), *inputs, score.alias("_score")]
+        residual_columns = [
+            *inputs,
+            (p - F.col("_y")).alias("_r"),
+            log_loss(F.col("_y"), p, self.getOrDefault("eps")).alias("_loss"),
+        ]
+        totals = [F.sum("_loss").alias("t0"), F.sum("_r").alias("t1")]
+        totals += [F.sum(F.col("_r") * F.col(c)).alias(f"t{i}") for i, c in enumerate(numeric, start=2)]
+        cells = [
+            F.struct(F.lit(i - 2).alias("slot"), F.col(f"t{i}").alias("total"))
+            for i in range(len(numeric) + 2)
+        ]
+        totals_as_rows = F.inline(F.array(*cells))
+        slots = F.array(*[F.col(c) + F.lit(start) for c, start in where.items()]) if where else None
+        slot = F.explode(slots).alias("slot") if where else None
+
+        def sums(weights: DataFrame) -> DataFrame:
+            scored = (
+                rows.join(F.broadcast(weights), "_one").select(*scored_columns).select(*residual_columns)
             )
+            parts = scored.agg(*totals).select(totals_as_rows)
+            if not where:
+                return parts
+            by_code = scored.select(slot, "_r").where("slot is not null").groupBy("slot")
+            return parts.unionByName(by_code.agg(F.sum("_r").alias("total")))
+
+        return sums
+
+    @staticmethod
+    def _step(spark, sums, bias, weights):
+        """Sums of residual * feature, of the residual and of the loss over all rows."""
+        state = pa.table(
+            {
+                "_one": pa.array([1], pa.int32()),
+                "_b": pa.array([float(bias)]),
+                "_w": pa.array([weights.tolist()], pa.list_(pa.float64())),
+            }
         )
-        sums = scored.agg(
-            *[F.sum(F.col("_r") * F.col(c)).alias(f"n{i}") for i, c in enumerate(numeric)],
-            F.sum("_r").alias("bias"),
-            F.sum("_loss").alias("loss"),
-        )
-        cells = [F.struct(F.lit(i).alias("slot"), F.col(f"n{i}").alias("total")) for i in range(len(numeric))]
-        cells += [F.struct(F.lit(-1).alias("slot"), F.col("bias").alias("total"))]
-        cells += [F.struct(F.lit(-2).alias("slot"), F.col("loss").alias("total"))]
-        parts = sums.select(F.inline(F.array(*cells)))
-        if where:
-            slots = F.array(*[F.col(c) + F.lit(start) for c, start in where.items()])
-            parts = parts.unionByName(
-                scored.select(F.explode(slots).alias("slot"), "_r")
-                .where(F.col("slot").isNotNull())
-                .groupBy("slot")
-                .agg(F.sum("_r").alias("total"))
-            )
-        slope, bias_slope, loss = np.zeros(len(weights)), 0.0, 0.0
-        for slot, total in parts.collect():  # one number per weight
-            if slot == -2:
-                loss = total
-            elif slot == -1:
-                bias_slope = total
-            else:
-                slope[slot] = total
+        found = {slot: total for slot, total in sums(spark.createDataFrame(state)).collect()}
+        loss, bias_slope = found.pop(-2), found.pop(-1)
+        slope = np.zeros(len(weights))
+        for slot, total in found.items():  # one number per weight
+            slope[slot] = total
         return slope, bias_slope, loss
 
 
