@@ -73,25 +73,23 @@ def row_at(shard: int, slot: int, rows: int, shards: int, seed: int = 0) -> int:
 def shard_rows(rows: DataFrame, shards: int, seed: int = 0) -> DataFrame:
     """All rows with ``shard`` (int) and ``slot`` (long, gapless from 0 in each shard).
 
-    Columns of these names are replaced. Null ids come first; rows of one id are ordered by
-    a hash of the whole row, equal rows are interchangeable. An empty table stays empty.
+    Columns of these names are replaced, all others stay. Null ids come first; rows of one
+    id are ordered by a hash of the whole row, equal rows are interchangeable. An empty
+    table stays empty.
     """
     if shards < 1:
         raise ValueError("at least one shard is needed")
-    plain = rows.drop("shard", "slot", "_tie", "_part", "_pos", "_number", "_row")
-    content = F.xxhash64(*[F.col(f"`{c}`") for c in plain.columns])
-    table, count = numbered(
-        plain.withColumn("_row", content), [F.col("doc_id"), F.col("_row")], "sharding"
+    names = [c for c in rows.columns if c not in ("shard", "slot")]
+    columns = [F.col(f"`{c}`") for c in names]
+    whole = rows.select(
+        F.struct(*columns).alias("row"), F.col("doc_id").alias("_id"), F.xxhash64(*columns).alias("_content")
     )
+    table, count = numbered(whole, [F.col("_id"), F.col("_content")], "sharding")
 
     @F.pandas_udf("long")
     def place(number: pd.Series) -> pd.Series:
         return pd.Series(permute(number.to_numpy(), count, seed))
 
     placed = table.withColumn("_place", place("_number"))
-    return placed.withColumns(
-        {
-            "shard": F.pmod("_place", F.lit(shards)).cast("int"),
-            "slot": F.expr(f"_place div {shards}"),
-        }
-    ).drop("_place", "_number", "_row")
+    shard = F.pmod("_place", F.lit(shards)).cast("int").alias("shard")
+    return placed.select("row.*", shard, F.expr(f"_place div {shards}").alias("slot"))
