@@ -54,7 +54,7 @@ def test_same_result_for_any_partitioning(spark):
 
 
 def test_more_shards_than_rows_and_no_rows(spark):
-    docs = cases.documents(spark, n=3, awkward=False).limit(3)
+    docs = cases.documents(spark, n=10, awkward=False).limit(3)
     assert sorted((r.shard, r.slot) for r in sharding.shard_rows(docs, 10).collect()) == [(0, 0), (1, 0), (2, 0)]
     assert sharding.shard_rows(docs.limit(0), 10).count() == 0
     with pytest.raises(ValueError):
