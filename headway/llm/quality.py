@@ -5,10 +5,10 @@ counts, lower orders the number of distinct continuations; every order has three
 discounts. Trigrams are packed into one long, 21 bits per character.
 
 Scoring is a sharded count join. Documents are taken in blocks; a block lists, for each of
-its trigrams, the documents that hold it and how often. These lists and the trigram
-probabilities are dealt over the same shards, where each list is multiplied by its log
-probability; the partial sums of a block then meet by block. A shard holds its part of the
-model and a bounded number of blocks, whatever the size of the corpus.
+its trigrams, the documents that hold it and how often. These lists, packed per shard, and
+the trigram probabilities are dealt over the same shards, where each list is multiplied by
+its log probability; the partial sums of a block then meet by block. A task holds one
+shard of the model and the lists of one block at a time, whatever the size of the corpus.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -29,6 +30,7 @@ BEGIN, END = 0x1FFFFE, 0x1FFFFD
 PIECE = 4_000_000  # characters handled at once, and about the size of a block
 BLOCK_DOCS = 50_000
 SHARDS = 16
+SHARD_PRIME = 1_000_003
 BUCKET_BLOCKS = 32
 LOW, HIGH = 0.002, 0.995
 LEAST_TRUSTED = 50
@@ -158,14 +160,50 @@ def log_probabilities(grams: DataFrame, counts: DataFrame) -> DataFrame:
     )
 
 
-BLOCKS = "block long, g long, docs binary, counts binary, ids array<long>, hs array<long>, langs array<string>, lengths array<long>"
+BLOCKS = "block long, shard int, lists binary, ids array<long>, hs array<long>, langs array<string>, lengths array<long>"
 _BLOCKS = pa.schema(
-    [("block", pa.int64()), ("g", pa.int64()), ("docs", pa.binary()), ("counts", pa.binary()),
-     ("ids", pa.list_(pa.int64())), ("hs", pa.list_(pa.int64())), ("langs", pa.list_(pa.string())),
-     ("lengths", pa.list_(pa.int64()))]
+    [("block", pa.int64()), ("shard", pa.int32()), ("lists", pa.binary()), ("ids", pa.list_(pa.int64())),
+     ("hs", pa.list_(pa.int64())), ("langs", pa.list_(pa.string())), ("lengths", pa.list_(pa.int64()))]
 )
 
 
+def _pack(keys: np.ndarray, docs: np.ndarray, counts: np.ndarray) -> bytes:
+    """Lists of documents and counts per trigram, sorted by trigram, as compressed columns.
+
+    Trigrams and, within a trigram, documents are written as steps.
+    """
+    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    sizes = np.diff(np.append(first, len(keys)))
+    steps = np.diff(docs, prepend=0)
+    steps[first] = docs[first]
+    columns = [np.diff(keys[first], prepend=0), sizes, steps.astype("<u2"), counts.astype("<u4")]
+    # Bytes of equal weight lie together, which leaves long runs of zeros.
+    planes = [c.view(np.uint8).reshape(len(c), -1).T.tobytes() for c in columns]
+    head = np.array([len(first), len(keys)], "<i8").tobytes()
+    return zstandard.ZstdCompressor(3).compress(head + b"".join(planes))
+
+
+def _unpack(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Trigrams, the lengths of their lists, and the documents and counts of all lists."""
+    raw = zstandard.ZstdDecompressor().decompress(data)
+    grams, rows = np.frombuffer(raw, "<i8", 2)
+    at, out = 16, []
+    for n, kind in ((grams, "<i8"), (grams, "<i8"), (rows, "<u2"), (rows, "<u4")):
+        width = int(n) * np.dtype(kind).itemsize
+        plane = np.frombuffer(raw, np.uint8, width, at).reshape(-1, int(n)).T
+        out.append(np.ascontiguousarray(plane).view(kind).ravel())
+        at += width
+    keys, sizes, steps, counts = out
+    docs = np.cumsum(steps.astype(np.int64))
+    starts = np.cumsum(sizes) - sizes
+    docs -= np.repeat(docs[starts] - steps[starts], sizes)
+    return np.cumsum(keys), sizes, docs, counts
+
+
+def _shard_of(keys: np.ndarray) -> np.ndarray:
+    return keys % SHARD_PRIME % SHARDS
+
+
 class _Block:
     """Documents of a block and their trigrams."""
 
@@ -185,10 +223,8 @@ class _Block:
         self.size += length
 
     def records(self) -> Iterator[pa.RecordBatch]:
-        """One row of the documents, then one per trigram: documents as steps, and counts."""
-        ids, hs, langs, lengths = self.rows
-        none = [None]
-        data = [[self.number], none, none, none, [ids], [hs], [langs], [lengths]]
+        """One row of the documents, then one of trigram lists per shard."""
+        data = [[self.number], [None], [None], *[[column] for column in self.rows]]
         yield pa.RecordBatch.from_arrays(
             [pa.array(c, f.type) for c, f in zip(data, _BLOCKS, strict=True)], schema=_BLOCKS
         )
@@ -197,25 +233,17 @@ class _Block:
         docs = np.repeat([d for _, _, d in self.grams], [len(k) for k, _, _ in self.grams])
         order = np.argsort(keys, kind="stable")
         keys, counts, docs = keys[order], counts[order], docs[order]
-        first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-        steps = np.diff(docs, prepend=0)
-        steps[first] = docs[first]
-        ends = np.append(first, len(keys)).astype(np.int64)
+        shards = _shard_of(keys)
+        found = [(s, shards == s) for s in np.unique(shards)]
         columns = [
-            pa.array(np.full(len(first), self.number)),
-            pa.array(keys[first]),
-            _slices(steps.astype("<u2"), ends),
-            _slices(counts.astype("<u4"), ends),
+            [self.number] * len(found),
+            [int(s) for s, _ in found],
+            [_pack(keys[mine], docs[mine], counts[mine]) for _, mine in found],
         ]
-        empty = [pa.nulls(len(first), f.type) for f in list(_BLOCKS)[4:]]
-        yield pa.RecordBatch.from_arrays([*columns, *empty], schema=_BLOCKS)
-
-
-def _slices(values: np.ndarray, ends: np.ndarray) -> pa.Array:
-    offsets = (ends * values.itemsize).astype(np.int32)
-    return pa.Array.from_buffers(
-        pa.binary(), len(ends) - 1, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(values.tobytes())]
-    )
+        columns += [[None] * len(found)] * 4
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, f.type) for c, f in zip(columns, _BLOCKS, strict=True)], schema=_BLOCKS
+        )
 
 
 def _blocks(docs: DataFrame) -> DataFrame:
@@ -242,59 +270,42 @@ def _blocks(docs: DataFrame) -> DataFrame:
     return materialise(rows.mapInArrow(work, BLOCKS), "trigram-blocks")
 
 
+def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The trigrams of the lists in column 0."""
+    for batch in batches:
+        for data in batch.column(0).to_pylist():
+            yield pa.RecordBatch.from_arrays([pa.array(_unpack(data)[0])], names=["g"])
+
+
 def _partial_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Join trigram lists to log probabilities; rows come sorted by shard and bucket, model first."""
-    now, model_g, model_p = None, [], []
-    sums: dict[int, np.ndarray] = {}
+    now, held = None, []
     table: tuple[np.ndarray, np.ndarray] | None = None
-
-    def close() -> Iterator[pa.RecordBatch]:
-        for block, values in sums.items():
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([block]), pa.array([now[0]], pa.int32()), pa.array([values.tobytes()], pa.binary())],
-                names=["block", "shard", "sums"],
-            )
-
     for batch in batches:
-        shard, bucket, block, g = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
-        is_model = batch.column(5).is_valid().to_numpy(zero_copy_only=False)
-        logp = batch.column(5).to_numpy(zero_copy_only=False)
+        shard, bucket, block, g, logp = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(5))
+        lists = batch.column(5)
         change = (shard[1:] != shard[:-1]) | (bucket[1:] != bucket[:-1]) | (block[1:] != block[:-1])
-        cuts = np.flatnonzero(change | (is_model[1:] != is_model[:-1])) + 1
+        cuts = np.flatnonzero(change) + 1
         for lo, hi in zip([0, *cuts], [*cuts, len(shard)], strict=True):
             if hi <= lo:
                 continue
             if (key := (int(shard[lo]), int(bucket[lo]))) != now:
-                if now is not None:
-                    yield from close()
-                now, model_g, model_p, sums, table = key, [], [], {}, None
-            if is_model[lo]:
-                model_g.append(g[lo:hi].copy())
-                model_p.append(logp[lo:hi].copy())
+                now, held, table = key, [], None
+            if block[lo] < 0:
+                held.append((g[lo:hi].copy(), logp[lo:hi].copy()))
                 continue
             if table is None:
-                keys = np.concatenate(model_g)
+                keys = np.concatenate([k for k, _ in held])
                 order = np.argsort(keys)
-                table = keys[order], np.concatenate(model_p)[order]
-            lists, counts = batch.column(4).slice(lo, hi - lo), batch.column(6).slice(lo, hi - lo)
-            sizes = np.array([len(x) // 2 for x in lists.to_pylist()])
-            steps = np.frombuffer(b"".join(lists.to_pylist()), "<u2").astype(np.int64)
-            n = np.frombuffer(b"".join(counts.to_pylist()), "<u4")
-            docs = np.cumsum(steps)
-            starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-            docs -= np.repeat(docs[starts] - steps[starts], sizes)
-            value = table[1][np.searchsorted(table[0], g[lo:hi])]
-            part = np.bincount(docs, weights=np.repeat(value, sizes) * n)
-            old = sums.get(number := int(block[lo]))
-            if old is None:
-                sums[number] = part
-            else:
-                if len(old) < len(part):
-                    old, part = part, old
-                old[: len(part)] += part
-                sums[number] = old
-    if now is not None:
-        yield from close()
+                table = keys[order], np.concatenate([p for _, p in held])[order]
+            for row in range(lo, hi):
+                grams, sizes, docs, counts = _unpack(lists[row].as_py())
+                value = table[1][np.searchsorted(table[0], grams)]
+                sums = np.bincount(docs, weights=np.repeat(value, sizes) * counts)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([block[row]]), pa.array([key[0]], pa.int32()), pa.array([sums.tobytes()], pa.binary())],
+                    names=["block", "shard", "sums"],
+                )
 
 
 def _gathered(key: tuple[pa.Scalar, ...], parts: pa.Table) -> pa.Table:
@@ -328,24 +339,25 @@ def perplexities(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     counts = text.mapInArrow(_counted, "g long, c long").groupBy("g").agg(F.sum("c").alias("c"))
     counts = materialise(counts, "trigram-counts")
     blocks = _blocks(docs)
-    lists = blocks.filter("g IS NOT NULL")
-    model = materialise(log_probabilities(lists.select("g").distinct(), counts), "trigram-model")
-    number = blocks.filter("g IS NULL").count()
+    lists = blocks.filter("shard IS NOT NULL")
+    grams = lists.select("lists").mapInArrow(_listed, "g long").distinct()
+    model = materialise(log_probabilities(grams, counts), "trigram-model")
+    number = blocks.filter("shard IS NULL").count()
     buckets = max(1, -(-number // BUCKET_BLOCKS))
-    shard = F.pmod(F.xxhash64("g"), F.lit(SHARDS)).cast("int").alias("shard")
     bucket = F.pmod(F.xxhash64("block"), F.lit(buckets)).cast("int").alias("bucket")
-    binary = F.lit(None).cast("binary")
-    probability = F.lit(None).cast("double").alias("logp")
-    left = lists.select(shard, bucket, "block", "g", "docs", probability, "counts")
+    left = lists.select(
+        "shard", bucket, "block", F.lit(0).cast("long").alias("g"), F.lit(0.0).alias("logp"), "lists"
+    )
     every = F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))).alias("bucket")
     right = model.select(
-        shard, every, F.lit(-1).cast("long").alias("block"), "g", binary.alias("docs"), "logp", binary.alias("counts")
-    ).select("shard", "bucket", "block", "g", "docs", "logp", "counts")
+        F.expr(f"cast(g % {SHARD_PRIME} % {SHARDS} as int)").alias("shard"), every,
+        F.lit(-1).cast("long").alias("block"), "g", "logp", F.lit(None).cast("binary").alias("lists"),
+    )
     dealt = left.unionByName(right).repartition(SHARDS * buckets, "shard", "bucket")
     # Blocks are numbered from 0 up, so that the model, at -1, comes first.
     dealt = dealt.sortWithinPartitions("shard", "bucket", "block")
     sums = dealt.mapInArrow(_partial_sums, "block long, shard int, sums binary")
-    meta = blocks.filter("g IS NULL").select("block", "ids", "hs", "langs", "lengths")
+    meta = blocks.filter("shard IS NULL").select("block", "ids", "hs", "langs", "lengths")
     both = sums.unionByName(meta, allowMissingColumns=True)
     schema = "doc_id long, h long, lang string, length long, logp double"
     found = both.groupBy("block").applyInArrow(_gathered, schema)
