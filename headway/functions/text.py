@@ -14,9 +14,9 @@ def category(text: Column, missing: str = "<missing>") -> Column:
 
 
 def legacy_category(text: Column) -> Column:
-    """The older rule: only empty text is replaced, by ``Unknown``."""
+    """The older rule: empty text becomes ``Unknown``, a missing entry a category of its own."""
     trimmed = F.trim(text.cast("string"))
-    return F.when(trimmed == "", "Unknown").otherwise(trimmed)
+    return F.when(trimmed.isNull(), "<missing>").when(trimmed == "", "Unknown").otherwise(trimmed)
 
 
 def pad_two(text: Column) -> Column:

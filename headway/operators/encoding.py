@@ -15,14 +15,11 @@ from pyspark.sql import functions as F
 from headway import schema as S
 from headway.operators.profiles import category_frequencies, long_form
 from headway.operators.ranking import exact_quantiles, running_totals, top_values
-from headway.session import lookup_join
+from headway.session import lookup_join, materialise
 
 # Levels of a categorical column that a model or an indexer may hold on the driver.
 MAX_LEVELS = 1_000_000
 
-# Distinct values per column whose counts a task may keep in memory.
-FEW_VALUES = 50_000
-
 
 def check_levels(df: DataFrame, columns: Sequence[str], limit: int = MAX_LEVELS) -> None:
     """An error when a column has too many levels for a one-hot or indexed model."""
@@ -38,21 +35,10 @@ def check_levels(df: DataFrame, columns: Sequence[str], limit: int = MAX_LEVELS)
 def fit_medians(train: DataFrame, columns: Sequence[str]) -> dict[str, float]:
     """Exact medians, one number per column; columns without any value are absent.
 
-    Columns found to have few distinct values share one pass of the built-in, which
-    keeps their value counts in memory. The others are sorted in pieces.
+    All columns are counted per value in one pass, combined before the shuffle.
     """
-    distinct = train.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
-    few = [c for c in columns if distinct[c] <= FEW_VALUES]
-    many = [c for c in columns if distinct[c] > FEW_VALUES]
-    medians = {}
-    if few:
-        medians = train.agg(
-            *[F.median(F.nanvl(F.col(c).cast("double"), F.lit(None))).alias(c) for c in few]
-        ).first().asDict()
-    if many:
-        table = exact_quantiles(long_form(train, many), "value", {"median": 0.5}, ["column"])
-        medians |= {row["column"]: row["median"] for row in table.collect()}
-    return {c: m for c, m in medians.items() if m is not None}
+    table = exact_quantiles(long_form(train, columns), "value", {"median": 0.5}, ["column"])
+    return {row["column"]: row["median"] for row in table.collect()}
 
 
 def fill_medians(df: DataFrame, medians: dict[str, float]) -> DataFrame:
@@ -115,7 +101,8 @@ def fit_one_hot(train: DataFrame, columns: Sequence[str]):
 def ordinal_table(train: DataFrame, column: str) -> DataFrame:
     """Code of each level in sorted order, from 0."""
     levels = train.where(F.col(column).isNotNull()).select(column).distinct()
-    ranked = running_totals(levels.withColumn("_one", F.lit(1).cast("long")), column, ["_one"])
+    levels = materialise(levels.withColumn("_one", F.lit(1).cast("long")), "levels")
+    ranked = running_totals(levels, column, ["_one"])
     return ranked.select(column, (F.col("_one_upto") - 1).cast("int").alias(f"{column}_code"))
 
 

@@ -11,8 +11,8 @@ from pyspark.sql import types as T
 from headway import schema as S
 from headway.functions import calendar, labels, numeric, text, time
 from headway.operators.cleaning import complete_rows, finite_columns, valid_delays
-from headway.operators.ranking import exact_quantiles
-from headway.session import lookup_join
+from headway.operators.ranking import counted_quantiles, exact_quantiles, value_counts
+from headway.session import lookup_join, materialise
 
 
 def join_conditions(arrivals: DataFrame, conditions: DataFrame, drop_incomplete: bool = False) -> DataFrame:
@@ -95,13 +95,8 @@ def linear_features(df: DataFrame, threshold: float) -> DataFrame:
 
 def notebook_features(df: DataFrame, threshold: float = 5.0) -> DataFrame:
     """Features of the notebook models: missing wind counts as north, season of a null date is -1."""
-    numbers = [
-        "hour", "weekday", "is_weekend", "time_point_order", "air_temp_c", "rel_humidity_pct",
-        "precip_mm", "wind_dir_deg", "wind_speed_kmh", "pressure_hpa", "cloud_cover",
-        "delay_minutes",
-    ]
     out = add_calendar(df).withColumn("season", F.coalesce(F.col("season"), F.lit(-1)).cast("string"))
-    out = numeric_columns(out, numbers)
+    out = numeric_columns(out, S.NOTEBOOK_PARSED)
     out = complete_rows(out, ["service_date", "delay_minutes"])
     sine, cosine = numeric.wind_parts(F.col("wind_dir_deg"), fill_missing=True)
     ids = ["route_id", "direction_id", "stop_id", "point_type", "weather_condition"]
@@ -128,8 +123,8 @@ def legacy_features(df: DataFrame, threshold: float = 1.0) -> DataFrame:
         {
             "is_delayed": labels.late_by(F.col("delay_minutes"), threshold),
             "route_id": text.pad_two(F.col("route_id").cast("string")),
-            "direction_id": F.col("direction_id").cast("string"),
-            "point_type": F.col("point_type").cast("string"),
+            "direction_id": F.coalesce(F.col("direction_id").cast("string"), F.lit(S.MISSING)),
+            "point_type": F.coalesce(F.col("point_type").cast("string"), F.lit(S.MISSING)),
             "weather_condition": text.legacy_category(F.col("weather_condition")),
             "wind_dir_sin": sine,
             "wind_dir_cos": cosine,
@@ -141,16 +136,21 @@ def legacy_features(df: DataFrame, threshold: float = 1.0) -> DataFrame:
 def route_hour_stats(train: DataFrame, keys: Sequence[str] = S.ROUTE_HOUR_KEYS) -> DataFrame:
     """Mean, exact median and count of the delay per route, hour and weekday."""
     keys = list(keys)
-    means = (
-        train.dropna(subset=keys)
-        .groupBy(*keys)
-        .agg(
-            F.avg("delay_minutes").alias("route_hour_delay_mean"),
-            F.count("delay_minutes").cast("double").alias("route_hour_delay_count"),
-        )
+    known = train.dropna(subset=keys)
+    # keys whose delays are all missing have no value to count, but a row with count 0
+    without = known.where(F.col("delay_minutes").isNull()).select(*keys).distinct()
+    counted = value_counts(known, "delay_minutes", keys)
+    means = counted.groupBy(*keys).agg(
+        (F.sum(F.col("delay_minutes") * F.col("_n")) / F.sum("_n")).alias("route_hour_delay_mean"),
+        F.sum("_n").cast("double").alias("route_hour_delay_count"),
+    )
+    medians = counted_quantiles(counted, "delay_minutes", {"route_hour_delay_median": 0.5}, keys)
+    return (
+        without.join(means, keys, "full")
+        .join(medians, keys, "left")
+        .na.fill({"route_hour_delay_count": 0.0})
+        .select(*keys, *S.ROUTE_HOUR_STATS)
     )
-    medians = exact_quantiles(train, "delay_minutes", {"route_hour_delay_median": 0.5}, keys)
-    return means.join(medians, keys, "left").select(*keys, *S.ROUTE_HOUR_STATS)
 
 
 def attach_route_hour_stats(
@@ -163,7 +163,7 @@ def attach_route_hour_stats(
     by rows per key, without sorting the joined rows.
     """
     keys = list(keys)
-    stats = route_hour_stats(train, keys)
+    stats = materialise(route_hour_stats(train, keys), "route-hour")
     rows = train.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     long = (
         stats.join(rows, keys)

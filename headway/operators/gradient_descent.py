@@ -1,17 +1,19 @@
-"""Logistic regression by full-batch gradient descent, one Spark aggregate per step.
+"""Logistic regression by full-batch gradient descent, one scan of the rows per step.
 
 Features are numeric columns and index columns (the codes of one-hot blocks). A
 one-hot block is never expanded: its share of a score is one array lookup, its
-share of the gradient a sum of residuals grouped by code. Weights live on the
-driver and reach each step as a broadcast one-row table: the lineage does not
-grow, and all steps run the same compiled code.
+share of the gradient a sum of residuals by code. Each task adds up the gradient of
+its rows as one vector; the vectors are summed in two levels. Weights live on the
+driver and reach each step as a broadcast variable of one number per weight.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
-from pyspark import keyword_only
+from pyspark import StorageLevel, keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -19,10 +21,14 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headway.functions.numeric import log_loss, sigmoid
+from headway.functions.numeric import sigmoid
 from headway.session import materialise
 
 
+# Above so many tasks their vectors are summed by fewer tasks before the driver sees them.
+TREE_PARTS = 64
+
+
 class _Columns(Params):
     numericCols = Param(Params._dummy(), "numericCols", "numeric features", TypeConverters.toListString)
     indexCols = Param(Params._dummy(), "indexCols", "codes of one-hot blocks", TypeConverters.toListString)
@@ -82,10 +88,9 @@ class GradientDescentLogistic(Estimator, _Columns, DefaultParamsReadable, Defaul
         numeric, index, label = get("numericCols"), get("indexCols"), get("labelCol")
         rows = materialise(
             df.select(
-                F.lit(1).alias("_one"),
                 F.col(label).cast("double").alias("_y"),
                 *[F.col(c).cast("double").alias(c) for c in numeric],
-                *[F.col(c).cast("int").alias(c) for c in index],
+                *[F.coalesce(F.col(c).cast("int"), F.lit(-1)).alias(c) for c in index],  # -1: no weight
             ),
             "descent",
         )
@@ -108,10 +113,11 @@ class GradientDescentLogistic(Estimator, _Columns, DefaultParamsReadable, Defaul
         )
         bias, weights = (float(draw[0]), draw[1:]) if joint and with_bias else (0.0, draw)
 
-        sums = self._gradient_plan(rows, numeric, where)
+        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+        parts = rows.rdd.getNumPartitions()
         history = []
         for _ in range(get("maxIter")):
-            slope, bias_slope, loss = self._step(df.sparkSession, sums, bias, weights)
+            loss, bias_slope, slope = self._step(rows, parts, len(numeric), starts, bias, weights, get("eps"))
             slope, bias_slope, loss = slope / n, bias_slope / n, loss / n
             slope = slope + alpha * weights
             weights = weights - get("learningRate") * slope
@@ -121,6 +127,7 @@ class GradientDescentLogistic(Estimator, _Columns, DefaultParamsReadable, Defaul
             norm = np.linalg.norm(np.append(slope, bias_slope) if joint and with_bias else slope)
             if norm < get("tol"):
                 break
+        rows.unpersist()
 
         model = GradientDescentLogisticModel()
         model._set(
@@ -130,63 +137,53 @@ class GradientDescentLogistic(Estimator, _Columns, DefaultParamsReadable, Defaul
         )
         return model._resetUid(self.uid.replace("GradientDescentLogistic", "GradientDescentLogisticModel"))
 
-    def _gradient_plan(self, rows, numeric, where):
-        """A function from the one-row table of weights to the table of sums of a step.
-
-        Slot -2 is the loss, -1 the residual, the others residual * feature. The
-        columns are built once and used in every step.
-        """
-        score = F.col("_b")
-        for position, name in enumerate(numeric):
-            score = score + F.get("_w", F.lit(position)) * F.col(name)
-        for name, start in where.items():
-            score = score + F.coalesce(F.get("_w", F.col(name) + F.lit(start)), F.lit(0.0))
-        inputs = [F.col(c) for c in (*numeric, *where)]
-        p = sigmoid(F.col("_score"))
-        scored_columns = [F.col("_y"), *inputs, score.alias("_score")]
-        residual_columns = [
-            *inputs,
-            (p - F.col("_y")).alias("_r"),
-            log_loss(F.col("_y"), p, self.getOrDefault("eps")).alias("_loss"),
-        ]
-        totals = [F.sum("_loss").alias("t0"), F.sum("_r").alias("t1")]
-        totals += [F.sum(F.col("_r") * F.col(c)).alias(f"t{i}") for i, c in enumerate(numeric, start=2)]
-        cells = [
-            F.struct(F.lit(i - 2).alias("slot"), F.col(f"t{i}").alias("total"))
-            for i in range(len(numeric) + 2)
-        ]
-        totals_as_rows = F.inline(F.array(*cells))
-        slots = F.array(*[F.col(c) + F.lit(start) for c, start in where.items()]) if where else None
-        slot = F.explode(slots).alias("slot") if where else None
-
-        def sums(weights: DataFrame) -> DataFrame:
-            scored = (
-                rows.join(F.broadcast(weights), "_one").select(*scored_columns).select(*residual_columns)
-            )
-            parts = scored.agg(*totals).select(totals_as_rows)
-            if not where:
-                return parts
-            by_code = scored.select(slot, "_r").where("slot is not null").groupBy("slot")
-            return parts.unionByName(by_code.agg(F.sum("_r").alias("total")))
-
-        return sums
-
     @staticmethod
-    def _step(spark, sums, bias, weights):
-        """Sums of residual * feature, of the residual and of the loss over all rows."""
-        state = pa.table(
-            {
-                "_one": pa.array([1], pa.int32()),
-                "_b": pa.array([float(bias)]),
-                "_w": pa.array([weights.tolist()], pa.list_(pa.float64())),
-            }
-        )
-        found = {slot: total for slot, total in sums(spark.createDataFrame(state)).collect()}
-        loss, bias_slope = found.pop(-2), found.pop(-1)
-        slope = np.zeros(len(weights))
-        for slot, total in found.items():  # one number per weight
-            slope[slot] = total
-        return slope, bias_slope, loss
+    def _step(rows, parts, numbers, starts, bias, weights, eps):
+        """Sums of the loss, of the residual and of residual * feature over all rows."""
+        state = rows.sparkSession.sparkContext.broadcast((float(bias), weights))
+        slots = [(int(a), int(b)) for a, b in zip(starts[:-1], starts[1:], strict=True)]
+
+        def gradient(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            b, w = state.value
+            total = np.zeros(len(w) + 2)
+            for batch in batches:
+                columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+                y, x = columns[0], np.array(columns[1 : 1 + numbers]).reshape(numbers, -1)
+                score = b + w[:numbers] @ x
+                codes = []
+                for column, (start, stop) in zip(columns[1 + numbers :], slots, strict=True):
+                    known = column >= 0
+                    codes.append((known, column[known].astype(np.int64), start, stop))
+                    score[known] += w[start:stop][codes[-1][1]]
+                p = 1.0 / (1.0 + np.exp(-score))
+                residual = p - y
+                total[0] -= np.sum(y * np.log(p + eps) + (1 - y) * np.log(1 - p + eps))
+                total[1] += residual.sum()
+                total[2 : 2 + numbers] += x @ residual
+                for known, code, start, stop in codes:
+                    total[2 + start : 2 + stop] += np.bincount(code, residual[known], stop - start)
+            yield _vector(total)
+
+        sums = rows.mapInArrow(gradient, "total binary")
+        if parts > TREE_PARTS:
+            sums = sums.repartition(int(parts**0.5)).mapInArrow(_added, "total binary")
+        found = sum(np.frombuffer(r[0]) for r in sums.collect())  # a vector per task of the last level
+        state.destroy()
+        return found[0], found[1], found[2:]
+
+
+def _vector(total: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["total"])
+
+
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = None
+    for batch in batches:
+        for data in batch.column(0).to_pylist():
+            vector = np.frombuffer(data)
+            total = vector.copy() if total is None else total + vector
+    if total is not None:
+        yield _vector(total)
 
 
 class GradientDescentLogisticModel(Model, _Columns, DefaultParamsReadable, DefaultParamsWritable):

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from headway.functions import numeric
 from headway.operators.ranking import running_totals
+from headway.session import materialise
 
 
 def cell(truth: int, predicted: int) -> Column:
@@ -84,13 +85,14 @@ def classification_report(df: DataFrame, names: Sequence[str] = ("0", "1")) -> D
 def threshold_counts(df: DataFrame) -> DataFrame:
     """Per distinct score, from the highest: positives and negatives at it and down to it."""
     counted = (
-        df.where(F.col("y_proba").isNotNull())
+        df.where(F.col("y_proba").isNotNull() & ~F.isnan("y_proba"))
         .groupBy(F.col("y_proba").alias("threshold"))
         .agg(
             F.count_if(F.col("y_true") == 1).alias("pos"),
             F.count_if(F.col("y_true") == 0).alias("neg"),
         )
     )
+    counted = materialise(counted, "counted")
     return running_totals(counted, "threshold", ["pos", "neg"], descending=True).withColumnsRenamed(
         {"pos_upto": "tp", "neg_upto": "fp"}
     )
@@ -114,22 +116,32 @@ def ranking_scores(df: DataFrame) -> DataFrame:
     )
 
 
+def _point(df: DataFrame, **values: float | None) -> DataFrame:
+    columns = [F.lit(v).cast("double").alias(k) for k, v in values.items()]
+    return df.sparkSession.range(1).select(*columns)
+
+
 def roc_curve(df: DataFrame) -> DataFrame:
-    """One point per distinct score; the curve starts at (0, 0)."""
-    return threshold_counts(df).select(
-        "threshold",
-        (F.col("fp") / F.col("neg_total")).alias("fpr"),
-        (F.col("tp") / F.col("pos_total")).alias("tpr"),
+    """One point per distinct score, and (0, 0) at threshold infinity; the rate of an absent class is null."""
+    points = threshold_counts(df).select(
+        F.col("threshold").cast("double").alias("threshold"),
+        F.try_divide("fp", "neg_total").alias("fpr"),
+        F.try_divide("tp", "pos_total").alias("tpr"),
     )
+    return points.unionByName(_point(df, threshold=float("inf"), fpr=0.0, tpr=0.0))
 
 
 def precision_recall_curve(df: DataFrame) -> DataFrame:
-    """One point per distinct score; the curve ends at recall 0, precision 1."""
-    return threshold_counts(df).select(
-        "threshold",
-        (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"),
-        (F.col("tp") / F.col("pos_total")).alias("recall"),
+    """One point per distinct score, and recall 0 with precision 1, which has no threshold.
+
+    Without positive rows the recall of the scores is null.
+    """
+    points = threshold_counts(df).select(
+        F.col("threshold").cast("double").alias("threshold"),
+        F.try_divide(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"),
+        F.try_divide("tp", "pos_total").alias("recall"),
     )
+    return points.unionByName(_point(df, threshold=None, precision=1.0, recall=0.0))
 
 
 def calibration(df: DataFrame, bins: int = 10) -> DataFrame:
@@ -186,7 +198,11 @@ def slice_precision_recall(df: DataFrame, column: str, edges: Sequence[float]) -
 
 
 def evaluation(df: DataFrame) -> DataFrame:
-    """All scalar metrics of a scored table in one row, the report and the matrix nested."""
+    """All scalar metrics of a scored table in one row, the report and the matrix nested.
+
+    The scores are written first: the model runs once, not once per metric.
+    """
+    df = materialise(df.select("y_true", "y_pred", "y_proba"), "scores")
     report = classification_report(df).agg(
         F.collect_list(F.struct("row", "precision", "recall", "f1_score", "support")).alias(
             "classification_report"

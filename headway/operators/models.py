@@ -7,6 +7,7 @@ scoring is one map-only job.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -142,25 +143,30 @@ def coefficients(model: PipelineModel, example: DataFrame) -> DataFrame:
 # ---- forest ----------------------------------------------------------------
 
 
-def parse_max_features(value) -> str:
-    """Candidate features per split: sqrt, log2, a count, a fraction, or all."""
-    if value is None or str(value).lower() in ("auto", "none"):
-        return "all"
-    text = str(value).lower()
-    if text in ("sqrt", "log2"):
-        return text
-    try:
-        number = float(text)
-    except ValueError:
-        return "log2"
-    return str(int(number)) if number >= 1 else str(number)
+NAMED_SUBSETS = {"sqrt": "sqrt", "log2": "log2", "auto": "all", "none": "all", "all": "all"}
 
 
-def parse_max_samples(value: float | None, rows: int) -> float:
-    """Share of the rows drawn per tree; a value above one is a number of rows."""
-    if value is None or value <= 0:
+def feature_subset(setting: str | float | None) -> str:
+    """Spark's ``featureSubsetStrategy`` for a name, a share (below one) or a number of features.
+
+    None means all of them; text that is neither a name nor a positive number is an error.
+    """
+    named = NAMED_SUBSETS.get(str(setting).strip().lower())
+    if named:
+        return named
+    if not re.fullmatch(r"[0-9]*[.]?[0-9]+", str(setting).strip()) or float(setting) == 0:
+        raise ValueError(f"max_features {setting!r} is neither a name nor a positive number")
+    share = float(setting)
+    return repr(share) if share < 1 else f"{share:.0f}"
+
+
+def rows_per_tree(setting: float | None, rows: int) -> float:
+    """Spark's ``subsamplingRate`` for a share of the rows (up to one) or a number of rows."""
+    if not setting:
         return 1.0
-    return float(value) if value <= 1 else min(1.0, int(value) / rows)
+    if setting < 0:
+        raise ValueError("max_samples must be positive")
+    return min(1.0, setting / rows if setting > 1 else setting)
 
 
 @dataclass
@@ -174,6 +180,8 @@ class ForestSettings:
     seed: int = 42
     smoothing: float = 10.0
     min_rows: float = 20.0
+    # Candidate split values per feature; days, stops and routes have a few hundred values.
+    max_bins: int = 256
     # Histograms of all tree nodes of one pass; more memory, fewer passes.
     memory_mb: int = 2048
 
@@ -184,7 +192,7 @@ def forest_stages(train: DataFrame, label: str, settings: ForestSettings) -> lis
     if settings.top_stops > 0:
         # the most frequent stops of the fit split, at most `top_stops` names
         stops = encoding.frequent_values(train, "stop_id", settings.top_stops)
-        listed = ", ".join(_text(s) for s in stops)
+        listed = ", ".join(_text(s) for s in stops) or "NULL"
         filled["stop_id"] = f"if(`stop_id` in ({listed}), `stop_id`, {_text(S.OTHER)})"
     fill = _select({f"{c}_level": sql for c, sql in filled.items()})
     levels = fill.transform(train)
@@ -229,11 +237,12 @@ def fit_forest(train: DataFrame, label: str = "label", settings: ForestSettings
     model = RandomForestClassifier(
         featuresCol="features", labelCol=label, weightCol="class_weight",
         numTrees=settings.trees, maxDepth=settings.max_depth, minInstancesPerNode=settings.min_leaf,
-        featureSubsetStrategy=parse_max_features(settings.max_features),
-        subsamplingRate=parse_max_samples(
+        featureSubsetStrategy=feature_subset(settings.max_features),
+        subsamplingRate=rows_per_tree(
             settings.max_samples, 1 if (settings.max_samples or 0) <= 1 else train.count()
         ),
         bootstrap=True, seed=settings.seed, maxMemoryInMB=settings.memory_mb, cacheNodeIds=False,
+        maxBins=settings.max_bins,
     ).fit(rows)
     return PipelineModel([*stages, model])
 

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from headway import schema as S
 from headway.functions import numeric
-from headway.operators.ranking import exact_quantiles
+from headway.operators.ranking import counted_quantiles, exact_quantiles, value_counts
+from headway.session import materialise
 
 
 def long_form(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
@@ -35,7 +36,8 @@ def service_heatmap(df: DataFrame, days: int = S.HEATMAP_DAYS) -> DataFrame:
     return table.orderBy(F.desc("service_date")).limit(days).orderBy("service_date")
 
 
-def hourly_profile(df: DataFrame, label: str = "is_delayed") -> DataFrame:
+def hourly_profile(df: DataFrame, label: str = "is_delayed", **means: str) -> DataFrame:
+    """Delay per hour; ``means`` adds averages of further columns under new names."""
     return (
         df.where(F.col("hour").isNotNull())
         .groupBy("hour")
@@ -43,15 +45,16 @@ def hourly_profile(df: DataFrame, label: str = "is_delayed") -> DataFrame:
             F.avg("delay_minutes").alias("mean_delay"),
             F.count("delay_minutes").alias("n_trips"),
             F.avg(label).alias("delay_rate"),
+            *[F.avg(column).alias(name) for name, column in means.items()],
         )
     )
 
 
 def hourly_median(df: DataFrame, min_trips: int = 500) -> DataFrame:
     """Exact median delay of the hours with enough trips."""
-    known = df.where(F.col("hour").isNotNull() & F.col("delay_minutes").isNotNull())
-    trips = known.groupBy("hour").agg(F.count(F.lit(1)).alias("trip_count"))
-    medians = exact_quantiles(known, "delay_minutes", {"median_delay": 0.5}, ["hour"])
+    counted = value_counts(df, "delay_minutes", ["hour"])
+    trips = counted.groupBy("hour").agg(F.sum("_n").alias("trip_count"))
+    medians = counted_quantiles(counted, "delay_minutes", {"median_delay": 0.5}, ["hour"])
     return trips.where(F.col("trip_count") >= min_trips).join(medians, "hour")
 
 
@@ -114,21 +117,19 @@ def category_frequencies(df: DataFrame, limits: dict[str, int | None]) -> DataFr
         .groupBy("column", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    limited = {c: n for c, n in limits.items() if n}
+    counts = materialise(counts, "frequencies")
     whole = [c for c, n in limits.items() if not n]
-    result = counts.where(F.col("column").isin(whole))
-    for n in sorted(set(limited.values())):
-        columns = [c for c, m in limited.items() if m == n]
-        rank = F.row_number().over(Window.partitionBy("column").orderBy(F.desc("n"), "value"))
-        # rank <= literal lets Spark drop all but n rows per column before the shuffle
-        top = (
-            counts.where(F.col("column").isin(columns))
-            .withColumn("_rank", rank)
-            .where(F.col("_rank") <= n)
-            .drop("_rank")
-        )
-        result = result.unionByName(top)
-    return result
+    limit = F.create_map(*[F.lit(x) for c, n in limits.items() if n for x in (c, n)])
+    rank = F.row_number().over(Window.partitionBy("column").orderBy(F.desc("n"), "value"))
+    most = max((n for n in limits.values() if n), default=0)
+    # rank <= literal lets Spark drop all but that many rows per column before the shuffle
+    top = (
+        counts.where(~F.col("column").isin(whole))
+        .withColumn("_rank", rank)
+        .where((F.col("_rank") <= most) & (F.col("_rank") <= F.element_at(limit, F.col("column"))))
+        .drop("_rank")
+    )
+    return counts.where(F.col("column").isin(whole)).unionByName(top)
 
 
 def label_counts(df: DataFrame, label: str) -> DataFrame:
@@ -151,16 +152,35 @@ def positive_rate(df: DataFrame, label: str) -> DataFrame:
 
 
 def column_overview(df: DataFrame, approximate: bool = False) -> DataFrame:
-    """Type, non-null count and distinct count of each column, by name."""
-    distinct = F.approx_count_distinct if approximate else F.count_distinct
+    """Type, non-null count and distinct count of each column, by name.
+
+    Exact distinct counts go through (column, digest of the value), deduplicated before
+    the shuffle: two narrow columns instead of a copy of the row per column.
+    """
+    types = {f.name: f.dataType.simpleString() for f in df.schema}
+    names = sorted(df.columns)
     row = df.agg(
-        *[F.count(F.col(c)).alias(f"{c}__n") for c in df.columns],
-        *[distinct(F.col(c)).alias(f"{c}__d") for c in df.columns],
+        *[F.count(F.col(c)).alias(f"{c}__n") for c in names],
+        *[F.approx_count_distinct(F.col(c)).alias(f"{c}__d") for c in names if approximate],
     )
-    types = {f.name: f.dataType.simpleString() for f in df.schema}
-    parts = ", ".join(f"'{c}', '{types[c]}', `{c}__n`, `{c}__d`" for c in sorted(df.columns))
-    return row.select(
-        F.expr(f"stack({len(df.columns)}, {parts}) as (column, dtype, non_null, n_unique)")
+    if approximate:
+        parts = ", ".join(f"'{c}', '{types[c]}', `{c}__n`, `{c}__d`" for c in names)
+        return row.select(F.expr(f"stack({len(names)}, {parts}) as (column, dtype, non_null, n_unique)"))
+    parts = ", ".join(f"'{c}', '{types[c]}', `{c}__n`" for c in names)
+    counts = row.select(F.expr(f"stack({len(names)}, {parts}) as (column, dtype, non_null)"))
+    digests = [
+        F.struct(F.lit(c).alias("column"), F.unhex(F.md5(F.col(c).cast("string").cast("binary"))).alias("value"))
+        for c in names
+    ]
+    distinct = (
+        df.select(F.inline(F.array(*digests)))
+        .where(F.col("value").isNotNull())
+        .distinct()
+        .groupBy("column")
+        .agg(F.count(F.lit(1)).alias("n_unique"))
+    )
+    return counts.join(distinct, "column", "left").select(
+        "column", "dtype", "non_null", F.coalesce("n_unique", F.lit(0)).alias("n_unique")
     )
 
 
@@ -177,16 +197,20 @@ def missing_counts(df: DataFrame) -> DataFrame:
 
 def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, sample deviation, minimum, exact quartiles and maximum per column."""
-    values = long_form(df, columns)
-    moments = values.groupBy("column").agg(
-        F.count("value").alias("n"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
+    counted = value_counts(long_form(df, columns), "value", ["column"])
+    n, mean = F.sum("_n"), F.sum(F.col("value") * F.col("_n")) / F.sum("_n")
+    means = counted.groupBy("column").agg(
+        n.alias("n"), mean.alias("mean"), F.min("value").alias("min"), F.max("value").alias("max")
+    )
+    # squares of the distances from the mean, not of the values: no cancellation
+    squares = counted.join(F.broadcast(means), "column").groupBy("column").agg(
+        F.sum(F.pow(F.col("value") - F.col("mean"), F.lit(2.0)) * F.col("_n")).alias("_squares")
+    )
+    quartiles = counted_quantiles(counted, "value", {"q25": 0.25, "q50": 0.5, "q75": 0.75}, ["column"])
+    deviation = F.sqrt(F.try_divide(F.col("_squares"), F.col("n") - 1)).alias("std")
+    return means.join(squares, "column").join(quartiles, "column").select(
+        "column", "n", "mean", deviation, "min", "q25", "q50", "q75", "max"
     )
-    quartiles = exact_quantiles(values, "value", {"q25": 0.25, "q50": 0.5, "q75": 0.75}, ["column"])
-    return moments.join(quartiles, "column")
 
 
 def box_statistics(

@@ -1,41 +1,25 @@
 """Order statistics that never put a whole group, or the whole table, into one task.
 
 All of them start from a table that is already counted per distinct value, so
-copies of a value are combined on the map side before anything is shuffled. When
-many distinct values remain, the value axis is cut at approximate quantiles into
-pieces of bounded size; sums inside the pieces plus the totals of the pieces
-below give exact running totals. The cut points are literals in the plan, so a
-recomputed task cuts exactly as before.
+copies of a value are combined on the map side before anything is shuffled. The
+counted values are range-sorted over the tasks; sums inside the parts plus the
+totals of the parts below give exact running totals. This is one path for every
+size and for every type Spark can order.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql import types as T
 
-from headway.session import lookup_join, materialise, small_table
+from headway.operators.ordering import in_order
+from headway.session import lookup_join, materialise
 
-# Distinct values sorted by one task.
-PIECE_ROWS = 1_000_000
-MAX_PIECES = 4096
-
-
-def _axis(df: DataFrame, value: str) -> Column:
-    """A double that never decreases along the order of ``value``; for text, its first six bytes."""
-    if isinstance(df.schema[value].dataType, StringType):
-        start = F.rpad(F.substring(F.hex(F.encode(F.col(value), "UTF-8")), 1, 12), 12, "0")
-        return F.conv(start, 16, 10).cast("double")
-    return F.col(value).cast("double")
-
-
-def _cut_points(df: DataFrame, pieces: int) -> list[float]:
-    shares = [i / pieces for i in range(1, pieces)]
-    found = df.agg(F.percentile_approx("_axis", shares, pieces * 10)).first()[0]
-    return sorted(set(found))
+# Distinct values of all groups that the built-in quantile may count in memory.
+FEW_VALUES = 1_000_000
 
 
 def running_totals(
@@ -44,66 +28,39 @@ def running_totals(
     measures: Sequence[str],
     groups: Sequence[str] = (),
     descending: bool = False,
-    piece_rows: int = PIECE_ROWS,
-    written: bool = False,
 ) -> DataFrame:
     """Add ``<m>_upto`` and ``<m>_total`` for each measure.
 
     ``counted`` has one row per (groups, value) and no null in either. ``_upto`` is
     the sum over the rows of the group up to and including this one in the order
-    of ``value``; ``_total`` is the sum over the group. ``written`` says that
-    ``counted`` is a written table already.
+    of ``value`` (NaN is the largest number); ``_total`` is the sum over the group.
     """
     groups = list(groups)
-    if not written:
-        counted = materialise(counted, "counted")
     order = F.col(value).desc() if descending else F.col(value)
-    rows = counted.count()
-
-    if rows <= piece_rows:
-        window = Window.partitionBy(*groups).orderBy(order)
-        upto = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        whole = Window.partitionBy(*groups)
-        return counted.withColumns(
-            {f"{m}_upto": F.sum(m).over(upto) for m in measures}
-            | {f"{m}_total": F.sum(m).over(whole) for m in measures}
-        )
+    parts = in_order(counted, [*map(F.col, groups), order], "ordered")
 
-    pieces = min(MAX_PIECES, -(-rows // piece_rows))
-    counted = counted.withColumn("_axis", _axis(counted, value))
-    cuts = _cut_points(counted, pieces)
-    bucketizer = Bucketizer(
-        splits=[-float("inf"), *cuts, float("inf")], inputCol="_axis", outputCol="_piece"
-    )
-    cut = bucketizer.transform(counted).drop("_axis")
-
-    # One row per group and piece: the windows below see at most `pieces` rows per group.
-    piece_order = F.col("_piece").desc() if descending else F.col("_piece")
-    before = (
-        Window.partitionBy(*groups)
-        .orderBy(piece_order)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
+    # One row per group and part: the windows below see as many rows per group as there are parts.
+    before = Window.partitionBy(*groups).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*groups)
     offsets = (
-        cut.groupBy(*groups, "_piece")
+        parts.groupBy(*groups, "_part")
         .agg(*[F.sum(m).alias(f"_{m}") for m in measures])
         .select(
             *groups,
-            "_piece",
+            "_part",
             *[F.coalesce(F.sum(f"_{m}").over(before), F.lit(0)).alias(f"_{m}_before") for m in measures],
             *[F.sum(f"_{m}").over(whole).alias(f"{m}_total") for m in measures],
         )
     )
     within = (
-        Window.partitionBy(*groups, "_piece")
-        .orderBy(order)
+        Window.partitionBy(*groups, "_part")
+        .orderBy("_pos")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    joined = lookup_join(cut, offsets, [*groups, "_piece"], "inner")
+    joined = lookup_join(parts, offsets, [*groups, "_part"], "inner")
     return joined.withColumns(
         {f"{m}_upto": F.col(f"_{m}_before") + F.sum(m).over(within) for m in measures}
-    ).drop("_piece", *[f"_{m}_before" for m in measures])
+    ).drop("_part", "_pos", *[f"_{m}_before" for m in measures])
 
 
 def exact_quantiles(
@@ -112,29 +69,51 @@ def exact_quantiles(
     shares: dict[str, float],
     groups: Sequence[str] = (),
     weight: str | None = None,
-    piece_rows: int = PIECE_ROWS,
+    few_values: int = FEW_VALUES,
 ) -> DataFrame:
-    """Exact quantiles by linear interpolation, one row per group.
+    """Exact quantiles of numbers by linear interpolation, one row per group.
 
     ``shares`` maps output column to quantile, e.g. ``{"median": 0.5}``. An integer
-    ``weight`` column counts each row that many times. Rows with a null value, or
-    a null group as in any grouping here, are left out.
+    ``weight`` column counts each row that many times. Rows with a null or NaN value,
+    or a null group as in any grouping here, are left out.
     """
-    groups = list(groups)
-    counted = (
-        df.dropna(subset=[value, *groups])
-        .groupBy(*groups, value)
-        .agg((F.sum(weight) if weight else F.count(F.lit(1))).cast("long").alias("_n"))
+    counted = value_counts(df, value, groups, weight)
+    return counted_quantiles(counted, value, shares, groups, few_values)
+
+
+def value_counts(
+    df: DataFrame, value: str, groups: Sequence[str] = (), weight: str | None = None
+) -> DataFrame:
+    """Rows (``_n``) per group and value, written once; nulls and NaN are left out."""
+    known = df.dropna(subset=[value, *groups])
+    if isinstance(df.schema[value].dataType, T.FractionalType):
+        known = known.where(~F.isnan(value))
+    counted = known.groupBy(*groups, value).agg(
+        (F.sum(weight) if weight else F.count(F.lit(1))).cast("long").alias("_n")
     )
-    counted = materialise(counted, "counted")
-    if counted.count() <= piece_rows:
-        # few distinct values: the built-in holds at most this many in memory
+    return materialise(counted, "counted")
+
+
+def counted_quantiles(
+    counted: DataFrame,
+    value: str,
+    shares: dict[str, float],
+    groups: Sequence[str] = (),
+    few_values: int = FEW_VALUES,
+) -> DataFrame:
+    """As ``exact_quantiles`` for a table of ``value_counts``.
+
+    A few distinct values are left to the built-in, which gives the same numbers from
+    counts in memory; it never sees more than ``few_values`` of them.
+    """
+    groups = list(groups)
+    if counted.count() <= few_values:
         found = F.percentile(value, list(shares.values()), F.col("_n"))
         return counted.groupBy(*groups).agg(found.alias("_found")).select(
             *groups, *[F.get("_found", F.lit(i)).alias(name) for i, name in enumerate(shares)]
         )
 
-    ranked = running_totals(counted, value, ["_n"], groups, piece_rows=piece_rows, written=True)
+    ranked = running_totals(counted, value, ["_n"], groups)
 
     picks, results = [], []
     for name, share in shares.items():
@@ -166,47 +145,45 @@ def mark_smallest(
 
     The cut is found on counts per ``order`` value and then, inside the one value it
     falls in, on ``key`` (unique). Marking itself is a filter expression over the
-    unshuffled rows. ``groups`` are few, e.g. the classes of a label.
+    unshuffled rows while the groups are few. Null is a group like any other.
     """
-    groups = list(groups) or ["_all"]
-    source = df.withColumn("_all", F.lit(0)) if groups == ["_all"] else df
-    counted = source.groupBy(*groups, order).agg(F.count(F.lit(1)).alias("_n"))
-    ranked = running_totals(counted, order, ["_n"], groups)
+    group = F.to_json(F.struct(*[F.col(g) for g in groups])) if groups else F.lit("")
+    source = df.withColumn("_group", group)
+    counted = source.groupBy("_group", order).agg(F.count(F.lit(1)).alias("_n"))
+    ranked = running_totals(materialise(counted, "counted"), order, ["_n"], ["_group"])
     if rows is not None:
         wanted = F.lit(int(rows)).cast("long")
     else:
         wanted = F.round(F.col("_n_total") * F.lit(float(share))).cast("long")
     cuts = (
         ranked.withColumn("_wanted", wanted)
-        .groupBy(*groups)
+        .groupBy("_group")
         .agg(
             F.min(F.when(F.col("_n_upto") > F.col("_wanted"), F.col(order))).alias("_edge"),
             F.max(F.when(F.col("_n_upto") <= F.col("_wanted"), F.col("_n_upto"))).alias("_taken"),
             F.max("_wanted").alias("_wanted"),
+            (F.max("_n_total") <= F.max("_wanted")).alias("_whole"),
         )
-        .select(*groups, "_edge", (F.col("_wanted") - F.coalesce("_taken", F.lit(0))).alias("_rest"))
+        .select("_group", "_edge", "_whole", (F.col("_wanted") - F.coalesce("_taken", F.lit(0))).alias("_rest"))
     )
-    cuts = small_table(cuts)
-    if cuts is None:
-        raise ValueError("too many groups to draw an exact share from each")
-    marked = source.join(F.broadcast(cuts), groups, "left")
+    marked = lookup_join(source, materialise(cuts, "cuts"), ["_group"])
 
     # Rows of the one order value the cut falls in, ranked by key.
     edge_rows = (
         marked.where((F.col(order) == F.col("_edge")) & (F.col("_rest") > 0))
-        .groupBy(*groups, key, "_rest")
+        .groupBy("_group", key, "_rest")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    edge = running_totals(edge_rows, key, ["_n"], groups)
-    edge_keys = edge.where(F.col("_n_upto") <= F.col("_rest")).groupBy(*groups).agg(F.max(key).alias("_key"))
-    marked = marked.join(F.broadcast(small_table(edge_keys)), groups, "left")
+    edge = running_totals(materialise(edge_rows, "counted"), key, ["_n"], ["_group"])
+    edge_keys = edge.where(F.col("_n_upto") <= F.col("_rest")).groupBy("_group").agg(F.max(key).alias("_key"))
+    marked = lookup_join(marked, materialise(edge_keys, "cuts"), ["_group"])
     inside = (
-        F.col("_edge").isNull()
+        F.col("_whole")
         | (F.col(order) < F.col("_edge"))
         | ((F.col(order) == F.col("_edge")) & (F.col(key) <= F.col("_key")))
     )
     return marked.withColumn(output, F.coalesce(inside, F.lit(False))).drop(
-        "_edge", "_rest", "_key", "_all"
+        "_group", "_edge", "_whole", "_rest", "_key"
     )
 
 

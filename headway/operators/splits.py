@@ -8,11 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headway import schema as S
-from headway.operators.ranking import mark_smallest
+from headway.operators.ranking import mark_smallest, running_totals
+from headway.session import materialise
 
-# Sampling hash: a linear congruence on the key, the same in any SQL dialect.
-HASH_PRIME = 1_000_003
-HASH_FACTOR = 7_919
+# Sampling hash: the first hexadecimal digits of a digest of the key, the same in any SQL dialect.
+HASH_DIGITS = 12
+HASH_RANGE = 16**HASH_DIGITS
+
+Keys = str | Sequence[str]
 
 
 def split_label(day: Column, dates: Sequence[str] = S.SPLIT_DATES) -> Column:
@@ -44,9 +47,11 @@ def split_at(df: DataFrame, date: str) -> tuple[DataFrame, DataFrame]:
     return df.where(day < cut), df.where(day >= cut)
 
 
-def sampling_hash(key: Column, seed: int = 42) -> Column:
-    """A number in [0, HASH_PRIME) that depends only on the key and the seed."""
-    return F.pmod(F.pmod(key, F.lit(HASH_PRIME)) * HASH_FACTOR + seed, F.lit(HASH_PRIME))
+def sampling_hash(key: Keys, seed: int = 42) -> Column:
+    """A number in [0, HASH_RANGE) that depends only on the seed and the key columns, of any type."""
+    names = [key] if isinstance(key, str) else list(key)
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in names])
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, HASH_DIGITS), 16, 10).cast("long")
 
 
 def check_fraction(fraction: float) -> None:
@@ -54,42 +59,48 @@ def check_fraction(fraction: float) -> None:
         raise ValueError("the sample fraction must be within (0, 1]")
 
 
-def fraction_sample(df: DataFrame, key: str, fraction: float, seed: int = 42) -> DataFrame:
+def fraction_sample(df: DataFrame, key: Keys, fraction: float, seed: int = 42) -> DataFrame:
     """A repeatable sample by key: a map-side filter, no shuffle, no random state."""
     check_fraction(fraction)
     if fraction == 1:
         return df
-    return df.where(sampling_hash(F.col(key), seed) < int(fraction * HASH_PRIME))
+    return df.where(sampling_hash(key, seed) < int(fraction * HASH_RANGE))
+
+
+def _hashed(df: DataFrame, key: Keys, seed: int) -> tuple[DataFrame, str]:
+    """Column ``_hash``, and the name of a single column that breaks its ties."""
+    if isinstance(key, str):
+        return df.withColumn("_hash", sampling_hash(key, seed)), key
+    parts = F.to_json(F.struct(*[F.col(c) for c in key]))
+    return df.withColumns({"_hash": sampling_hash(key, seed), "_key_text": parts}), "_key_text"
 
 
-def fixed_sample(df: DataFrame, key: str, rows: int, seed: int = 42) -> DataFrame:
+def fixed_sample(df: DataFrame, key: Keys, rows: int, seed: int = 42) -> DataFrame:
     """Exactly ``rows`` rows (or all of a smaller table), picked by the hash of a unique key."""
-    hashed = df.withColumn("_hash", sampling_hash(F.col(key), seed))
-    return mark_smallest(hashed, "_hash", key, "_in", rows=rows).where("_in").select(*df.columns)
+    hashed, tie = _hashed(df, key, seed)
+    return mark_smallest(hashed, "_hash", tie, "_in", rows=rows).where("_in").select(*df.columns)
 
 
 def row_cap(df: DataFrame, rows: int, order: str) -> DataFrame:
-    """The first ``rows`` rows in the order of a unique column; no cap if not positive."""
+    """The first ``rows`` rows in the order of a unique column; no cap if not positive.
+
+    Only the column is sorted, over all tasks; the rows themselves are filtered. Nulls
+    have no place in the order and are left out.
+    """
     if rows <= 0:
         return df
-    # An upper bound of the cut from a sketch keeps the exact step to about `rows` rows.
-    total = df.count()
-    if total <= rows:
-        return df
-    share = min(1.0, rows / total + 0.01)
-    bound = df.agg(F.percentile_approx(order, F.lit(share), F.lit(10_000))).first()[0]
-    near = df.where(F.col(order) <= bound)
-    if near.count() >= rows:
-        df = near
-    return mark_smallest(df, order, order, "_in", rows=rows).where("_in").select(*df.columns)
+    counted = df.where(F.col(order).isNotNull()).groupBy(order).agg(F.count(F.lit(1)).alias("_n"))
+    ranked = running_totals(materialise(counted, "counted"), order, ["_n"])
+    last = ranked.where(F.col("_n_upto") <= rows).agg(F.max(order)).first()[0]
+    return df.where(F.col(order) <= F.lit(last))
 
 
 def stratified_holdout(
-    df: DataFrame, label: str, key: str, test_share: float = 0.2, seed: int = 42
+    df: DataFrame, label: str, key: Keys, test_share: float = 0.2, seed: int = 42
 ) -> DataFrame:
-    """Adds ``is_test``: the same share of each class, exact to the rounded row."""
-    hashed = df.withColumn("_hash", sampling_hash(F.col(key), seed))
-    return mark_smallest(hashed, "_hash", key, "is_test", share=test_share, groups=[label]).select(
+    """Adds ``is_test``: the same share of each class, exact to the rounded row; null is a class."""
+    hashed, tie = _hashed(df, key, seed)
+    return mark_smallest(hashed, "_hash", tie, "is_test", share=test_share, groups=[label]).select(
         *df.columns, "is_test"
     )
 

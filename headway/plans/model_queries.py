@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -174,11 +175,21 @@ def assembled_vectors(spark, folder):
 STEPS, RATE, ALPHA = 3, 0.5, 0.001
 
 
+# The joint-bias run: random start weights, and a norm that is reached before the last step.
+JOINT_STEPS, JOINT_SCALE, JOINT_TOL = 6, 0.3, 0.12
+
+
+def joint_start():
+    """Bias and weights as the estimator draws them with its default seed."""
+    return np.random.default_rng(42).normal(0.0, JOINT_SCALE, len(oracle.descent_names()) + 1)
+
+
 def descent(rows, **settings):
+    settings = {"maxIter": STEPS, "tol": 0.0, "startScale": 0.0} | settings
     rows = rows.withColumn("point_type", text.category(F.col("point_type")))
     return models.fit_gradient_descent(
         rows, "is_delayed", oracle.DESCENT_NUMERIC, list(oracle.DESCENT_LEVELS),
-        learningRate=RATE, maxIter=STEPS, alpha=ALPHA, tol=0.0, startScale=0.0, **settings,
+        learningRate=RATE, alpha=ALPHA, **settings,
     ), rows
 
 
@@ -196,9 +207,13 @@ def descent_weights(spark, folder):
     return weights_table(model, rows)
 
 
-@query(oracle.descent_weights(STEPS, RATE, ALPHA, 1e-15))
+@query(oracle.descent_stopped(JOINT_STEPS, RATE, ALPHA, 1e-15, joint_start(), JOINT_TOL))
 def descent_weights_joint_bias(spark, folder):
-    model, rows = descent(late_trips(spark, folder), biasInWeights=True, eps=1e-15)
+    """The bias starts at random like a weight and counts in the norm that ends the descent."""
+    model, rows = descent(
+        late_trips(spark, folder), biasInWeights=True, eps=1e-15, maxIter=JOINT_STEPS,
+        startScale=JOINT_SCALE, tol=JOINT_TOL,
+    )
     return weights_table(model, rows)
 
 

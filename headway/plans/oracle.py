@@ -4,7 +4,15 @@ from __future__ import annotations
 
 from headway import schema as S
 
-HASH = "((({key} % 1000003) * 7919 + 42) % 1000003)"
+# The sampling hash of a key with seed 42; texts of twelve hexadecimal digits order as numbers.
+HASH = "substr(md5('42|' || CAST({key} AS VARCHAR)), 1, 12)"
+
+
+def share_of_hash(share: float) -> str:
+    return f"'{int(share * 16**12):012x}'"
+
+
+HALF = share_of_hash(0.5)
 
 
 def label_case(code: str) -> str:
@@ -184,9 +192,13 @@ def descent_names() -> list[str]:
     return names + [f"{c}_filled_onehot_{v}" for c, vs in DESCENT_LEVELS.items() for v in vs]
 
 
-def descent_tables(steps: int, rate: float, alpha: float, eps: float) -> str:
-    """CTEs ``x`` (features) and ``w0`` .. ``w<steps>`` (weights, loss of the step)."""
+def descent_tables(steps: int, rate: float, alpha: float, eps: float, start=None) -> str:
+    """CTEs ``x`` (features), ``w0`` .. ``w<steps>`` (weights, loss of the step) and ``g<step>`` (slopes).
+
+    ``start`` holds the bias and the weights to start from, all zero by default.
+    """
     size = len(descent_names())
+    start = [0.0] * (size + 1) if start is None else [float(v) for v in start]
     features = [
         f"(t.{c} - (SELECT avg({c}) FROM trips)) / (SELECT stddev_pop({c}) FROM trips) AS x{i}"
         for i, c in enumerate(DESCENT_NUMERIC)
@@ -198,10 +210,9 @@ def descent_tables(steps: int, rate: float, alpha: float, eps: float) -> str:
                 f"CASE WHEN coalesce({column}, '<missing>') = '{level}' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS x{i}"
             )
             i += 1
-    zero = "CAST(0 AS DOUBLE)"
     parts = [
         f"x AS (SELECT trip_id, CASE WHEN delay_minutes >= 5.0 THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS y, {', '.join(features)} FROM trips t)",
-        f"w0 AS (SELECT {zero} AS b, {', '.join(f'{zero} AS w{j}' for j in range(size))}, {zero} AS loss)",
+        f"w0 AS (SELECT {number(start[0])} AS b, {', '.join(f'{number(v)} AS w{j}' for j, v in enumerate(start[1:]))}, {number(0.0)} AS loss)",
     ]
     score = "b + " + " + ".join(f"w{j} * x{j}" for j in range(size))
     for step in range(steps):
@@ -229,6 +240,20 @@ def descent_weights(steps: int, rate: float, alpha: float, eps: float) -> str:
     return f"{descent_tables(steps, rate, alpha, eps)} {' UNION ALL '.join(rows)}"
 
 
+def descent_stopped(steps: int, rate: float, alpha: float, eps: float, start, tol: float) -> str:
+    """As ``descent_weights`` up to the first step whose slopes, the bias's included, have a norm below ``tol``."""
+    size = len(descent_names())
+    squares = " + ".join(f"g{j} * g{j}" for j in range(size))
+    norms = " UNION ALL ".join(f"SELECT {i + 1} AS step, sqrt({squares} + gb * gb) AS norm FROM g{i}" for i in range(steps))
+    stop = f"stop AS (SELECT coalesce(min(step) FILTER (norm < {number(tol)}), {steps}) AS stop FROM ({norms}))"
+    rows = []
+    for i in range(1, steps + 1):
+        rows.append(f"SELECT 'bias' AS name, round(b, 6) AS value FROM w{i}, stop WHERE stop = {i}")
+        rows += [f"SELECT '{n}', round(w{j}, 6) FROM w{i}, stop WHERE stop = {i}" for j, n in enumerate(descent_names())]
+        rows.append(f"SELECT 'loss_{i}', round(loss, 6) FROM w{i}, stop WHERE stop >= {i}")
+    return f"{descent_tables(steps, rate, alpha, eps, start)}, {stop} {' UNION ALL '.join(rows)}"
+
+
 def descent_scores(steps: int, rate: float, alpha: float, eps: float) -> str:
     score = "b + " + " + ".join(f"w{j} * x{j}" for j in range(len(descent_names())))
     return (

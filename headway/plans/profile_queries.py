@@ -32,9 +32,7 @@ LATE = "CAST(CASE WHEN delay_minutes >= 5.0 THEN 1 ELSE 0 END AS BIGINT)"
     ("weathered",),
 )
 def hourly_profile(spark, folder):
-    rows = late_trips(spark, folder)
-    weather = rows.groupBy("hour").agg(F.avg("air_temp_c").alias("mean_temp"))
-    return profiles.hourly_profile(rows).join(weather, "hour")
+    return profiles.hourly_profile(late_trips(spark, folder), mean_temp="air_temp_c")
 
 
 @query(
@@ -149,14 +147,13 @@ TOP = """(SELECT '{c}' AS "column", {c} AS value, count(*) AS n FROM weathered W
 
 @query(
     " UNION ALL ".join(
-        TOP.format(c=c, k=k)
-        for c, k in {"route_id": 15, "stop_id": 15, "point_type": 99, "direction_id": 99, "weather_condition": 15}.items()
+        TOP.format(c=c, k=k or 10**9)
+        for c, k in S.CATEGORY_LIMITS.items()
     ),
     ("weathered",),
 )
 def category_frequencies(spark, folder):
-    limits = {"route_id": 15, "stop_id": 15, "point_type": None, "direction_id": None, "weather_condition": 15}
-    return profiles.category_frequencies(weathered(spark, folder), limits)
+    return profiles.category_frequencies(weathered(spark, folder), S.CATEGORY_LIMITS)
 
 
 @query(f"SELECT {LATE} AS is_delayed, count(*) AS n FROM trips GROUP BY 1", ("trips",))
@@ -297,23 +294,17 @@ def delay_density(spark, folder):
     return profiles.delay_density(clipped_trips(spark, folder), "delay_minutes_clipped")
 
 
-HISTOGRAM_COLUMNS = [
-    "hour", "weekday", "time_point_order", "air_temp_c", "rel_humidity_pct", "precip_mm",
-    "wind_speed_kmh", "pressure_hpa", "cloud_cover",
-]
-
-
 @query(
     " UNION ALL ".join(
         f"""SELECT '{c}' AS "column", least(CAST(floor((CAST({c} AS DOUBLE) - lo) / (hi - lo) * 30) AS BIGINT), 29) AS bin,
         count(*) AS n FROM weathered, (SELECT CAST(min({c}) AS DOUBLE) AS lo, CAST(max({c}) AS DOUBLE) AS hi FROM weathered)
         WHERE {c} IS NOT NULL GROUP BY 1, 2"""
-        for c in HISTOGRAM_COLUMNS
+        for c in S.HISTOGRAM_COLUMNS
     ),
     ("weathered",),
 )
 def feature_histograms(spark, folder):
-    return profiles.feature_histograms(weathered(spark, folder), HISTOGRAM_COLUMNS)
+    return profiles.feature_histograms(weathered(spark, folder), S.HISTOGRAM_COLUMNS)
 
 
 @query(
@@ -372,7 +363,8 @@ def ranking_scores(spark, folder):
 
 
 @query(
-    "SELECT round(threshold, 6) AS threshold, round(fp / n, 6) AS fpr, round(tp / p, 6) AS tpr FROM curve",
+    """SELECT round(threshold, 6) AS threshold, round(fp / n, 6) AS fpr, round(tp / p, 6) AS tpr FROM curve
+    UNION ALL SELECT CAST('inf' AS DOUBLE), CAST(0 AS DOUBLE), CAST(0 AS DOUBLE)""",
     ("curve",),
 )
 def roc_curve(spark, folder):
@@ -380,7 +372,8 @@ def roc_curve(spark, folder):
 
 
 @query(
-    "SELECT round(threshold, 6) AS threshold, round(tp / (tp + fp), 6) AS precision, round(tp / p, 6) AS recall FROM curve",
+    """SELECT round(threshold, 6) AS threshold, round(tp / (tp + fp), 6) AS precision, round(tp / p, 6) AS recall FROM curve
+    UNION ALL SELECT NULL, CAST(1 AS DOUBLE), CAST(0 AS DOUBLE)""",
     ("curve",),
 )
 def precision_recall_curve(spark, folder):

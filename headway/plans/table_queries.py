@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from headway.functions import calendar, labels, numeric, text, time
 from headway.operators import cleaning, features, splits
 from headway.operators.profiles import preview
 from headway.plans import tables as D
-from headway.plans.oracle import HASH, label_case, pad
+from headway.plans.oracle import HALF, HASH, label_case, pad, share_of_hash
 from headway.plans.registry import query
+from headway.sources import arrivals
 from headway.sources.arrivals import union_by_name
 
 RAW = "service_date, scheduled, actual, route_id, direction_id, stop_id, time_point_order, point_type"
@@ -64,7 +66,7 @@ def pruned_scan(spark, folder):
 
 @query(
     f"""SELECT trip_id, stop_id, round(delay_minutes, 6) AS delay_minutes FROM
-    (SELECT * FROM trips ORDER BY trip_id LIMIT 2500) WHERE {HASH.format(key="trip_id")} < 500001""",
+    (SELECT * FROM trips ORDER BY trip_id LIMIT 2500) WHERE {HASH.format(key="trip_id")} < {HALF}""",
     ("trips",),
 )
 def capped_sampled_scan(spark, folder):
@@ -303,7 +305,7 @@ def weather_functions(spark, folder):
 
 @query(
     f"""SELECT trip_id, {pad("stop_id")} AS padded, coalesce(nullif(trim(kind), ''), '<missing>') AS category,
-    CASE WHEN trim(kind) = '' THEN 'Unknown' ELSE trim(kind) END AS legacy FROM
+    CASE WHEN kind IS NULL THEN '<missing>' WHEN trim(kind) = '' THEN 'Unknown' ELSE trim(kind) END AS legacy FROM
     (SELECT trip_id, stop_id, CASE point_type WHEN 'view' THEN '  ' WHEN 'click' THEN ' click ' ELSE point_type END AS kind
     FROM trips)""",
     ("trips",),
@@ -417,7 +419,9 @@ def row_cap(spark, folder):
     return splits.row_cap(D.trips(spark, folder).select("trip_id", "stop_id"), 1000, "trip_id")
 
 
-@query(f"SELECT trip_id, stop_id FROM trips WHERE {HASH.format(key='trip_id')} < 300000", ("trips",))
+@query(
+    f"SELECT trip_id, stop_id FROM trips WHERE {HASH.format(key='trip_id')} < {share_of_hash(0.3)}", ("trips",)
+)
 def fraction_sample(spark, folder):
     return splits.fraction_sample(D.trips(spark, folder).select("trip_id", "stop_id"), "trip_id", 0.3)
 
@@ -427,6 +431,45 @@ def fixed_size_sample(spark, folder):
     return splits.fixed_sample(D.trips(spark, folder).select("trip_id", "stop_id"), "trip_id", 700)
 
 
+@query(
+    f"""SELECT trip_id, route_id, stop_id FROM trips
+    WHERE {HASH.format(key="route_id || '|' || stop_id || '|' || trip_id")} < {share_of_hash(0.25)}""",
+    ("trips",),
+)
+def fraction_sample_text_keys(spark, folder):
+    """A sample by several key columns, two of them text."""
+    rows = D.trips(spark, folder).select("trip_id", "route_id", "stop_id")
+    return splits.fraction_sample(rows, ["route_id", "stop_id", "trip_id"], 0.25)
+
+
+@query(
+    f"""SELECT trip_id, point_type, CAST(CASE WHEN rn <= round(n * 0.2) THEN 1 ELSE 0 END AS BIGINT) AS is_test
+    FROM (SELECT trip_id, point_type, row_number() OVER (PARTITION BY point_type ORDER BY
+          {HASH.format(key="trip_id")}, CAST(trip_id AS VARCHAR)) AS rn, count(*) OVER (PARTITION BY point_type) AS n
+          FROM trips)""",
+    ("trips",),
+)
+def stratified_holdout_text(spark, folder):
+    """A hold-out by a text key over text classes; trips without a class are one more class."""
+    rows = D.trips(spark, folder).select("trip_id", "point_type", F.col("trip_id").cast("string").alias("key"))
+    return splits.stratified_holdout(rows, "point_type", "key").drop("key")
+
+
+@query(
+    """SELECT event_id, user_id AS whole, CAST(round(value, 2) AS BIGINT) AS rounded
+    FROM (SELECT event_id, user_id, CASE WHEN round(value, 2) = floor(round(value, 2)) THEN value END AS value FROM events)""",
+)
+def float_text_integers(spark, folder):
+    """Whole numbers written as 8.0 are whole numbers; other decimals are no value of the type."""
+    text = D.read(spark, folder, "events").select(
+        "event_id",
+        F.concat(F.col("user_id").cast("string"), F.lit(".0")).alias("whole"),
+        F.round("value", 2).cast("string").alias("rounded"),
+    )
+    return arrivals.typed(text, {"whole": T.LongType(), "rounded": T.LongType()})
+
+
+
 @query("SELECT split, count(*) AS n_rows, count(DISTINCT label) AS n_classes FROM labelled GROUP BY 1", ("labelled",))
 def split_guards(spark, folder):
     return splits.split_sizes(labelled_shipments(spark, folder), "label")

@@ -56,16 +56,32 @@ ROUTE_HOUR_STATS = [
     "route_hour_delay_mean", "route_hour_delay_median", "route_hour_delay_count",
 ]
 NOTEBOOK_NUMERIC = LINEAR_NUMERIC + ROUTE_HOUR_STATS
+NOTEBOOK_PARSED = [
+    "hour", "weekday", "is_weekend", "time_point_order", "air_temp_c", "rel_humidity_pct",
+    "precip_mm", "wind_dir_deg", "wind_speed_kmh", "pressure_hpa", "cloud_cover",
+    "delay_minutes",
+]
 NOTEBOOK_CATEGORICAL = [
     "route_id", "direction_id", "point_type", "weather_condition", "season",
 ]
 
-LEGACY_NUMERIC = LINEAR_NUMERIC[:12]
+LEGACY_NUMERIC = [
+    "hour", "weekday", "is_weekend", "time_point_order", "air_temp_c",
+    "rel_humidity_pct", "precip_mm", "wind_speed_kmh", "pressure_hpa",
+    "cloud_cover", "wind_dir_sin", "wind_dir_cos",
+]
 LEGACY_CATEGORICAL = ["route_id", "direction_id", "point_type", "weather_condition"]
 
 TARGET_ENCODED = ["route_id", "stop_id"]
 ORDINAL_ENCODED = ["direction_id", "point_type", "weather_condition", "season"]
 
+HISTOGRAM_COLUMNS = [
+    "hour", "weekday", "time_point_order", "air_temp_c", "rel_humidity_pct", "precip_mm",
+    "wind_speed_kmh", "pressure_hpa", "cloud_cover",
+]
+CATEGORY_LIMITS = {
+    "route_id": 15, "stop_id": 15, "point_type": None, "direction_id": None, "weather_condition": 15,
+}
 BOX_COLUMNS = ["air_temp_c", "precip_mm", "wind_speed_kmh", "cloud_cover"]
 
 # ---- fixed values: weather codes -------------------------------------------

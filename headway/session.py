@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,13 +55,36 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
+# Paths of the tables written inside the open ``intermediates`` blocks, innermost last.
+_owned: list[list[str]] = []
+
+
+@contextmanager
+def intermediates(spark: SparkSession) -> Iterator[None]:
+    """Tables materialised inside the block are deleted at its end, kept ones excepted.
+
+    A result that still reads them must be written, or collected, inside the block.
+    """
+    _owned.append([])
+    try:
+        yield
+    finally:
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        for path in _owned.pop():
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(conf).delete(folder, True)
+
+
+def materialise(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
     """Write ``df`` once to the shared folder and continue from the written table.
 
     Cuts the lineage, survives the loss of executors, keeps column pruning, and
-    makes a later ``count()`` a footer read.
+    makes a later ``count()`` a footer read. An enclosing ``intermediates`` block
+    deletes the table at its end unless it is to be kept.
     """
     path = f"{shared_folder(df.sparkSession)}/headway/{label}-{uuid.uuid4().hex}"
+    if _owned and not keep:
+        _owned[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from headway import schema as S
@@ -36,25 +37,60 @@ def list_csv(spark: SparkSession, path: str) -> list[str]:
     return sorted(files)
 
 
-def read_csv(spark: SparkSession, path: str, types: dict[str, T.DataType]) -> DataFrame:
-    """One CSV file or folder whose files share a header; columns are typed by name.
+def read_text(spark: SparkSession, path: str) -> DataFrame:
+    """The CSV files of a file or folder with every column as text.
 
-    Types are declared rather than inferred: inference needs a pass over the data
-    and may read the same identifier as a number in one file and as text in the
-    next. A file of the folder with a different header is an error.
+    Files may order or choose their columns differently: those of one header are read
+    together, and the groups are matched by column name.
     """
-    first = list_csv(spark, path)[0]
-    names = spark.read.option("header", True).csv(first).columns
-    schema = T.StructType([T.StructField(n, types.get(n, T.StringType())) for n in names])
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("pathGlobFilter", "*.csv")
-        .csv(path)
+    headers: dict[tuple[str, ...], list[str]] = {}
+    for file in list_csv(spark, path):
+        names = tuple(spark.read.option("header", True).csv(file).columns)
+        headers.setdefault(names, []).append(file)
+    return union_by_name(
+        [
+            spark.read.schema(T.StructType([T.StructField(n, T.StringType()) for n in names]))
+            .option("header", True)
+            .csv(files)
+            for names, files in headers.items()
+        ]
     )
 
 
+def _typed(column: str, dtype: T.DataType) -> Column:
+    """Text as a value of the type; null if it is none. Whole numbers may be written as 8.0."""
+    value = F.trim(F.col(f"`{column}`"))
+    if isinstance(dtype, T.IntegralType):
+        number = value.try_cast("double")
+        return F.when(number == F.floor(number), number.try_cast(dtype))
+    return F.col(f"`{column}`") if isinstance(dtype, T.StringType) else value.try_cast(dtype)
+
+
+def typed(df: DataFrame, types: dict[str, T.DataType]) -> DataFrame:
+    """Text columns converted to the types stated for them, others as they are."""
+    return df.withColumns({c: _typed(c, t) for c, t in types.items() if c in df.columns})
+
+
+def unreadable(df: DataFrame, types: dict[str, T.DataType]) -> DataFrame:
+    """Per column the number of non-empty texts that are no value of the stated type, in one pass."""
+    known = [c for c in types if c in df.columns]
+    lost = [
+        F.count_if((F.trim(F.col(f"`{c}`")) != "") & _typed(c, types[c]).isNull()).alias(c) for c in known
+    ]
+    parts = ", ".join(f"'{c}', `{c}`" for c in known)
+    return df.agg(*lost).select(F.expr(f"stack({len(known)}, {parts}) as (column, n_unreadable)"))
+
+
+def read_csv(spark: SparkSession, path: str, types: dict[str, T.DataType]) -> DataFrame:
+    """CSV files typed by column name, read as text and then converted.
+
+    Types are declared rather than inferred: inference needs a pass over the data and may
+    read the same identifier as a number in one file and as text in the next. What cannot
+    be converted is null; ``unreadable`` counts it.
+    """
+    return typed(read_text(spark, path), types)
+
+
 def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
     """All rows of all frames, columns matched by name, absent ones null."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

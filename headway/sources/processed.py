@@ -43,10 +43,20 @@ def _written(spark: SparkSession, path: str, pattern: str, newest: bool):
     return files.agg(pick("modificationTime")).first()[0]
 
 
-def is_fresh(spark: SparkSession, source: str, cache: str) -> bool:
+def _arguments(spark: SparkSession, cache: str) -> str | None:
+    """What the cache was built with; None if it does not say."""
+    try:
+        row = spark.read.text(f"{cache}/_arguments").first()
+    except AnalysisException:
+        return None
+    return row[0] if row else None
+
+
+def is_fresh(spark: SparkSession, source: str, cache: str, arguments: str) -> bool:
     built = _written(spark, cache, "*.parquet", newest=False)
     changed = _written(spark, source, "*.csv", newest=True)
-    return built is not None and changed is not None and built >= changed
+    newer = built is not None and changed is not None and built >= changed
+    return newer and _arguments(spark, cache) == arguments
 
 
 def load_or_build(
@@ -57,8 +67,12 @@ def load_or_build(
     rebuild: bool = False,
     clipped_delay: bool = False,
 ) -> DataFrame:
-    if rebuild or not is_fresh(spark, source, cache):
+    """The processed table of ``source``; one built with other arguments is built again."""
+    arguments = f"tolerance={float(tolerance)} clipped_delay={clipped_delay}"
+    if rebuild or not is_fresh(spark, source, cache, arguments):
         write_by_month(processed_table(read_integrated(spark, source), tolerance, clipped_delay), cache)
+        said = spark.createDataFrame([(arguments,)], "value string")
+        said.coalesce(1).write.mode("overwrite").text(f"{cache}/_arguments")
     # the month is text, not a date, also when read back
     return spark.read.option("basePath", cache).parquet(cache).withColumn(
         "service_month", F.col("service_month").cast("string")

@@ -14,8 +14,8 @@ def raw(spark, *rows):
     return spark.createDataFrame(rows, RAW)
 
 
-FIVE_LATE = ("2023-01-01", "2023-01-01 08:00:00", "2023-01-01 08:05:00", "1", "0", "S1", 1, "A")
-TEN_EARLY = ("2023-01-01", "2023-01-01 09:30:00", "2023-01-01 09:20:00", "1", "1", "S2", 2, "B")
+FIVE_LATE = ("2023-01-01", "2023-01-01 17:12:30", "2023-01-01 17:17:30", "1", "0", "S1", 1, "A")
+TEN_EARLY = ("2023-01-01", "2023-01-01 06:10:00", "2023-01-01 06:00:00", "1", "1", "S2", 2, "B")
 
 
 def test_distinct_treats_nulls_as_equal(spark):
@@ -33,7 +33,7 @@ def test_clean_arrivals_columns_and_delay(spark):
     assert (late["delay_seconds"], late["delay_minutes"]) == (300.0, 5.0)
     assert early["delay_seconds"] == -600.0
     # a Sunday
-    assert (late["hour"], late["weekday"], late["is_weekend"]) == (8, 6, 1)
+    assert (late["hour"], late["weekday"], late["is_weekend"]) == (17, 6, 1)
 
 
 def test_only_the_time_of_day_counts(spark):
@@ -62,9 +62,9 @@ WEATHER = "year int, month int, day int, hour int, temp double, temp_source stri
 def weather(spark):
     return spark.createDataFrame(
         [
-            (2023, 1, 1, 0, 1.0, "x", 50.0, 0.0, 180.0, 3.0, 1010.0, 0.1, 1, 5.0),
-            (2023, 1, 1, 1, 2.0, "x", 50.0, 0.0, 180.0, 3.0, 1010.0, 0.1, 3, 5.0),
-            (2023, 1, 1, 2, 2.0, "x", 50.0, 0.0, 180.0, 3.0, 1010.0, 0.1, 28, 5.0),
+            (2024, 6, 9, 13, 21.5, "model", 43.0, 0.4, 265.0, 17.2, 998.7, 6.0, 17, 31.0),
+            (2024, 6, 9, 14, 19.0, "model", 61.0, 2.1, 270.0, 22.8, 997.9, 8.0, 25, 48.5),
+            (2024, 6, 9, 15, 18.2, "site", 72.0, 0.0, 290.0, 11.3, 998.1, 7.0, 99, 20.0),
         ],
         WEATHER,
     )
@@ -73,17 +73,17 @@ def weather(spark):
 def test_clean_conditions(spark):
     out = cleaning.clean_conditions(weather(spark))
     assert out.columns == ["timestamp_hour", *S.CONDITION_COLUMNS.values()]
-    assert [r["weather_condition"] for r in out.orderBy("timestamp_hour").collect()] == ["Clear", "Cloudy", None]
+    assert [r["weather_condition"] for r in out.orderBy("timestamp_hour").collect()] == ["Rain Shower", "Thunderstorm", None]
 
 
 def test_arrival_gets_the_weather_of_its_hour(spark):
     arrivals = spark.createDataFrame(
-        [(1, dt.datetime(2023, 1, 1, 0, 30)), (2, dt.datetime(2023, 1, 3, 0, 30)), (3, None)],
+        [(1, dt.datetime(2024, 6, 9, 13, 47)), (2, dt.datetime(2024, 6, 11, 13, 47)), (3, None)],
         "id int, actual_dt timestamp_ntz",
     )
     hourly = cleaning.clean_conditions(weather(spark))
     rows = {r["id"]: r for r in features.join_conditions(arrivals, hourly).collect()}
-    assert rows[1]["event_hour"] == dt.datetime(2023, 1, 1) and rows[1]["air_temp_c"] == 1.0
+    assert rows[1]["event_hour"] == dt.datetime(2024, 6, 9, 13) and rows[1]["air_temp_c"] == 21.5
     assert rows[2]["air_temp_c"] is None and rows[3]["event_hour"] is None
     assert features.join_conditions(arrivals, hourly, drop_incomplete=True).count() == 1
     doubled = hourly.unionByName(hourly)
@@ -138,7 +138,7 @@ def test_text(spark):
     assert applied(spark, "string", ["7", "101", "", None], text.pad_two) == ["07", "101", "00", None]
     got = applied(spark, "string", [" a ", "", " ", None, "nan", "<NA>"], text.category)
     assert got == ["a"] + ["<missing>"] * 5
-    assert applied(spark, "string", [" ", "x", None], text.legacy_category) == ["Unknown", "x", None]
+    assert applied(spark, "string", [" ", "x", None], text.legacy_category) == ["Unknown", "x", "<missing>"]
 
 
 def days(spark, items, f):

@@ -34,6 +34,17 @@ def test_report_and_matrix(spark):
     assert {r["row"]: r["precision"] for r in one_class.collect()}["1"] == 0.0
 
 
+def test_curves_have_their_end_points(spark):
+    df = spark.createDataFrame([(1, 1, 0.9), (0, 0, 0.2), (1, 0, float("nan"))], "y_true int, y_pred int, y_proba double")
+    roc = sorted((r["fpr"], r["tpr"]) for r in metrics.roc_curve(df).collect())
+    assert roc == [(0.0, 0.0), (0.0, 1.0), (1.0, 1.0)]
+    ends = {(r["recall"], r["precision"]) for r in metrics.precision_recall_curve(df).collect()}
+    assert ends == {(0.0, 1.0), (1.0, 1.0), (1.0, 0.5)}
+    one_class = df.where("y_true = 0")
+    assert {r["tpr"] for r in metrics.roc_curve(one_class).collect()} == {0.0, None}
+    assert {r["recall"] for r in metrics.precision_recall_curve(one_class).collect()} == {0.0, None}
+
+
 def test_single_class_has_no_auc(spark):
     row = metrics.ranking_scores(scored(spark, [(0, 0, 0.1), (0, 1, 0.6)])).first()
     assert row["roc_auc"] is None and row["average_precision"] is None

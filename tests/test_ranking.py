@@ -19,11 +19,19 @@ def skewed(spark, rows=3000):
     return data, spark.createDataFrame(data, "id long, g string, x double")
 
 
-@pytest.mark.parametrize("piece_rows", [10_000, 100])
-def test_exact_quantiles_match_numpy(spark, piece_rows):
+@pytest.fixture
+def many_parts(spark):
+    """Small tables stay in as many parts as there are shuffle partitions."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+@pytest.mark.parametrize("few_values", [10_000, 100])
+def test_exact_quantiles_match_numpy(spark, many_parts, few_values):
     data, df = skewed(spark)
     shares = {"q": 0.25, "m": 0.5, "t": 0.9}
-    got = {r["g"]: r for r in ranking.exact_quantiles(df, "x", shares, ["g"], piece_rows=piece_rows).collect()}
+    got = {r["g"]: r for r in ranking.exact_quantiles(df, "x", shares, ["g"], few_values=few_values).collect()}
     groups = {}
     for _, g, x in data:
         groups.setdefault(g, []).append(x)
@@ -33,21 +41,26 @@ def test_exact_quantiles_match_numpy(spark, piece_rows):
             assert got[g][name] == pytest.approx(np.quantile(xs, share), abs=1e-9)
 
 
-@pytest.mark.parametrize("piece_rows", [10_000, 2])
-def test_weighted_median(spark, piece_rows):
-    df = spark.createDataFrame([(1.0, 1), (2.0, 4), (9.0, 1), (None, 50)], "x double, w long")
-    assert ranking.exact_quantiles(df, "x", {"m": 0.5}, weight="w", piece_rows=piece_rows).first()["m"] == 2.0
+@pytest.mark.parametrize("few_values", [10_000, 2])
+def test_weighted_median(spark, many_parts, few_values):
+    df = spark.createDataFrame([(1.0, 1), (2.0, 4), (9.0, 1), (None, 50), (float("nan"), 50)], "x double, w long")
+    assert ranking.exact_quantiles(df, "x", {"m": 0.5}, weight="w", few_values=few_values).first()["m"] == 2.0
 
 
 @pytest.mark.parametrize("descending", [False, True])
-@pytest.mark.parametrize("kind", ["double", "string"])
-def test_running_totals_in_pieces(spark, descending, kind):
-    names = [(f"{i:05d}-level", i % 7) for i in range(500)]
+@pytest.mark.parametrize("kind", ["double", "string", "date", "timestamp_ntz"])
+def test_running_totals_in_parts(spark, many_parts, descending, kind):
+    names = [(f"stop-id-{i:05d}", i % 7) for i in range(500)]
     df = spark.createDataFrame(names, "v string, n long")
+    number = F.substring("v", -5, 5).cast("int")
     if kind == "double":
-        df = df.withColumn("v", F.substring("v", 1, 5).cast("double"))
-    got = ranking.running_totals(df, "v", ["n"], piece_rows=60, descending=descending)
-    rows = sorted(got.collect(), key=lambda r: r["v"], reverse=descending)
+        df = df.withColumn("v", F.when(number == 499, F.lit(float("nan"))).otherwise(number.cast("double")))
+    elif kind != "string":
+        df = df.withColumn("v", F.date_add(F.lit("2024-01-01").cast("date"), number).cast(kind))
+    got = ranking.running_totals(df, "v", ["n"], descending=descending)
+    largest = lambda v: float("inf") if isinstance(v, float) and v != v else v
+    rows = sorted(got.collect(), key=lambda r: largest(r["v"]), reverse=descending)
+    assert len(rows) == 500
     total = 0
     for r in rows:
         total += r["n"]
@@ -64,6 +77,9 @@ def test_mark_smallest_is_exact_with_ties(spark):
     by_class = ranking.mark_smallest(df, "h", "id", "in", share=0.2, groups=["c"]).where("in")
     assert {r["c"]: r["count"] for r in by_class.groupBy("c").count().collect()} == {0: 100, 1: 100}
     assert ranking.mark_smallest(df, "h", "id", "in", rows=5000).where("in").count() == 1000
+    missing = df.withColumn("c", F.when(F.col("c") == 1, 1))
+    by_class = ranking.mark_smallest(missing, "h", "id", "in", share=0.2, groups=["c"]).where("in")
+    assert {r["c"]: r["count"] for r in by_class.groupBy("c").count().collect()} == {None: 100, 1: 100}
 
 
 def test_salted_join_keeps_all_rows(spark):
@@ -99,8 +115,11 @@ def test_splits_and_samples(spark):
     assert splits.fixed_sample(ids, "id", 123).count() == 123
     assert splits.row_cap(ids, 50, "id").agg(F.max("id")).first()[0] == 49
     assert splits.row_cap(ids, -1, "id").count() == 20_000
-    share = splits.fraction_sample(ids, "id", 0.3).count() / 20_000
-    assert 0.25 < share < 0.35
+    for key in ("id", "t", ["t", "id"]):
+        named = ids.withColumn("t", F.concat(F.lit("x"), "id"))
+        assert 0.28 < splits.fraction_sample(named, key, 0.3).count() / 20_000 < 0.32
+        assert splits.fixed_sample(named, key, 123).count() == 123
+    assert splits.row_cap(ids.select(F.lpad("id", 6, "0").alias("t")), 50, "t").count() == 50
 
 
 def test_top_values_break_ties_by_value(spark):

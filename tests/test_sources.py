@@ -2,6 +2,7 @@ import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from headway import schema as S
 from headway.operators import metrics, models
@@ -29,11 +30,21 @@ def test_listing_and_union_by_name(spark, tmp_path):
         arrivals.read_arrivals(spark, str(empty))
 
 
-def test_files_of_a_folder_must_share_the_header(spark, tmp_path):
+def test_files_of_a_folder_are_matched_by_name(spark, tmp_path):
     write(tmp_path / "d" / "a.csv", "stop_id,route_id\n1,2\n")
-    write(tmp_path / "d" / "b.csv", "route_id,stop_id\n2,1\n")
-    with pytest.raises(Exception, match="header"):
-        arrivals.read_csv(spark, str(tmp_path / "d"), {}).collect()
+    write(tmp_path / "d" / "b.csv", "route_id,stop_id,extra\n2,1,e\n")
+    write(tmp_path / "d" / "c.csv", "stop_id,route_id\n1,2\n")
+    rows = arrivals.read_csv(spark, str(tmp_path / "d"), {}).collect()
+    assert sorted((r["stop_id"], r["route_id"], r["extra"] or "") for r in rows) == [("1", "2", ""), ("1", "2", ""), ("1", "2", "e")]
+
+
+def test_whole_numbers_may_look_like_decimals(spark, tmp_path):
+    write(tmp_path / "n.csv", "hour,weekday,temp\n8.0, 3 ,1\n8.5,x,1e1\n,7,\n")
+    types = {"hour": T.IntegerType(), "weekday": T.IntegerType(), "temp": T.DoubleType()}
+    rows = arrivals.read_csv(spark, str(tmp_path / "n.csv"), types).collect()
+    assert [tuple(r) for r in rows] == [(8, 3, 1.0), (None, None, 10.0), (None, 7, None)]
+    lost = arrivals.unreadable(arrivals.read_text(spark, str(tmp_path / "n.csv")), types)
+    assert {r["column"]: r["n_unreadable"] for r in lost.collect()} == {"hour": 1, "weekday": 1, "temp": 0}
 
 
 def test_weather_years(spark, tmp_path):
@@ -71,8 +82,9 @@ def test_processed_cache_is_reused_and_rebuilt(spark, tmp_path):
     assert row["service_date"] == dt.date(2023, 2, 2)
     assert set(S.PROCESSED_NUMERIC) <= {n for n, t in df.dtypes if t == "float"}
     written = {p.name for p in (tmp_path / "cache").rglob("*.parquet")}
-    processed.load_or_build(spark, source, cache)
+    processed.load_or_build(spark, source, cache, clipped_delay=True)
     assert {p.name for p in (tmp_path / "cache").rglob("*.parquet")} == written
+    assert "delay_sec_clipped" not in processed.load_or_build(spark, source, cache).columns
     assert processed.load_or_build(spark, source, cache, rebuild=True).count() == 2
     assert {p.name for p in (tmp_path / "cache").rglob("*.parquet")} != written
 
