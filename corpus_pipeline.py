@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from headway.llm import contamination, mixing, quality, sharding, simhash
-from headway.session import materialise
+from headway.session import intermediates, materialise
 
 SHARDS = 24
 
@@ -55,5 +55,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on the documents; each result is written and read again by the next stage."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), name.replace(" ", "-").lower())
+        with intermediates(spark):  # what a stage wrote for itself goes when its result is written
+            docs = materialise(stage(spark, docs, sf_dir), name.replace(" ", "-").lower(), keep=True)
     return docs

@@ -6,9 +6,11 @@ that null and repeated ids do no harm. Rows equal in both are copies of one row.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from headway.session import materialise, small_table
 
@@ -18,15 +20,46 @@ HOT_SHARE = 0.001
 # Row keys up to this number may be broadcast (16 bytes each); beyond it both sides are shuffled.
 KEY_ROWS = 1_000_000
 
-POSITION_BITS = 33
+# Texts reach Python in batches of so many rows: a few megabytes each.
+BATCH_ROWS = 1000
+
+FILTERS = {
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1TB",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumItems": "50000000",
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumBits": str(1 << 29),
+}
+
+
+@contextmanager
+def runtime_filters(spark: SparkSession) -> Iterator[None]:
+    """Joins run inside drop rows without a partner by a Bloom filter before their shuffle.
+
+    The filter has 64 MB at most; the join behind it is exact whatever the filter lets pass.
+    """
+    before = {k: spark.conf.get(k) for k in FILTERS}
+    for k, v in FILTERS.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def text_hash(column: str = "text") -> Column:
     return F.xxhash64(F.col(column))
 
 
+def small_batches(docs: DataFrame) -> None:
+    """Let Python see ``BATCH_ROWS`` texts at a time in this session."""
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
 def document_keys(docs: DataFrame, *more: Column) -> DataFrame:
     """``doc_id`` as long, ``h``, and further columns computed from the documents."""
+    small_batches(docs)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash().alias("h"), *more)
 
 
@@ -79,40 +112,3 @@ def spread_join(facts: DataFrame, table: DataFrame, key: str, rows: str) -> Data
     return facts.join(hot, key).unionByName(
         facts.join(hot.select(key), key, "left_anti").join(cold, key)
     )
-
-
-def in_order(df: DataFrame, order: list[Column], label: str) -> tuple[DataFrame, list[tuple[int, int]]]:
-    """``df`` range-sorted and written once with columns ``_part`` and ``_pos``, and the parts' sizes.
-
-    Equal keys are split by a row id, so that no key, however frequent, makes a large
-    part. The sizes are one pair per shuffle partition.
-    """
-    tie = F.monotonically_increasing_id()
-    table = (
-        df.withColumn("_tie", tie)
-        .repartitionByRange(*order, F.col("_tie"))
-        .sortWithinPartitions(*order, F.col("_tie"))
-        .withColumn("_tie", F.monotonically_increasing_id())
-    )
-    table = materialise(table, label).withColumns(
-        {
-            "_part": F.shiftright("_tie", POSITION_BITS).cast("int"),
-            "_pos": F.col("_tie").bitwiseAND(F.lit((1 << POSITION_BITS) - 1)),
-        }
-    ).drop("_tie")
-    sizes = sorted((r[0], r[1]) for r in table.groupBy("_part").count().collect())
-    return table, sizes
-
-
-def numbered(df: DataFrame, order: list[Column], label: str) -> tuple[DataFrame, int]:
-    """``df`` with the global row number ``_number`` (from 0) in the given order, and the row count."""
-    table, sizes = in_order(df, order, label)
-    before, starts = 0, []
-    for part, rows in sizes:
-        starts.append((part, before))
-        before += rows
-    spark = df.sparkSession
-    schema = T.StructType([T.StructField("_part", T.IntegerType()), T.StructField("_start", T.LongType())])
-    offsets = spark.createDataFrame(starts, schema)
-    table = table.join(F.broadcast(offsets), "_part")
-    return table.withColumn("_number", F.col("_start") + F.col("_pos")).drop("_part", "_pos", "_start"), before

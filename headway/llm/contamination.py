@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.common import document_keys
+from headway.llm.common import document_keys, small_batches
 from headway.session import materialise
 
 GRAM = 5
@@ -196,6 +196,7 @@ def decontaminated(
     docs: DataFrame, benchmark: DataFrame, window: int = 10, block_words: int = BLOCK_WORDS
 ) -> DataFrame:
     """The documents that share no window with the benchmark; only a filter, no join."""
+    small_batches(docs)
     clean = docs
     for items in blocks(benchmark, block_words):
         spans = scan(F.col("text").cast("string"), Benchmark(items, window))["spans"]

@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from headway.llm.common import document_keys, in_order
+from headway.llm.common import document_keys
+from headway.operators.ordering import in_order
 from headway.session import materialise
 
 BLOCK = 1024
@@ -171,7 +172,7 @@ def sizes(docs: DataFrame) -> DataFrame:
 def _laid_out(rows: DataFrame, seed: int) -> DataFrame:
     """The documents of each source in shuffled order, with the words before each (``start``)."""
     shuffled = F.xxhash64(F.lit(seed), "doc_id", "h")
-    table, _ = in_order(
+    table = in_order(
         rows.withColumn("_at", shuffled), [F.col("src"), F.col("_at"), F.col("doc_id")], "mix-order"
     )
     sums = table.groupBy("src", "_part").agg(F.sum("size").alias("words"))

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.common import numbered
+from headway.operators.ordering import numbered
 
 ROUNDS = 6
 MASK = 0xFFFFFFFF

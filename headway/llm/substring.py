@@ -12,13 +12,14 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.common import document_keys, packed, spread_join
-from headway.session import materialise
+from headway.llm.common import KEY_ROWS, document_keys, packed, runtime_filters, spread_join
+from headway.session import materialise, small_table
 
 SENTENCES = 3
 WORDS = 20
@@ -66,13 +67,15 @@ def _spans(docs: DataFrame, least: int, least_words: int) -> DataFrame:
             yield _record(rows)
 
     keys = document_keys(docs, F.col("text").cast("string").alias("text"))
-    return keys.mapInArrow(hashed, "span binary, doc_id long, h long, at int, n int")
+    return keys.mapInArrow(hashed, "span long, rest long, doc_id long, h long, at int, n int")
 
 
 def _record(rows: tuple[list, ...]) -> pa.RecordBatch:
-    kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
+    spans = np.frombuffer(b"".join(rows[0]), "<i8").reshape(-1, 2)
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
     return pa.RecordBatch.from_arrays(
-        [pa.array(c, k) for c, k in zip(rows, kinds, strict=True)], names=["span", "doc_id", "h", "at", "n"]
+        [pa.array(spans[:, 0]), pa.array(spans[:, 1]), *map(pa.array, rows[1:], kinds)],
+        names=["span", "rest", "doc_id", "h", "at", "n"],
     )
 
 
@@ -82,10 +85,17 @@ def repeats(docs: DataFrame, least: int = SENTENCES, least_words: int = WORDS) -
     Null ids come after all others. Rows equal in id and text are one occurrence.
     """
     spans = materialise(_spans(docs, least, least_words), "sentence-runs")
+    # Half of the hash finds what may be repeated, all of it decides.
+    often = materialise(
+        spans.groupBy("span").agg(F.count("*").alias("rows")).filter("rows > 1"), "repeated-halves"
+    )
+    with runtime_filters(docs.sparkSession):
+        shared = materialise(spread_join(spans, often, "span", "rows").drop("rows"), "repeated-runs")
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h", "at")
-    shared = spans.groupBy("span").agg(F.min(place).alias("first"), F.count("*").alias("rows"))
-    shared = materialise(shared.filter("rows > 1"), "repeated-runs")
-    found = spread_join(spans, shared, "span", "rows")
+    key = F.struct("span", "rest").alias("run")
+    firsts = shared.groupBy(key).agg(F.min(place).alias("first"), F.count("*").alias("rows"))
+    firsts = materialise(firsts.filter("rows > 1"), "first-runs")
+    found = spread_join(shared.withColumn("run", key), firsts, "run", "rows")
     is_first = (
         F.col("doc_id").eqNullSafe(F.col("first.doc_id"))
         & (F.col("h") == F.col("first.h"))
@@ -106,9 +116,12 @@ def without_repeats(docs: DataFrame, least: int = SENTENCES, least_words: int =
         F.array_sort(F.collect_set("first_id")).alias("first_ids"),
     )
     docs = docs.drop("clean_text", "n_sentences", "n_removed", "first_ids")
+    per_doc = materialise(per_doc, "runs-of-documents")
+    local = small_table(per_doc, KEY_ROWS)
+    other = per_doc.hint("shuffle_hash") if local is None else F.broadcast(local)
     rows = packed(docs)
-    same = rows["_id"].eqNullSafe(per_doc["doc_id"]) & (rows["_h"] == per_doc["h"])
-    joined = rows.join(per_doc.hint("shuffle_hash"), same, "left")
+    same = rows["_id"].eqNullSafe(other["doc_id"]) & (rows["_h"] == other["h"])
+    joined = rows.join(other, same, "left")
 
     @F.arrow_udf("struct<clean_text:string,n_sentences:long,n_removed:long>")
     def cut(texts: pa.Array, spans: pa.Array) -> pa.Array:

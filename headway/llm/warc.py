@@ -28,7 +28,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm.common import KEY_ROWS, spread_join
+from headway.llm.common import KEY_ROWS, small_batches, spread_join
 from headway.session import materialise, shared_folder, small_table
 
 ARCHIVE_BYTES = 64 * 1024 * 1024
@@ -177,6 +177,7 @@ def write_archives(
     the response (all rows that have it), others are revisits of it. Null html is an empty
     payload; null ids come after all others and are never referred to.
     """
+    small_batches(pages)
     folder = new_folder(pages.sparkSession, "archives")
     again = revisits(pages, least_bytes)
     local = small_table(again, KEY_ROWS)
