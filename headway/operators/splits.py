@@ -76,11 +76,23 @@ def _hashed(df: DataFrame, key: Keys, seed: int) -> tuple[DataFrame, str]:
 
 
 def fixed_sample(df: DataFrame, key: Keys, rows: int, seed: int = 42) -> DataFrame:
-    """Exactly ``rows`` rows (or all of a smaller table), picked by the hash of a unique key."""
+    """Exactly ``rows`` rows (or all of a smaller table), picked by the hash of a unique key.
+
+    Rows of one key stay or go together, so repeated keys can leave fewer rows.
+    """
     hashed, tie = _hashed(df, key, seed)
     return mark_smallest(hashed, "_hash", tie, "_in", rows=rows).where("_in").select(*df.columns)
 
 
+def sampled(
+    df: DataFrame, key: Keys, max_rows: int | None = None, fraction: float = 1.0, seed: int = 42
+) -> DataFrame:
+    """At most ``max_rows`` rows, then a fraction of them, both by the hash of the key."""
+    if max_rows:
+        df = fixed_sample(df, key, max_rows, seed)
+    return fraction_sample(df, key, fraction, seed + 1)
+
+
 def row_cap(df: DataFrame, rows: int, order: str) -> DataFrame:
     """The first ``rows`` rows in the order of a unique column; no cap if not positive.
 
@@ -113,7 +125,7 @@ def split_sizes(df: DataFrame, label: str) -> DataFrame:
 
 
 def check_splits(df: DataFrame, label: str, needed: Sequence[str] = ("train", "val", "test")) -> None:
-    """An error unless every split has rows and the training rows have two classes."""
+    """An error unless every needed split has rows and those of the first have two classes."""
     found = {row["split"]: row for row in split_sizes(df, label).collect()}
     empty = [name for name in needed if name not in found]
     if empty:

@@ -8,6 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from headway.functions import text
+from headway.operators.cleaning import rejected_delays
 from headway.operators import encoding, metrics, models, profiles, splits
 from headway.plans import oracle
 from headway.plans import tables as D
@@ -310,6 +311,33 @@ def notebook_logistic(spark, folder):
     return metrics.overall(evaluated)
 
 
+@query(
+    """SELECT count(*) AS rows_total, count(*) FILTER (split = 'train') AS rows_train,
+    count(*) FILTER (split = 'val') AS rows_val, count(*) FILTER (split = 'test') AS rows_test,
+    count(*) FILTER (split <> 'test') AS rows_train_val,
+    round(avg(label) FILTER (split = 'train'), 6) AS positive_rate_train,
+    round(avg(label) FILTER (split = 'val'), 6) AS positive_rate_val,
+    round(avg(label) FILTER (split = 'test'), 6) AS positive_rate_test,
+    round(avg(label) FILTER (split <> 'test'), 6) AS positive_rate_train_val,
+    (SELECT count(*) FILTER (delay_seconds IS NULL OR abs(delay_seconds) > 7200) FROM shipments) AS rows_rejected,
+    CAST(5 AS DOUBLE) AS delay_threshold_minutes, '1999-01-01' AS split_date FROM labelled""",
+    ("labelled", "shipments"),
+)
+def run_summary(spark, folder):
+    """What a training run reports beside its metrics."""
+    rejected = rejected_delays(D.shipments(spark, folder)).first()["rows_rejected"]
+    return training.split_summary(
+        labelled_shipments(spark, folder), "label", rejected, delay_threshold_minutes=5.0, split_date="1999-01-01"
+    )
+
+
+@query()
+def notebook_descent(spark, folder):
+    rows = D.shipments(spark, folder).withColumn("delay_minutes", F.col("delay_seconds") / 60.0)
+    _, evaluated = training.train_notebook_descent(rows, "2000-01-01", learningRate=0.5, maxIter=20)
+    return metrics.overall(evaluated)
+
+
 @query()
 def legacy_logistic(spark, folder):
     rows = weathered(spark, folder)

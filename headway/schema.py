@@ -30,6 +30,11 @@ CONDITION_COLUMNS = {
     "coco": "weather_condition",
 }
 
+# What tells one arrival from another; samples are drawn by a hash of these.
+ARRIVAL_KEYS = [
+    "service_date", "route_id", "direction_id", "stop_id", "time_point_order", "actual_dt",
+]
+
 ID_COLUMNS = ["route_id", "direction_id", "stop_id", "point_type", "weather_condition"]
 
 # ---- fixed values: feature groups ------------------------------------------
