@@ -175,3 +175,16 @@ def test_medians(spark):
     df = spark.createDataFrame([(float(i % 7), i * 0.5, None) for i in range(100)], "a double, b double, c double")
     want = {"a": 3.0, "b": 24.75}
     assert encoding.fit_medians(df, ["a", "b", "c"]) == want
+
+
+def test_samples_and_empty_splits_of_a_protocol(spark):
+    df = forest_rows(spark).withColumn("service_date", F.lit("2023-02-01").cast("date"))
+    settings = models.ForestSettings(trees=2, max_depth=3, min_leaf=5, top_stops=3)
+    run = training.train_forest(df, settings, sample=training.Sample(max_rows=150, keys=["stop_id", "hour"]), rejected=7)
+    summary = run.summary.first()
+    assert summary["rows_rejected"] == 7 and summary["rows_val"] == 0 and summary["split_date_0"] == "2023-01-01"
+    assert 0 < summary["rows_train"] <= 150
+    document = training.metrics_document(run).first()
+    assert document["validation"]["support"] == 0 and document["validation"]["roc_auc"] is None
+    half = training.Sample(fraction=0.5, seed=1, keys=["stop_id", "hour"])
+    assert half.of(df).count() == half.of(df).count() < df.count()
