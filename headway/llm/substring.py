@@ -15,10 +15,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.common import KEY_ROWS, document_keys, packed, runtime_filters, spread_join
+from headway.llm.common import document_keys, packed, runtime_filters, spread_join
 from headway.session import materialise, small_table
 
 SENTENCES = 3
@@ -104,6 +104,20 @@ def repeats(docs: DataFrame, least: int = SENTENCES, least_words: int = WORDS) -
     return found.filter(~is_first).select("doc_id", "h", "at", "n", F.col("first.doc_id").alias("first_id"))
 
 
+def _merged(runs: str) -> Column:
+    """Sorted runs (at, stop) as few disjoint ones."""
+    none = F.expr("cast(array() as array<struct<at:int,stop:int>>)")
+
+    def add(acc: Column, run: Column) -> Column:
+        last = F.try_element_at(acc, F.lit(-1))
+        longer = F.struct(last["at"].alias("at"), F.greatest(last["stop"], run["stop"]).alias("stop"))
+        joined = F.concat(F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0))), F.array(longer))
+        touches = (F.size(acc) > 0) & (last["stop"] >= run["at"])
+        return F.when(touches, joined).otherwise(F.concat(acc, F.array(run)))
+
+    return F.aggregate(F.array_sort(runs), none, add)
+
+
 def without_repeats(docs: DataFrame, least: int = SENTENCES, least_words: int = WORDS) -> DataFrame:
     """The documents with further columns clean_text, n_sentences, n_removed, first_ids.
 
@@ -112,12 +126,12 @@ def without_repeats(docs: DataFrame, least: int = SENTENCES, least_words: int =
     """
     found = repeats(docs, least, least_words)
     per_doc = found.groupBy("doc_id", "h").agg(
-        F.collect_set(F.struct("at", "n")).alias("runs"),
+        F.collect_set(F.struct("at", (F.col("at") + F.col("n")).alias("stop"))).alias("runs"),
         F.array_sort(F.collect_set("first_id")).alias("first_ids"),
     )
     docs = docs.drop("clean_text", "n_sentences", "n_removed", "first_ids")
-    per_doc = materialise(per_doc, "runs-of-documents")
-    local = small_table(per_doc, KEY_ROWS)
+    per_doc = materialise(per_doc.withColumn("runs", _merged("runs")), "runs-of-documents")
+    local = small_table(per_doc)
     other = per_doc.hint("shuffle_hash") if local is None else F.broadcast(local)
     rows = packed(docs)
     same = rows["_id"].eqNullSafe(other["doc_id"]) & (rows["_h"] == other["h"])
@@ -128,7 +142,7 @@ def without_repeats(docs: DataFrame, least: int = SENTENCES, least_words: int =
         out = []
         for text, runs_of in zip(texts.to_pylist(), spans.to_pylist(), strict=True):
             parts = sentences(text)
-            gone = {k for r in runs_of or () for k in range(r["at"], r["at"] + r["n"])}
+            gone = {k for r in runs_of or () for k in range(r["at"], r["stop"])}
             left = "".join(p for k, p in enumerate(parts) if k not in gone)
             out.append((None if text is None else left, len(parts), len(gone)))
         kinds = (pa.string(), pa.int64(), pa.int64())
