@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from headway import schema as S
 from headway.functions import numeric
 from headway.operators.ranking import counted_quantiles, exact_quantiles, value_counts
-from headway.session import materialise
+from headway.session import lookup_join, materialise
 
 
 def long_form(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
@@ -223,8 +223,7 @@ def box_statistics(
     values = long_form(df, columns, [label])
     keys = [label, "column"]
     quartiles = exact_quantiles(values, "value", {"q1": 0.25, "median": 0.5, "q3": 0.75}, keys)
-    # one row per class and column, so small whatever the data
-    inside = values.join(F.broadcast(quartiles), keys).where(
+    inside = lookup_join(values, quartiles, keys, "inner").where(
         F.col("value").between(
             F.col("q1") - whisker * (F.col("q3") - F.col("q1")),
             F.col("q3") + whisker * (F.col("q3") - F.col("q1")),

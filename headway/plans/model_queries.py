@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from headway.functions import text
 from headway.operators.cleaning import rejected_delays
-from headway.operators import encoding, metrics, models, profiles, splits
+from headway.operators import encoding, features, metrics, models, profiles, splits
 from headway.plans import oracle
 from headway.plans import tables as D
 from headway.plans import training
@@ -133,12 +133,12 @@ def target_encoding_m_estimate(spark, folder):
 
 @query(
     f"""SELECT trip_id, CASE WHEN stop_id IN (SELECT stop_id FROM trips WHERE service_date < {CUT} GROUP BY 1
-    ORDER BY count(*) DESC, stop_id LIMIT 40) THEN stop_id ELSE 'other' END AS stop_id FROM trips""",
+    ORDER BY count(*) DESC, stop_id LIMIT 300) THEN stop_id ELSE 'other' END AS stop_id FROM trips""",
     ("trips",),
 )
 def frequent_stops(spark, folder):
     train, _ = splits.split_at(D.trips(spark, folder), D.TRIP_SPLIT)
-    return encoding.bucket_by_table(D.trips(spark, folder).select("trip_id", "stop_id"), "stop_id", train, 40)
+    return encoding.bucket_by_table(D.trips(spark, folder).select("trip_id", "stop_id"), "stop_id", train, 300)
 
 
 @query(
@@ -229,10 +229,10 @@ def descent_scores(spark, folder):
     )
 
 
-@query(oracle.descent_ranking(STEPS, RATE, ALPHA, 1e-12, 5))
+@query(oracle.descent_ranking(STEPS, RATE, ALPHA, 1e-12, 20))
 def coefficient_ranking(spark, folder):
     model, rows = descent(late_trips(spark, folder))
-    return profiles.largest_by_size(models.coefficients(model, rows), "coefficient", "feature", 5)
+    return profiles.largest_by_size(models.coefficients(model, rows), "coefficient", "feature", 20)
 
 
 # ---- scoring ---------------------------------------------------------------
@@ -271,6 +271,29 @@ def logistic_two_stage(spark, folder):
     return scalar_metrics(training.train_logistic(rows, 5.0, D.SHIPMENT_SPLITS))
 
 
+OPTIMUM_NUMERIC, OPTIMUM_CATEGORICAL = ["hour", "air_temp_c", "precip_mm"], ["direction_id", "point_type", "season"]
+
+
+@query(
+    " UNION ALL ".join(
+        [f"SELECT '{c}_scaled' AS feature, CAST(0 AS DOUBLE) AS slope" for c in OPTIMUM_NUMERIC]
+        + [
+            f"SELECT DISTINCT '{c}_filled_onehot_' || {c}, CAST(0 AS DOUBLE) FROM labelled WHERE split = 'train'"
+            for c in OPTIMUM_CATEGORICAL[:2]
+        ]
+        + [f"SELECT 'season_filled_onehot_{k}', CAST(0 AS DOUBLE)" for k in range(1, 5)]
+    ),
+    ("labelled",),
+)
+def logistic_optimum(spark, folder):
+    """The slope of the penalised loss at the fitted weights: nothing at the one optimum."""
+    rows = features.linear_features(labelled_shipments(spark, folder), 5.0)
+    train = materialise(splits.training_rows(rows, 1), "optimum")
+    model = models.fit_logistic(train, numeric=OPTIMUM_NUMERIC, categorical=OPTIMUM_CATEGORICAL)
+    slopes = models.logistic_slopes(model, train, "is_delayed")
+    return slopes.withColumn("slope", F.round("slope", 3) + F.lit(0.0))
+
+
 @query()
 def descent_two_stage(spark, folder):
     rows = labelled_shipments(spark, folder)
@@ -294,6 +317,31 @@ def forest_importances(spark, folder):
     return models.feature_importances(models.fit_forest(train, "label", FOREST), spark)
 
 
+@query(
+    """SELECT split, count(*) AS support, round(avg(label), 6) AS positive_rate, count(*) AS with_probability,
+    CAST(0 AS BIGINT) AS other_label, CAST(22 AS BIGINT) AS n_features, CAST(1 AS DOUBLE) AS importance
+    FROM labelled GROUP BY split""",
+    ("labelled",),
+)
+def forest_determined(spark, folder):
+    """What the data fix of a forest: rows and rates per split, probabilities, labels at one half, summed importance."""
+    rows = model_rows(spark, folder)
+    model = models.fit_forest(splits.training_rows(rows, 1), "label", FOREST)
+    parts = models.feature_importances(model, spark).agg(
+        F.count(F.lit(1)).alias("n_features"), F.round(F.sum("importance"), 6).alias("importance")
+    ).first()
+    scored = models.score(model, rows)
+    agrees = (F.col("pred_proba_delayed") >= 0.5).cast("int") == F.col("pred_label")
+    return scored.groupBy("split").agg(
+        F.count(F.lit(1)).alias("support"),
+        F.avg("label").alias("positive_rate"),
+        F.count_if(F.col("pred_proba_delayed").between(0, 1)).alias("with_probability"),
+        F.count_if(~agrees).alias("other_label"),
+        F.lit(parts["n_features"]).alias("n_features"),
+        F.lit(parts["importance"]).alias("importance"),
+    )
+
+
 @query()
 def forest_scores(spark, folder):
     """All rows scored by a forest fitted on the training rows."""

@@ -49,12 +49,13 @@ def hourly_profile_shipments(spark, folder):
 
 
 @query(
-    """SELECT hour, count(*) AS trip_count, round(median(delay_minutes), 6) AS median_delay
-    FROM trips WHERE delay_minutes IS NOT NULL GROUP BY hour HAVING count(*) >= 400""",
-    ("trips",),
+    """SELECT hour, count(*) AS trip_count, round(median(delay_seconds / 60.0), 6) AS median_delay
+    FROM shipments WHERE delay_seconds IS NOT NULL GROUP BY hour HAVING count(*) >= 500""",
+    ("shipments",),
 )
 def hourly_median(spark, folder):
-    return profiles.hourly_median(D.trips(spark, folder), 400)
+    rows = D.shipments(spark, folder)
+    return profiles.hourly_median(rows.withColumn("delay_minutes", F.col("delay_seconds") / 60.0))
 
 
 @query(
