@@ -6,6 +6,7 @@ them, so nothing of the validation or test rows can leak into a fit.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import OneHotEncoder, StringIndexer
@@ -120,6 +121,11 @@ def blend_weight(n: Column, smoothing: float, min_rows: float) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-(n - F.lit(float(min_rows))) / F.lit(float(smoothing))))
 
 
+def own_weight(n: int, smoothing: float, min_rows: float) -> float:
+    """``blend_weight`` of a number."""
+    return 1.0 / (1.0 + math.exp(-(n - min_rows) / smoothing))
+
+
 def target_table(
     train: DataFrame,
     column: str,

@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import Model, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from headway import schema as S
 from headway.operators import encoding
 from headway.operators.gradient_descent import GradientDescentLogistic
-from headway.session import materialise, small_table
+from headway.session import materialise
 
 FOREST_CATEGORICAL = S.TARGET_ENCODED + S.ORDINAL_ENCODED
 
@@ -204,39 +204,71 @@ class ForestSettings:
     memory_mb: int = 2048
 
 
-def forest_stages(train: DataFrame, label: str, settings: ForestSettings) -> list[Model]:
-    """Stop bucketing, fills, target and ordinal encodings, numbers passed through."""
+def level_counts(train: DataFrame, columns: dict[str, str], label: str) -> DataFrame:
+    """Rows (``n``) and positive rows per (column, level), all columns in one pass; ``columns`` holds SQL."""
+    parts = ", ".join(f"'{c}', {sql}" for c, sql in columns.items())
+    return (
+        train.select(F.col(label).alias("_y"), F.expr(f"stack({len(columns)}, {parts}) as (column, level)"))
+        .groupBy("column", "level")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("_y").alias("positive"))
+    )
+
+
+def forest_stages(
+    train: DataFrame, label: str, settings: ForestSettings
+) -> tuple[list[Model], dict[int, float]]:
+    """Stop bucketing, fills, target and ordinal encodings, numbers passed through; and the class weights.
+
+    Counts per level give the frequent stops, the levels, both encodings and the class sizes.
+    """
     filled = {c: f"coalesce(cast(`{c}` as string), {_text(S.MISSING)})" for c in FOREST_CATEGORICAL}
+    counts = materialise(level_counts(train, filled, label), "levels")
     if settings.top_stops > 0:
         # the most frequent stops of the fit split, at most `top_stops` names
-        stops = encoding.frequent_values(train, "stop_id", settings.top_stops)
+        is_stop = F.col("column") == "stop_id"
+        known = counts.where(is_stop & (F.col("level") != S.MISSING))
+        stops = [r["level"] for r in known.orderBy(F.desc("n"), "level").limit(settings.top_stops).collect()]
         listed = ", ".join(_text(s) for s in stops) or "NULL"
         filled["stop_id"] = f"if(`stop_id` in ({listed}), `stop_id`, {_text(S.OTHER)})"
+        rare = is_stop & ~F.col("level").isin(stops)
+        counts = (
+            counts.withColumn("level", F.when(rare, S.OTHER).otherwise(F.col("level")))
+            .groupBy("column", "level")
+            .agg(F.sum("n").alias("n"), F.sum("positive").alias("positive"))
+        )
+    sizes = {r["column"]: r["count"] for r in counts.groupBy("column").count().collect()}
+    too_many = [c for c, n in sizes.items() if n > encoding.MAX_LEVELS]
+    if too_many:
+        raise ValueError(f"too many levels to index: {', '.join(too_many)}; bucket rare ones first")
+    found: dict[str, dict[str, tuple[int, int]]] = {c: {} for c in FOREST_CATEGORICAL}
+    for column, level, n, positive in counts.collect():
+        found[column][level] = (n, positive)
+    labels = [sorted(found[c]) for c in FOREST_CATEGORICAL]
+    rows = sum(n for n, _ in found["route_id"].values())
+    late = sum(positive for _, positive in found["route_id"].values())
+    if not 0 < late < rows:
+        raise ValueError("class weights need both classes")
+    prior = late / rows
+
     fill = _select({f"{c}_level": sql for c, sql in filled.items()})
-    levels = fill.transform(train)
-    encoding.check_levels(levels, [f"{c}_level" for c in FOREST_CATEGORICAL])
-    indexer = StringIndexer(
+    indexer = StringIndexerModel.from_arrays_of_labels(
+        labels,
         inputCols=[f"{c}_level" for c in FOREST_CATEGORICAL],
         outputCols=[f"{c}_index" for c in FOREST_CATEGORICAL],
         handleInvalid="keep",
-        stringOrderType="alphabetAsc",
-    ).fit(levels)
-
-    columns, prior = {}, None
-    for position, name in enumerate(FOREST_CATEGORICAL):
-        known = indexer.labelsArray[position]
+    )
+    columns = {}
+    for name, known in zip(FOREST_CATEGORICAL, labels, strict=True):
         index = f"cast(`{name}_index` as int)"
         if name in S.TARGET_ENCODED:
-            table, prior = encoding.target_table(
-                levels, f"{name}_level", label, settings.smoothing, settings.min_rows, prior=prior
-            )
-            local = small_table(table, encoding.MAX_LEVELS)
-            if local is None:
-                raise ValueError(f"too many levels of {name} for one model; bucket rare ones first")
-            codes = {row[0]: row[1] for row in local.collect()}
-            numbers = ",".join(repr(float(codes[k])) for k in known)
+            numbers = []
+            for level in known:
+                n, positive = found[name][level]
+                weight = encoding.own_weight(n, settings.smoothing, settings.min_rows)
+                numbers.append(repr(prior * (1 - weight) + positive / n * weight))
+            listed = ",".join(numbers)
             columns[f"{name}_value"] = (
-                f"coalesce(get(cast(split('{numbers}', ',') as array<double>), {index}), {_literal(prior)})"
+                f"coalesce(get(cast(split('{listed}', ',') as array<double>), {index}), {_literal(prior)})"
             )
         else:
             columns[f"{name}_value"] = f"cast(if({index} < {len(known)}, {index}, -1) as double)"
@@ -244,13 +276,13 @@ def forest_stages(train: DataFrame, label: str, settings: ForestSettings) -> lis
     for c in S.PROCESSED_NUMERIC:
         columns[f"{c}_value"] = f"coalesce(cast(`{c}` as double), {_literal(medians.get(c, 0.0))})"
     names = [f"{c}_value" for c in FOREST_CATEGORICAL + S.PROCESSED_NUMERIC]
-    return [fill, indexer, _select(columns), VectorAssembler(inputCols=names, outputCol="features")]
+    stages = [fill, indexer, _select(columns), VectorAssembler(inputCols=names, outputCol="features")]
+    return stages, {0: rows / (2.0 * (rows - late)), 1: rows / (2.0 * late)}
 
 
 def fit_forest(train: DataFrame, label: str = "label", settings: ForestSettings | None = None) -> PipelineModel:
     settings = settings or ForestSettings()
-    stages = forest_stages(train, label, settings)
-    weights = encoding.class_weights(train, label)
+    stages, weights = forest_stages(train, label, settings)
     rows = weighted_vectors(stages, train, label, weights)
     model = RandomForestClassifier(
         featuresCol="features", labelCol=label, weightCol="class_weight",
