@@ -1,6 +1,7 @@
 """Removal of repeated passages by sliding sentence spans.
 
-A text is cut into sentences at end marks, clause marks and line ends. From every sentence
+A text is cut into sentences at end marks, clause marks and line ends, and long stretches
+without marks behind words chosen by their hash. From every sentence
 the shortest run of at least ``SENTENCES`` sentences and ``WORDS`` words is hashed; the
 hashes are joined over the whole corpus. The first occurrence of a run, by doc_id and
 place, stays; the sentences under any other occurrence are removed. A passage that two
@@ -10,6 +11,7 @@ documents share is found wherever it holds one such run, whatever stands around
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,10 +28,32 @@ WORDS = 20
 # A sentence with its marks and the white space behind it; the pieces of a text add up to it.
 SENTENCE = re.compile(r"[^.!?;:,\n]*(?:[.!?;:,]+(?=\s|$)\s*|\n\s*|[.!?;:,]+|$)")
 
+WORD = re.compile(r"(\S+)\s*")
+LONG = 16  # spaces from which a sentence is cut further
+CUT_WORDS = 8  # one word in so many ends a part of a long sentence
+
 
 def sentences(text: str | None) -> list[str]:
     """Consecutive pieces of the text, none empty; pieces joined are the text."""
-    return [s for s in SENTENCE.findall(text or "") if s]
+    out = []
+    for piece in SENTENCE.findall(text or ""):
+        if piece.count(" ") < LONG:
+            if piece:
+                out.append(piece)
+        else:
+            out.extend(_cut(piece))
+    return out
+
+
+def _cut(sentence: str) -> Iterator[str]:
+    """A long sentence in parts that end with words of certain hashes, so that equal stretches are cut alike."""
+    start = 0
+    for m in WORD.finditer(sentence):
+        if zlib.crc32(m[1].encode("utf-8", "surrogatepass")) % CUT_WORDS == 0:
+            yield sentence[start : m.end()]
+            start = m.end()
+    if start < len(sentence):
+        yield sentence[start:]
 
 
 def runs(text: str | None, least: int = SENTENCES, least_words: int = WORDS) -> Iterator[tuple[int, int, bytes]]:

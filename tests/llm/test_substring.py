@@ -42,6 +42,16 @@ def test_as_brute_force(spark):
         assert r.clean_text == "".join(p for k, p in enumerate(parts) if k not in gone)
 
 
+def test_passage_without_marks_is_found(spark):
+    rng = random.Random(10)
+    words = lambda n: " ".join(rng.choice(cases.WORDS) + str(rng.randrange(50)) for _ in range(n))
+    passage = words(100)
+    rows = [(i, f"{words(60)} {passage if i % 2 else words(100)} {words(60)}", "en", "s", 0) for i in range(8)]
+    out = substring.without_repeats(spark.createDataFrame(rows, cases.SCHEMA)).collect()
+    assert {r.doc_id for r in out if r.n_removed} == {3, 5, 7}
+    assert all("".join(substring.sentences(r.text)) == r.text for r in out)
+
+
 def test_planted_passage_leaves_all_but_its_first_document(spark):
     rng = random.Random(9)
     passage = cases.prose(rng, 60)
