@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headway.functions.numeric import sigmoid
-from headway.session import materialise
+from headway.session import materialise, ship_code
 
 
 # Above so many tasks their vectors are summed by fewer tasks before the driver sees them.
@@ -84,6 +84,7 @@ class GradientDescentLogistic(Estimator, _Columns, DefaultParamsReadable, Defaul
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
     def _fit(self, df: DataFrame) -> GradientDescentLogisticModel:
+        ship_code(df.sparkSession)
         get = self.getOrDefault
         numeric, index, label = get("numericCols"), get("indexCols"), get("labelCol")
         rows = materialise(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -33,6 +34,18 @@ def get_session(app_name: str = "headway", master: str | None = None, **settings
     return spark
 
 
+def ship_code(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    On a cluster that place must exist on every node, or the package be installed there.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    environment = spark.sparkContext.environment
+    known = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *known])
+
+
 def tune(spark: SparkSession) -> None:
     """Settings that may be changed on a running session.
 
@@ -41,6 +54,7 @@ def tune(spark: SparkSession) -> None:
     methods instead of running one large one interpreted.
     """
     spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+    ship_code(spark)
 
 
 def shared_folder(spark: SparkSession) -> str:
