@@ -12,7 +12,7 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.session import materialise, small_table
+from headway.session import materialise, ship_code, small_table
 
 # A key with more than this share of all rows is hot; there are fewer than 1 / share of them.
 HOT_SHARE = 0.001
@@ -53,7 +53,8 @@ def text_hash(column: str = "text") -> Column:
 
 
 def small_batches(docs: DataFrame) -> None:
-    """Let Python see ``BATCH_ROWS`` texts at a time in this session."""
+    """Let Python workers find this package and see ``BATCH_ROWS`` texts at a time in this session."""
+    ship_code(docs.sparkSession)
     docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
 
 

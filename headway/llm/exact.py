@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from headway.llm.common import small_batches
 from headway.session import materialise
 
 SLOTS = 4
@@ -114,6 +115,7 @@ def digests(docs: DataFrame) -> DataFrame:
     ``rid`` numbers the rows, which tells repeated ids apart; ``part`` is a salt that
     spreads the rows of a frequent text.
     """
+    small_batches(docs)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),

@@ -15,6 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from headway.llm.common import small_batches
 from headway.operators.ordering import numbered
 
 ROUNDS = 6
@@ -79,6 +80,7 @@ def shard_rows(rows: DataFrame, shards: int, seed: int = 0) -> DataFrame:
     """
     if shards < 1:
         raise ValueError("at least one shard is needed")
+    small_batches(rows)
     names = [c for c in rows.columns if c not in ("shard", "slot")]
     columns = [F.col(f"`{c}`") for c in names]
     whole = rows.select(

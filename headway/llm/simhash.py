@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.common import document_keys, one_of_each, spread_join, without
+from headway.llm.common import document_keys, one_of_each, small_batches, spread_join, without
 from headway.llm.components import components
 from headway.session import materialise
 
@@ -187,6 +187,7 @@ def links(
     fps: DataFrame, distance: int, segments: int = SEGMENTS, cell: int = CELL, crowd: int = CROWD
 ) -> DataFrame:
     """(a, b): links between distinct fingerprints (column fp) that connect all within ``distance``."""
+    small_batches(fps)
     table, wanted = _tables(fps, distance, segments)
     heavy = materialise(
         table.groupBy("seg", "value").count().filter(F.col("count") > cell).select("seg", "value"),

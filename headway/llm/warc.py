@@ -211,6 +211,7 @@ def _rows(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 def build_index(captures: DataFrame, block_lines: int = BLOCK_LINES) -> tuple[str, DataFrame]:
     """Write the sorted captures as compressed blocks; the folder and one row per index file."""
+    small_batches(captures)
     folder = new_folder(captures.sparkSession, "capture-index")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -284,6 +285,7 @@ class IndexFile:
 
 def lookup(wanted: DataFrame, folder: str, files: DataFrame) -> DataFrame:
     """Captures (CAPTURES columns) of the distinct URL keys in ``wanted`` (column key)."""
+    small_batches(wanted)
     # One entry per index file, of which there are as many as shuffle partitions.
     ranges = sorted((r["first_key"], r["last_key"], r["file"]) for r in files.collect())
     firsts, lasts = [r[0] for r in ranges], [r[1] for r in ranges]
@@ -312,6 +314,8 @@ def lookup(wanted: DataFrame, folder: str, files: DataFrame) -> DataFrame:
 def read_records(captures: DataFrame, folder: str, payload: bool = True) -> DataFrame:
     """The records at the captures' places (RECORDS columns), by range reads in archive order."""
 
+    small_batches(captures)
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, path = _store(folder)
         name, data = None, None
@@ -336,6 +340,8 @@ def read_records(captures: DataFrame, folder: str, payload: bool = True) -> Data
 def url_keys(pages: DataFrame) -> DataFrame:
     """(key): the keys of the pages' URLs."""
 
+    small_batches(pages)
+
     @F.arrow_udf("string")
     def keys(urls: pa.Array) -> pa.Array:
         return pa.array([url_key(u) for u in urls.to_pylist()], pa.string())
