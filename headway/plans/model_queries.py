@@ -296,9 +296,10 @@ def logistic_optimum(spark, folder):
 
 @query()
 def descent_two_stage(spark, folder):
+    """Both stages descend until the norm of the slopes is below the tolerance."""
     rows = labelled_shipments(spark, folder)
     return scalar_metrics(
-        training.train_gradient_descent(rows, 5.0, D.SHIPMENT_SPLITS, learningRate=0.5, maxIter=15)
+        training.train_gradient_descent(rows, 5.0, D.SHIPMENT_SPLITS, learningRate=0.5, tol=3e-3)
     )
 
 
