@@ -52,6 +52,13 @@ def test_unseen_levels_become_zero_vectors(spark):
     assert [r["v_code"] for r in codes.collect()] == [0, -1, -2]
 
 
+def test_levels_are_counted_exactly(spark):
+    df = spark.range(50).select(F.col("id").cast("string").alias("a"), F.lit(None).cast("string").alias("b"))
+    encoding.check_levels(df, ["a", "b"], 50)
+    with pytest.raises(ValueError, match="too many levels to index: a;"):
+        encoding.check_levels(df, ["a", "b"], 49)
+
+
 def test_statistics_come_from_train_only(spark):
     train = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (4.0,), (None,)], "x double")
     test = spark.createDataFrame([(None,), (100.0,)], "x double")
