@@ -47,20 +47,16 @@ def targets(sizes: list[int], weights: list[float], share: float, most: float) -
 
     What is cut off a source is shared anew, by weight, among the others until none is above.
     """
-    budget = share * sum(sizes)
+    left = share * sum(sizes)
     out = [0.0] * len(sizes)
     free = list(range(len(sizes)))
     while free:
-        left = budget - sum(most * sizes[i] for i in range(len(sizes)) if i not in set(free))
         rate = left / sum(weights[i] for i in free)
-        above = [i for i in free if weights[i] * rate > most * sizes[i]]
-        if not above:
-            for i in free:
-                out[i] = weights[i] * rate
-            break
-        for i in above:
-            out[i] = most * sizes[i]
-        free = [i for i in free if i not in set(above)]
+        above = {i for i in free if weights[i] * rate > most * sizes[i]}
+        for i in above or free:
+            out[i] = most * sizes[i] if above else weights[i] * rate
+        left -= sum(out[i] for i in above)
+        free = [i for i in free if i not in above] if above else []
     return out
 
 

@@ -218,14 +218,13 @@ def links(
 def near_duplicates(
     docs: DataFrame, shingle: int = 4, distance: int = 4, segments: int = SEGMENTS
 ) -> DataFrame:
-    """One row per document: doc_id, h, fp, component_id, stays, copies.
+    """One row per document: doc_id, h, fp, component_id, stays.
 
     ``component_id`` is the smallest doc_id reachable over links of ``distance`` or fewer
-    bits. ``stays`` marks the row with that id (of equal ids the smallest text hash);
-    ``copies`` is the number of rows equal to it in id and text, of which ``stays`` marks
-    all. Null ids count as larger than any other; a component of null ids alone has a null
-    component_id. Null text has no words; texts without words have fingerprint zero and are
-    linked like others.
+    bits. ``stays`` marks the row with that id (of equal ids the one with the smallest text
+    hash), and rows equal to it in id and text. Null ids count as larger than any other; a
+    component of null ids alone has a null component_id. Null text has no words; texts
+    without words have fingerprint zero and are linked like others.
     """
     signed = materialise(fingerprints(docs, shingle), "fingerprints")
     rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")
