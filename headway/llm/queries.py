@@ -58,7 +58,7 @@ def op3_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 
 def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
     found = warc.archived(table(spark, folder, "pages"))
-    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url", "intact")
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
 
 
 def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
@@ -132,6 +132,20 @@ ORACLES: dict[str, str] = {
                sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
     """,
+    # Five hexadecimal digits of SHA-1 are four digits of base 32.
+    "op4_warc": """
+        WITH page AS (
+            SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages),
+        coded AS (
+            SELECT page_id, html, array_to_string(list_transform(range(0, 32), lambda k:
+                substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST((CAST('0x' || substr(hex, 1 + 5 * (k // 4), 5) AS BIGINT)
+                    >> CAST(5 * (3 - k % 4) AS INTEGER)) & 31 AS INTEGER), 1)), '') AS digest FROM page),
+        firsts AS (SELECT *, min(page_id) OVER (PARTITION BY html) AS first FROM coded)
+        SELECT page_id, octet_length(encode(html)) AS payload_bytes, digest AS payload_digest,
+               CASE WHEN page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to, TRUE AS intact
+        FROM firsts
+    """,
     "op8_decontamination": r"""
         WITH doc AS (
             SELECT row_number() OVER () AS r, doc_id,
