@@ -26,7 +26,7 @@ from headway.llm.common import document_keys, small_batches
 from headway.session import materialise
 
 GRAM = 5
-BLOCK_WORDS = 2_000_000
+BLOCK_WORDS = 500_000
 
 # ASCII other than digits and letters separates words; upper-case ASCII letters become lower case.
 _FOLD = bytes(
