@@ -89,6 +89,12 @@ def intermediates(spark: SparkSession) -> Iterator[None]:
             folder.getFileSystem(conf).delete(folder, True)
 
 
+def own(path: str) -> None:
+    """Leave a folder in the shared storage to the enclosing ``intermediates`` block, if there is one."""
+    if _owned:
+        _owned[-1].append(path)
+
+
 def materialise(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
     """Write ``df`` once to the shared folder and continue from the written table.
 
@@ -97,8 +103,8 @@ def materialise(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
     deletes the table at its end unless it is to be kept.
     """
     path = f"{shared_folder(df.sparkSession)}/headway/{label}-{uuid.uuid4().hex}"
-    if _owned and not keep:
-        _owned[-1].append(path)
+    if not keep:
+        own(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
