@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway.llm.common import KEY_ROWS, small_batches, spread_join
-from headway.session import materialise, shared_folder, small_table
+from headway.session import materialise, own, shared_folder, small_table
 
 ARCHIVE_BYTES = 64 * 1024 * 1024
 BLOCK_LINES = 500
@@ -147,6 +147,7 @@ def new_folder(spark: SparkSession, label: str) -> str:
     folder = f"{shared_folder(spark)}/headway/{label}-{uuid.uuid4().hex}"
     store, path = _store(folder)
     store.create_dir(path, recursive=True)
+    own(folder)
     return folder
 
 
