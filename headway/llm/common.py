@@ -12,7 +12,7 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.session import materialise, ship_code, small_table
+from headway.session import ship_code, small_table
 
 # A key with more than this share of all rows is hot; there are fewer than 1 / share of them.
 HOT_SHARE = 0.001
