@@ -9,6 +9,10 @@ its trigrams, the documents that hold it and how often. These lists, packed per
 the trigram probabilities are dealt over the same shards, where each list is multiplied by
 its log probability; the partial sums of a block then meet by block. A task holds one
 shard of the model and the lists of one block at a time, whatever the size of the corpus.
+
+No n-gram model tells one word repeated over and over from prose by its mean: each repeat
+costs the same as a word of prose may. The number of distinct trigrams of a text does tell
+it, and the blocks count them anyway; it is held against the trusted texts as well.
 """
 
 from __future__ import annotations
@@ -32,7 +36,8 @@ BLOCK_DOCS = 50_000
 SHARDS = 16
 SHARD_PRIME = 1_000_003
 BUCKET_BLOCKS = 32
-LOW, HIGH = 0.002, 0.995
+LOW, HIGH = 0.005, 0.99  # chosen from recall on labelled texts, see README
+VARIED = 0.002  # quantile of the trusted texts below which a text has too few distinct trigrams
 LEAST_TRUSTED = 50
 DIGITS = 4
 
@@ -160,10 +165,12 @@ def log_probabilities(grams: DataFrame, counts: DataFrame) -> DataFrame:
     )
 
 
-BLOCKS = "block long, shard int, lists binary, ids array<long>, hs array<long>, langs array<string>, lengths array<long>"
+BLOCKS = "block long, shard int, lists binary, ids array<long>, hs array<long>, langs array<string>, lengths array<long>, "
+BLOCKS += "kinds array<long>"
 _BLOCKS = pa.schema(
     [("block", pa.int64()), ("shard", pa.int32()), ("lists", pa.binary()), ("ids", pa.list_(pa.int64())),
-     ("hs", pa.list_(pa.int64())), ("langs", pa.list_(pa.string())), ("lengths", pa.list_(pa.int64()))]
+     ("hs", pa.list_(pa.int64())), ("langs", pa.list_(pa.string())), ("lengths", pa.list_(pa.int64())),
+     ("kinds", pa.list_(pa.int64()))]
 )
 
 
@@ -209,17 +216,19 @@ class _Block:
 
     def __init__(self, number: int):
         self.number, self.size = number, 0
-        self.rows: tuple[list, ...] = ([], [], [], [])
+        self.rows: tuple[list, ...] = ([], [], [], [], [])
         self.grams: list[tuple[np.ndarray, np.ndarray, int]] = []
 
     def add(self, doc_id: int | None, h: int, lang: str | None, text: str | None) -> None:
         symbols = _symbols(text or "")
         length = len(symbols) - 2
         at = len(self.rows[0])
-        for column, value in zip(self.rows, (doc_id, h, lang, length), strict=True):
-            column.append(value)
-        for keys, counts in _grams(symbols):
+        parts = list(_grams(symbols))
+        for keys, counts in parts:
             self.grams.append((keys, counts, at))
+        kinds = len(parts[0][0] if len(parts) == 1 else np.unique(np.concatenate([k for k, _ in parts])))
+        for column, value in zip(self.rows, (doc_id, h, lang, length, kinds), strict=True):
+            column.append(value)
         self.size += length
 
     def records(self) -> Iterator[pa.RecordBatch]:
@@ -240,7 +249,7 @@ class _Block:
             [int(s) for s, _ in found],
             [_pack(keys[mine], docs[mine], counts[mine]) for _, mine in found],
         ]
-        columns += [[None] * len(found)] * 4
+        columns += [[None] * len(found)] * 5
         yield pa.RecordBatch.from_arrays(
             [pa.array(c, f.type) for c, f in zip(columns, _BLOCKS, strict=True)], schema=_BLOCKS
         )
@@ -322,15 +331,17 @@ def _gathered(key: tuple[pa.Scalar, ...], parts: pa.Table) -> pa.Table:
             "h": pa.array(meta["hs"], pa.int64()),
             "lang": pa.array(meta["langs"], pa.string()),
             "length": pa.array(meta["lengths"], pa.int64()),
+            "kinds": pa.array(meta["kinds"], pa.int64()),
             "logp": pa.array(total, pa.float64()),
         }
     )
 
 
 def perplexities(docs: DataFrame, trusted: DataFrame) -> DataFrame:
-    """(doc_id, h, lang, length, score): mean negative log probability per character, written once.
+    """(doc_id, h, lang, length, kinds, score): mean negative log probability per character, written once.
 
-    ``score`` is the log of the perplexity, null for texts without characters.
+    ``score`` is the log of the perplexity, null for texts without characters; ``kinds`` the
+    number of distinct trigrams.
     """
     held = small_table(trusted, KEY_ROWS)
     known = trusted if held is None else F.broadcast(held)
@@ -357,13 +368,19 @@ def perplexities(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     # Blocks are numbered from 0 up, so that the model, at -1, comes first.
     dealt = dealt.sortWithinPartitions("shard", "bucket", "block")
     sums = dealt.mapInArrow(_partial_sums, "block long, shard int, sums binary")
-    meta = blocks.filter("shard IS NULL").select("block", "ids", "hs", "langs", "lengths")
+    meta = blocks.filter("shard IS NULL").select("block", "ids", "hs", "langs", "lengths", "kinds")
     both = sums.unionByName(meta, allowMissingColumns=True)
-    schema = "doc_id long, h long, lang string, length long, logp double"
+    schema = "doc_id long, h long, lang string, length long, kinds long, logp double"
     found = both.groupBy("block").applyInArrow(_gathered, schema)
     # The end mark is predicted too; a text without characters has nothing else.
     score = F.when(F.col("length") > 1, F.round(-F.col("logp") / F.col("length"), DIGITS))
-    return materialise(found.select("doc_id", "h", "lang", "length", score.alias("score")), "perplexities")
+    return materialise(found.select("doc_id", "h", "lang", "length", "kinds", score.alias("score")), "perplexities")
+
+
+def _variety() -> tuple[Column, Column]:
+    """Distinct trigrams on two scales: of clean texts one falls with the length, the other rises."""
+    kinds, length = F.col("kinds").cast("double"), F.col("length").cast("double")
+    return F.round(F.log(kinds + 1) / F.log(length + 1), DIGITS), F.round(kinds / F.sqrt(length), 2)
 
 
 def _quantiles(scores: DataFrame, by: list[str], low: float, high: float) -> DataFrame:
@@ -379,6 +396,17 @@ def _quantiles(scores: DataFrame, by: list[str], low: float, high: float) -> Dat
     )
 
 
+def _limits(known: DataFrame, by: list[str], low: float, high: float) -> DataFrame:
+    """Limits of the score and of the two scales of variety, one row per group."""
+    out = _quantiles(known, by, low, high)
+    for scale in ("falling", "rising"):
+        least = _quantiles(known.select(*by, F.col(scale).alias("score")), by, VARIED, 1.0)
+        # Few documents do not show the quantile; their least value lies above it.
+        fewer = F.col("low") * F.col("trusted") / (F.col("trusted") + 2)
+        out = out.join(least.select(*by, fewer.alias(scale)), by)
+    return out
+
+
 def classify(
     docs: DataFrame, labels: DataFrame, low: float = LOW, high: float = HIGH, least: int = LEAST_TRUSTED
 ) -> DataFrame:
@@ -387,27 +415,34 @@ def classify(
     Trusted are the texts labelled of good quality and not toxic. A document is kept if its
     log perplexity lies between the ``low`` and ``high`` quantiles of the trusted documents
     of its language (of all trusted ones where a language has fewer than ``least``; null is
-    a language of its own). Texts without characters are not kept; without trusted texts
-    all others are. Documents equal in id and text get equal rows.
+    a language of its own). A text that repeats itself, with fewer distinct trigrams for its
+    length than the ``VARIED`` quantile of the trusted ones on both scales of :func:`_variety`, is
+    not kept. Texts without characters are not kept; without trusted texts all others are.
+    Documents equal in id and text get equal rows.
     """
     trusted = labels.filter((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0))
     trusted = trusted.select(F.col("doc_id").cast("long").alias("doc_id")).filter("doc_id IS NOT NULL").distinct()
     trusted = materialise(trusted, "trusted-ids")
     scores = perplexities(docs, trusted)
     known = scores.filter("score IS NOT NULL").join(trusted, "doc_id", "left_semi")
-    known = materialise(known.select(_language(), "score"), "trusted-scores")
-    own = _quantiles(known, ["language"], low, high).filter(F.col("trusted") >= least)
-    (floor, ceiling) = _quantiles(known.withColumn("one", F.lit(1)), ["one"], low, high).select(
-        F.max("low"), F.max("high")
+    falling, rising = _variety()
+    known = known.select(_language(), "score", falling.alias("falling"), rising.alias("rising"))
+    known = materialise(known, "trusted-scores")
+    own = _limits(known, ["language"], low, high).filter(F.col("trusted") >= least)
+    floor, ceiling, least_falling, least_rising = _limits(known.withColumn("one", F.lit(1)), ["one"], low, high).select(
+        F.max("low"), F.max("high"), F.max("falling"), F.max("rising")
     ).first()
     rows = lookup_join(scores.withColumn("language", _language()), own, ["language"])
     rows = rows.withColumns(
         {
             "low": F.coalesce("low", F.lit(floor).cast("double"), F.lit(0.0)),
             "high": F.coalesce("high", F.lit(ceiling).cast("double"), F.lit(float("inf"))),
+            "falling": F.coalesce("falling", F.lit(least_falling).cast("double"), F.lit(0.0)),
+            "rising": F.coalesce("rising", F.lit(least_rising).cast("double"), F.lit(0.0)),
         }
     )
-    kept = F.coalesce(F.col("score").between(F.col("low"), F.col("high")), F.lit(False))
+    varied = (falling >= F.col("falling")) | (rising >= F.col("rising"))
+    kept = F.coalesce(F.col("score").between(F.col("low"), F.col("high")) & varied, F.lit(False))
     return rows.select(
         "doc_id", "h", "lang", "length", F.exp("score").alias("perplexity"),
         F.exp("low").alias("low"), F.exp("high").alias("high"), kept.alias("kept"),

@@ -143,3 +143,14 @@ def test_exact_quantiles(spark):
     row = quality._quantiles(df, ["k"], 0.25, 0.9).first()
     ordered = sorted(values)
     assert (row.low, row.high) == (ordered[124], ordered[449])
+
+
+def test_repeated_words_go(spark):
+    docs = cases.documents(spark, n=300, awkward=False)
+    words = [w + end for w in cases.WORDS for end in ("", "s")]
+    junk = [(5000 + i, f"{w} " * (40 + 10 * i), "en", "s", 0) for i, w in enumerate(words)]
+    junk += [(6000 + i, f"River stones. {w} " + f"{w} " * 80, "de", "s", 0) for i, w in enumerate(words)]
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(200)], LABELS)
+    out = quality.good_documents(docs.union(spark.createDataFrame(junk, cases.SCHEMA)), labels)
+    ids = [r.doc_id for r in out.collect()]
+    assert max(ids) < 5000 and len(ids) > 0.95 * docs.count()
