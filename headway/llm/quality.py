@@ -38,7 +38,8 @@ SHARD_PRIME = 1_000_003
 BUCKET_BLOCKS = 32
 LOW, HIGH = 0.005, 0.99  # chosen from recall on labelled texts, see README
 VARIED = 0.002  # quantile of the trusted texts below which a text has too few distinct trigrams
-LEAST_TRUSTED = 50
+LEAST_TRUSTED = 1
+STRETCH = 3.0  # deviations that the limits of a single trusted document lie away from it
 DIGITS = 4
 
 
@@ -397,8 +398,23 @@ def _quantiles(scores: DataFrame, by: list[str], low: float, high: float) -> Dat
 
 
 def _limits(known: DataFrame, by: list[str], low: float, high: float) -> DataFrame:
-    """Limits of the score and of the two scales of variety, one row per group."""
+    """Limits of the score and of the two scales of variety, one row per group.
+
+    Of few documents the quantiles are the range. It is widened by a share of the deviation
+    that falls with their number, since their range is narrower than that of the language.
+    """
     out = _quantiles(known, by, low, high)
+    # The deviation within languages, rounded so that the order of summation does not show.
+    each = known.groupBy(*by).agg((F.var_pop("score") * F.count("*")).alias("squares"), F.count("*").alias("n"))
+    spread = F.sqrt(F.sum("squares") / F.greatest(F.sum("n") - F.count("*"), F.lit(1)))
+    deviation = each.agg(F.round(spread, DIGITS)).first()[0] or 0.0
+    further = F.lit(STRETCH * deviation) / F.col("trusted")
+    out = out.withColumns(
+        {
+            "low": F.col("low") - F.when(F.col("trusted") * low < 1, further).otherwise(0.0),
+            "high": F.col("high") + F.when(F.col("trusted") * (1 - high) < 1, further).otherwise(0.0),
+        }
+    )
     for scale in ("falling", "rising"):
         least = _quantiles(known.select(*by, F.col(scale).alias("score")), by, VARIED, 1.0)
         # Few documents do not show the quantile; their least value lies above it.
@@ -414,11 +430,11 @@ def classify(
 
     Trusted are the texts labelled of good quality and not toxic. A document is kept if its
     log perplexity lies between the ``low`` and ``high`` quantiles of the trusted documents
-    of its language (of all trusted ones where a language has fewer than ``least``; null is
-    a language of its own). A text that repeats itself, with fewer distinct trigrams for its
-    length than the ``VARIED`` quantile of the trusted ones on both scales of :func:`_variety`, is
-    not kept. Texts without characters are not kept; without trusted texts all others are.
-    Documents equal in id and text get equal rows.
+    of its language, however few (null is a language of its own). A language with fewer than
+    ``least``, by default with none, has no limits: its texts with characters are kept, not
+    judged by those of another language. A text that repeats itself, with fewer distinct
+    trigrams for its length than the ``VARIED`` quantile of the trusted ones on both scales
+    of :func:`_variety`, is not kept, nor are texts without characters. Documents equal in id and text get equal rows.
     """
     trusted = labels.filter((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0))
     trusted = trusted.select(F.col("doc_id").cast("long").alias("doc_id")).filter("doc_id IS NOT NULL").distinct()
@@ -429,16 +445,13 @@ def classify(
     known = known.select(_language(), "score", falling.alias("falling"), rising.alias("rising"))
     known = materialise(known, "trusted-scores")
     own = _limits(known, ["language"], low, high).filter(F.col("trusted") >= least)
-    floor, ceiling, least_falling, least_rising = _limits(known.withColumn("one", F.lit(1)), ["one"], low, high).select(
-        F.max("low"), F.max("high"), F.max("falling"), F.max("rising")
-    ).first()
     rows = lookup_join(scores.withColumn("language", _language()), own, ["language"])
     rows = rows.withColumns(
         {
-            "low": F.coalesce("low", F.lit(floor).cast("double"), F.lit(0.0)),
-            "high": F.coalesce("high", F.lit(ceiling).cast("double"), F.lit(float("inf"))),
-            "falling": F.coalesce("falling", F.lit(least_falling).cast("double"), F.lit(0.0)),
-            "rising": F.coalesce("rising", F.lit(least_rising).cast("double"), F.lit(0.0)),
+            "low": F.coalesce("low", F.lit(0.0)),
+            "high": F.coalesce("high", F.lit(float("inf"))),
+            "falling": F.coalesce("falling", F.lit(0.0)),
+            "rising": F.coalesce("rising", F.lit(0.0)),
         }
     )
     varied = (falling >= F.col("falling")) | (rising >= F.col("rising"))

@@ -154,3 +154,23 @@ def test_repeated_words_go(spark):
     out = quality.good_documents(docs.union(spark.createDataFrame(junk, cases.SCHEMA)), labels)
     ids = [r.doc_id for r in out.collect()]
     assert max(ids) < 5000 and len(ids) > 0.95 * docs.count()
+
+
+def test_rare_languages_have_their_own_limits(spark):
+    other = str.maketrans("abcdefghijklmnopqrstuvwxyz", "абвгдежзийклмнопрстуфхцчшщ")
+    common = [(r.doc_id, r.text, "en", "s", 0) for r in cases.documents(spark, n=300, awkward=False).collect()]
+    rare = [(1000 + k, t.lower().translate(other), "rare", "s", 0) for k, (_, t, *_) in enumerate(common[:60])]
+    none = [(2000 + k, t, "none", "s", 0) for k, (_, t, *_) in enumerate(rare)]
+    junk = [(3000, "ЖЖ##%% ЩЩ!! " * 20, "rare", "s", 0)]
+    docs = spark.createDataFrame(common + rare + none + junk, cases.SCHEMA)
+    few = {}
+    for n in (1, 10, 49, 50):
+        labels = spark.createDataFrame([(i, 1, 0) for i in (*range(200), *range(1000, 1000 + n))], LABELS)
+        rows = quality.classify(docs, labels).collect()
+        mine = [r for r in rows if r.lang == "rare" and r.doc_id < 3000]
+        own = [r.perplexity for r in mine if r.doc_id < 1000 + n]
+        assert all(r.low <= min(own) and r.high >= max(own) and r.high < 3 * max(own) for r in mine)
+        few[n] = sum(r.kept for r in mine)
+        assert not next(r for r in rows if r.doc_id == 3000).kept
+        assert {(r.low, r.high, r.kept) for r in rows if r.lang == "none"} == {(1.0, math.inf, True)}
+    assert few[10] > 50 and few[49] > 55 and few[49] <= few[50]
