@@ -5,14 +5,19 @@ fingerprints and the stored keys (digest, byte length, largest row, row count).
 digest that misses the filter is new; a hit is verified against the bucket's stored
 content keys, because filters err. Deletion takes a fingerprint out again. When an
 insertion overflows, the filter is doubled and filled anew from the stored keys.
+
+The live rows lie beside the buckets, counted per digest and id, so that after a deletion
+the largest row that is left is found however many rows share a text.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from headway.llm.common import small_batches
@@ -22,6 +27,18 @@ SLOTS = 4
 MAX_KICKS = 200
 SALTS = 32
 INDEX = "bucket int, digest binary, n_bytes long, doc_id long, rid long, n long"
+STORED_RID = -1  # of all stored rows: row numbers start anew with each batch
+
+
+@dataclass
+class Index:
+    """The stored keys (INDEX columns) and the live rows (digest, n_bytes, doc_id, n)."""
+
+    keys: DataFrame
+    live: DataFrame
+
+    def collect(self) -> list[Row]:
+        return self.keys.collect()
 
 
 class CuckooFilter:
@@ -100,6 +117,12 @@ class Bucket:
             del self.keys[key]
             self.filter.remove(digest)
 
+    def settle(self, digest: bytes, n_bytes: int, best: tuple) -> None:
+        """Record the largest live row of a digest."""
+        key = (digest, n_bytes)
+        if held := self.keys.get(key):
+            self.keys[key] = (best, held[1])
+
     def resize(self) -> None:
         cells = self.filter.cells
         done = False
@@ -131,7 +154,8 @@ def digests(docs: DataFrame) -> DataFrame:
 def _changes(rows: DataFrame, buckets: int) -> DataFrame:
     """Rows summed per digest and salt before they are dealt to the buckets."""
     best = F.max(F.struct(F.col("doc_id").isNotNull().alias("some"), "doc_id", "rid")).alias("best")
-    sums = rows.groupBy("digest", "n_bytes", "part").agg(best, F.count("*").alias("n"))
+    n = F.sum("n") if "n" in rows.columns else F.count("*")
+    sums = rows.groupBy("digest", "n_bytes", "part").agg(best, n.alias("n"))
     prefix = F.conv(F.hex(F.substring("digest", 1, 4)), 16, 10).cast("long")
     return sums.select(
         F.pmod(prefix, F.lit(buckets)).cast("int").alias("bucket"),
@@ -139,11 +163,13 @@ def _changes(rows: DataFrame, buckets: int) -> DataFrame:
     )
 
 
-def _in_buckets(changes: DataFrame, stored: DataFrame | None) -> DataFrame:
-    """Stored keys (op 0), deletions (op 1) and insertions (op 2), bucket by bucket."""
+def _in_buckets(changes: DataFrame, stored: Index | None) -> DataFrame:
+    """Stored keys (op 0), deletions (op 1), insertions (op 2), largest live rows (op 3), bucket by bucket."""
     names = ["bucket", "op", "digest", "n_bytes", "part", "doc_id", "rid", "n"]
     if stored is not None:
-        held = stored.withColumns({"op": F.lit(0), "part": F.lit(0)})
+        held = stored.keys.withColumns(
+            {"op": F.lit(0), "part": F.lit(0), "rid": F.lit(STORED_RID).cast("long")}
+        )
         changes = changes.select(names).unionByName(held.select(names))
     return changes.select(names).repartition("bucket").sortWithinPartitions("bucket", "op")
 
@@ -163,6 +189,8 @@ def _run(rows: DataFrame, emit, schema: str) -> DataFrame:
                     now, bucket, seen = number, Bucket(), []
                 if op == 1:
                     bucket.delete(digest, n_bytes, n)
+                elif op == 3:
+                    bucket.settle(digest, n_bytes, (doc_id, rid))
                 else:
                     bucket.insert(digest, n_bytes, (doc_id, rid), n)
                     if op == 2:
@@ -195,33 +223,60 @@ def bucket_count(rows: DataFrame) -> int:
 
 
 def update(
-    stored: DataFrame | None, inserted: DataFrame | None, deleted: DataFrame | None, buckets: int
-) -> DataFrame:
-    """The stored keys after deletions, then insertions, as a written table (INDEX columns).
+    stored: Index | None, inserted: DataFrame | None, deleted: DataFrame | None, buckets: int
+) -> Index:
+    """The index after deletions, then insertions, written.
 
-    ``inserted`` and ``deleted`` come from :func:`digests`. Deleting an absent text does nothing;
-    after a deletion the largest row seen stays the recorded one.
+    ``inserted`` and ``deleted`` come from :func:`digests`. A deletion takes out live rows of
+    its text and id; one that finds none does nothing. The recorded row is the largest live one.
     """
+    key = ["digest", "n_bytes", "doc_id"]
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+    sides = (
+        (stored and stored.live, F.col("n"), none, none), (inserted, none, one, none), (deleted, none, none, one),
+    )
     parts = [
-        _changes(rows, buckets).withColumn("op", F.lit(op))
-        for rows, op in ((deleted, 1), (inserted, 2))
+        rows.select(*key, held.alias("held"), more.alias("more"), less.alias("less"))
+        for rows, held, more, less in sides
         if rows is not None
     ]
-    changes = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    sums = reduce(DataFrame.unionByName, parts).groupBy(key).agg(*[F.sum(c).alias(c) for c in ("held", "more", "less")])
+    gone = F.least("held", "less").alias("gone")
+    sums = materialise(sums.select(*key, gone, (F.col("held") - gone + F.col("more")).alias("n")), "live-changes")
+    live = materialise(sums.filter("n > 0").select(*key, "n"), "live-rows")
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int").alias("part")
+    rid = F.lit(STORED_RID).cast("long").alias("rid")
+
+    def change(rows: DataFrame, n: str, op: int) -> DataFrame:
+        return _changes(rows.select(*key, rid, part, F.col(n).alias("n")), buckets).withColumn("op", F.lit(op))
+
+    changes = []
+    if deleted is not None:
+        changes.append(change(sums.filter("gone > 0"), "gone", 1))
+    if inserted is not None:
+        changes.append(_changes(inserted, buckets).withColumn("op", F.lit(2)))
+    if deleted is not None:
+        best = change(live, "n", 3)
+        best = best.groupBy("bucket", "digest", "n_bytes", "op").agg(
+            F.max(F.struct(F.col("doc_id").isNotNull().alias("some"), "doc_id", "rid")).alias("best"), F.sum("n").alias("n")
+        )
+        changes.append(best.select("bucket", "digest", "n_bytes", F.lit(0).alias("part"), "best.doc_id", "best.rid", "n", "op"))
 
     def emit(number, bucket, _):
         rows = [(number, d, b, best[0], best[1], n) for (d, b), (best, n) in bucket.keys.items()]
         yield from _batch(rows, _KEYS)
 
-    return materialise(_run(_in_buckets(changes, stored), emit, INDEX), "digest-index")
+    every = reduce(DataFrame.unionByName, changes)
+    return Index(materialise(_run(_in_buckets(every, stored), emit, INDEX), "digest-index"), live)
 
 
-def duplicates(docs: DataFrame, stored: DataFrame | None = None, buckets: int | None = None) -> DataFrame:
+def duplicates(docs: DataFrame, stored: Index | None = None, buckets: int | None = None) -> DataFrame:
     """One row per document: doc_id, digest, keep_id, group_size, kept.
 
     Texts are equal when identical; null counts as empty. Of equal texts the row with the
     largest doc_id stays; null ids are smaller than any other, and of repeated ids one row
-    stays. With ``stored`` the rows of the index take part in the comparison.
+    stays. With ``stored`` the live rows of the index take part in the comparison; of a row
+    given and a stored one with equal ids the one given stays.
     """
     rows = digests(docs)
     buckets = buckets or bucket_count(rows)
@@ -234,5 +289,6 @@ def duplicates(docs: DataFrame, stored: DataFrame | None = None, buckets: int |
     schema = "digest binary, n_bytes long, part int, keep_id long, keep_rid long, group_size long"
     found = _run(_in_buckets(changes, stored), emit, schema)
     return rows.join(found, ["digest", "n_bytes", "part"]).select(
-        "doc_id", "digest", "keep_id", "group_size", (F.col("rid") == F.col("keep_rid")).alias("kept")
+        "doc_id", "digest", "keep_id", "group_size",
+        (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("rid") == F.col("keep_rid"))).alias("kept"),
     )

@@ -66,5 +66,23 @@ def test_index_over_batches(spark):
     assert found[998].group_size == 1
 
 
+def test_deleting_the_keeper(spark):
+    frame = lambda rows: spark.createDataFrame([(i, t, None, None, 0) for i, t in rows], cases.SCHEMA)
+    index = exact.update(None, exact.digests(frame([(1, "a"), (2, "a"), (3, "a"), (3, "a"), (9, "b")])), None, 4)
+    index = exact.update(index, exact.digests(frame([(8, "a"), (None, "b")])), None, 4)
+    index = exact.update(index, None, exact.digests(frame([(8, "a"), (3, "a"), (9, "b"), (77, "a"), (5, "c")])), 4)
+    left = {(r.doc_id, r.n) for r in index.collect()}
+    assert left == {(3, 3), (None, 1)}
+    found = exact.duplicates(frame([(1, "a"), (2, "a"), (3, "a"), (None, "b")]), stored=index, buckets=4).collect()
+    assert {(r.doc_id, r.keep_id, r.kept) for r in found} == {
+        (1, 3, False), (2, 3, False), (3, 3, True), (None, None, True)
+    }
+    # A row whose number is that of the stored keeper is not the keeper.
+    found = exact.duplicates(frame([(2, "a")]), stored=index, buckets=4).collect()
+    assert [(r.keep_id, r.kept) for r in found] == [(3, False)]
+    index = exact.update(index, exact.digests(frame([(2, "a")])), exact.digests(frame([(3, "a")])), 4)
+    assert {(r.doc_id, r.n) for r in index.collect()} == {(2, 3), (None, 1)}
+
+
 def test_no_rows(spark):
     assert exact.duplicates(cases.documents(spark).limit(0)).count() == 0
