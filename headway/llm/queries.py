@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from headway.llm import (
     contamination,
     exact,
     licences,
+    merkle,
     mixing,
     quality,
     secret_scan,
@@ -19,6 +21,7 @@ from headway.llm import (
     substring,
     warc,
 )
+from headway.session import lookup_join
 
 SHARDS = 24
 
@@ -111,6 +114,20 @@ def op10_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "digest", "licence", F.array_join("notices", ",").alias("notices"))
 
 
+def op13_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    lowered = F.translate("text", ascii_uppercase, ascii_lowercase)
+    claimed = merkle.leaf_of(F.when(tampered, lowered).otherwise(F.col("text"))).alias("claimed")
+    made = merkle.manifest(docs, claimed)
+    subroots = made.trees.select("tree", "subroot")
+    found = lookup_join(merkle.verified(made), subroots, ["tree"], how="inner")
+    return found.select(
+        "doc_id", F.col("digest").alias("leaf"), "subroot", F.lit(made.root).cast("string").alias("root"),
+        "proof_sha256", "folded_root", "verified",
+    )
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -121,7 +138,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_sharding, op2_substring_dedup, op3_quality_classifier, op4_warc, op5_secret_scan, op6_exact_dedup,
-        op7_simhash, op8_decontamination, op9_mixing, op10_licence_scan, pipeline,
+        op7_simhash, op8_decontamination, op9_mixing, op10_licence_scan,
+        op13_merkle, pipeline,
     )
 }
 
@@ -214,3 +232,78 @@ def _licence_sql() -> str:
 
 
 ORACLES["op10_licence_scan"] = _licence_sql()
+
+
+def _crc32_sql(text: str) -> str:
+    """CRC-32 of ASCII text in SQL: eight shifts a character."""
+    eight = "[xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0]"
+    step = f"list_reduce({eight}, lambda x, z: xor(x >> 1, (x & 1) * 3988292384))"
+    codes = f"list_transform(string_split({text}, ''), lambda s: CAST(ord(s) AS BIGINT))"
+    return f"xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], {codes}), lambda c, b: {step}), 4294967295)"
+
+
+def _tagged_sql(value: str) -> str:
+    return f"CASE WHEN {value} IS NULL THEN '-' ELSE strlen(CAST({value} AS VARCHAR)) || ':' || {value} END"
+
+
+def _merkle_sql() -> str:
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join(_tagged_sql(f) for f in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+    lowered = f"translate(text, '{ascii_uppercase}', '{ascii_lowercase}')"
+
+    def tree(name: str, leaves: str) -> str:
+        """Nodes (t, level, k, h) above ``leaves`` (t, k, h) up to the root of each tree."""
+        return f"""{name}(t, level, k, h, n) AS (
+            SELECT t, 0, k, h, count(*) OVER (PARTITION BY t) FROM {leaves}
+            UNION ALL
+            SELECT t, max(level) + 1, k // 16, sha256(string_agg(h, '' ORDER BY k)), max((n + 15) // 16)
+            FROM {name} WHERE n > 1 GROUP BY t, k // 16)"""
+
+    def way(name: str, leaves: str, nodes: str) -> str:
+        """For each leaf the siblings of every level, and the digest folded with them."""
+        return f"""{name}(t, leaf, level, h, siblings) AS (
+            SELECT t, k, 0, claimed, '' FROM {leaves}
+            UNION ALL
+            SELECT w.t, w.leaf, w.level + 1,
+                   sha256(string_agg(CASE WHEN n.k = place THEN w.h ELSE n.h END, '' ORDER BY n.k)),
+                   max(w.siblings) || coalesce(string_agg(n.h, '' ORDER BY n.k) FILTER (n.k <> place), '')
+            FROM (SELECT *, leaf // (16 ** level)::BIGINT AS place FROM {name}) w
+            JOIN {nodes} n ON n.t = w.t AND n.level = w.level AND n.k // 16 = place // 16 AND n.n > 1
+            GROUP BY w.t, w.leaf, w.level)"""
+
+    return f"""
+        WITH RECURSIVE leaves AS (
+            SELECT row_number() OVER () AS r, doc_id, coalesce('s' || source, 'n') AS t, {leaf("text")} AS h,
+                   CASE WHEN {_crc32_sql("CAST(doc_id AS VARCHAR)")} % 5 = 0 THEN {leaf(lowered)} ELSE {leaf("text")} END AS claimed
+            FROM documents),
+        placed AS (SELECT *, row_number() OVER (PARTITION BY t ORDER BY doc_id NULLS FIRST, h) - 1 AS k FROM leaves),
+        {tree("nodes", "placed")},
+        subroots AS (
+            SELECT 'root' AS t, t AS source, h AS subroot, h, row_number() OVER (ORDER BY encode(t)) - 1 AS k
+            FROM nodes WHERE n = 1),
+        {tree("over", "subroots")},
+        {way("ways", "placed", "nodes")},
+        lower_way AS (SELECT * FROM ways QUALIFY row_number() OVER (PARTITION BY t, leaf ORDER BY level DESC) = 1),
+        climbed AS (
+            SELECT 'root' AS t, row_number() OVER () AS k, s.k AS place, w.t AS source, w.leaf, w.h AS claimed, w.siblings
+            FROM lower_way w JOIN subroots s ON s.source = w.t),
+        upper_way AS (
+            WITH RECURSIVE up(k, level, place, h, siblings) AS (
+                SELECT k, 0, place, claimed, '' FROM climbed
+                UNION ALL
+                SELECT u.k, u.level + 1, u.place // 16,
+                       sha256(string_agg(CASE WHEN n.k = u.place THEN u.h ELSE n.h END, '' ORDER BY n.k)),
+                       max(u.siblings) || coalesce(string_agg(n.h, '' ORDER BY n.k) FILTER (n.k <> u.place), '')
+                FROM up u JOIN over n ON n.level = u.level AND n.k // 16 = u.place // 16 AND n.n > 1
+                GROUP BY u.k, u.level, u.place)
+            SELECT * FROM up QUALIFY row_number() OVER (PARTITION BY k ORDER BY level DESC) = 1)
+        SELECT p.doc_id, p.h AS leaf, s.subroot, o.h AS root, sha256(c.siblings || u.siblings) AS proof_sha256,
+               u.h AS folded_root, u.h = o.h AS verified
+        FROM placed p JOIN subroots s ON s.source = p.t
+        JOIN climbed c ON c.source = p.t AND c.leaf = p.k JOIN upper_way u ON u.k = c.k
+        JOIN over o ON o.n = 1
+    """
+
+
+ORACLES["op13_merkle"] = _merkle_sql()
