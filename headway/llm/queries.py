@@ -19,6 +19,7 @@ from headway.llm import (
     sharding,
     simhash,
     substring,
+    tries,
     warc,
 )
 from headway.session import lookup_join
@@ -114,6 +115,11 @@ def op10_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "digest", "licence", F.array_join("notices", ",").alias("notices"))
 
 
+def op12_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    rebuilt = tries.regrown(tries.turns_of(table(spark, folder, "conversations")))
+    return tries.trie(tries.sequences(rebuilt))
+
+
 def op13_merkle(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
@@ -139,7 +145,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_sharding, op2_substring_dedup, op3_quality_classifier, op4_warc, op5_secret_scan, op6_exact_dedup,
         op7_simhash, op8_decontamination, op9_mixing, op10_licence_scan,
-        op13_merkle, pipeline,
+        op12_conversation_trie, op13_merkle, pipeline,
     )
 }
 
@@ -307,3 +313,36 @@ def _merkle_sql() -> str:
 
 
 ORACLES["op13_merkle"] = _merkle_sql()
+
+
+ORACLES["op12_conversation_trie"] = f"""
+    WITH turns AS (
+        SELECT conv_id, turn, coalesce(text, '') AS text,
+               substr(sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')), 1, 32) AS id
+        FROM conversations WHERE conv_id IS NOT NULL),
+    own AS (
+        SELECT conv_id, list({{'id': id, 'n': length(text)}} ORDER BY turn NULLS FIRST, id) AS t,
+               {_crc32_sql("CAST(conv_id AS VARCHAR)")} % 6 AS h
+        FROM turns GROUP BY conv_id),
+    rebuilt AS (
+        SELECT o.conv_id AS c, list_concat(coalesce(d.t[1:o.h], []), o.t[o.h + 1:]) AS t
+        FROM own o LEFT JOIN own d ON d.conv_id = o.conv_id - o.conv_id % 100),
+    prefixes AS (
+        SELECT c, unnest(range(0, len(t) + 1)) AS depth, t,
+               list_transform(t, lambda x: x.id) AS ids FROM rebuilt),
+    nodes AS (
+        SELECT depth, ids[1:depth] AS node, min(c) AS conv_id, count(*) AS n_convs, any_value(t[depth].n) AS n,
+               string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (len(t) = depth) AS ended
+        FROM prefixes GROUP BY depth, ids[1:depth]),
+    linked AS (
+        SELECT n.*, p.conv_id AS parent_conv_id, (SELECT count(*) FROM nodes k
+               WHERE k.depth = n.depth + 1 AND k.node[1:n.depth] = n.node) AS n_children
+        FROM nodes n LEFT JOIN nodes p ON n.depth > 0 AND p.node = n.node[1:n.depth - 1]),
+    subtrees AS (
+        SELECT top, count(*) FILTER (n_children = 0) AS n_leaves, sum(coalesce((n_convs - 1) * n, 0)) AS saved
+        FROM (SELECT *, unnest(list_transform(range(0, depth + 1), lambda d: node[1:d])) AS top FROM linked)
+        GROUP BY top)
+    SELECT conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves,
+           CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(ended, '')) AS ends_sha256
+    FROM linked JOIN subtrees ON top = node
+"""
