@@ -350,7 +350,8 @@ def manifest(docs: DataFrame, *more: Column) -> Manifest:
     trees = materialise(trees.withColumn("levels", _levels(F.col("leaves"))), "merkle-trees")
     most = trees.agg(F.max("levels")).first()[0]
     if most is None:
-        return Manifest(table.select("tree", "digest"), [], trees, [], None)
+        empty = trees.select("tree", "leaves", "levels", F.lit("").alias("subroot"), F.lit(0).alias("rank"))
+        return Manifest(table.select("tree", "digest"), [], empty, [], None)
     leaves = lookup_join(table, trees.select("tree", "start", "levels"), ["tree"], how="inner")
     leaves = leaves.withColumn("index", F.col("_number") - F.col("start")).drop("_number", "start")
     steps, subroots = forest(leaves.select("tree", "levels", "index", "digest"), most)
@@ -429,5 +430,4 @@ def verified(made: Manifest, claimed: str = "claimed") -> DataFrame:
 
     schema = "doc_id long, tree string, digest string, proof_sha256 string, folded_root string, verified boolean"
     members = made.leaves.withColumn("source_tree", F.col("tree"))
-    made = Manifest(members, made.steps, made.trees, made.above, made.root)
-    return proofs(made, ["doc_id", "source_tree", "digest", claimed], emit, schema)
+    return proofs(Manifest(members, made.steps, made.trees, made.above, root), ["doc_id", "source_tree", "digest", claimed], emit, schema)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway.llm import (
+    bpe,
     contamination,
     exact,
     licences,
@@ -115,6 +116,13 @@ def op10_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "digest", "licence", F.array_join("notices", ",").alias("notices"))
 
 
+def op11_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    return bpe.digests(bpe.encoded(table(spark, folder, "documents"), *vocabulary), *vocabulary)
+
+
 def op12_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
     rebuilt = tries.regrown(tries.turns_of(table(spark, folder, "conversations")))
     return tries.trie(tries.sequences(rebuilt))
@@ -145,7 +153,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_sharding, op2_substring_dedup, op3_quality_classifier, op4_warc, op5_secret_scan, op6_exact_dedup,
         op7_simhash, op8_decontamination, op9_mixing, op10_licence_scan,
-        op12_conversation_trie, op13_merkle, pipeline,
+        op11_byte_bpe, op12_conversation_trie, op13_merkle, pipeline,
     )
 }
 
