@@ -1,15 +1,24 @@
-"""Logistic regression by full-batch gradient descent, one scan of the rows per step.
+"""Logistic regression by full-batch gradient descent.
 
 Features are numeric columns and index columns (the codes of one-hot blocks). A
 one-hot block is never expanded: its share of a score is one array lookup, its
-share of the gradient a sum of residuals by code. Each task adds up the gradient of
-its rows as one vector; the vectors are summed in two levels. Weights live on the
-driver and reach each step as a broadcast variable of one number per weight.
+share of the gradient a sum of residuals by code. Rows with equal features are folded
+to one weighted row before the first step, so a step reads distinct rows only.
+
+Folded rows of up to ``HELD_BYTES`` (counted, not guessed) are held by one task that
+makes many steps in one job. Beyond that every step is one scan: each task adds up the
+gradient of its rows as one vector, and the vectors are summed level by level until few
+are left. Weights live on the driver and reach each step as a broadcast variable of one
+number per weight. With ``stateDir`` the state is written every ``stateEvery`` steps, and a
+fit with the same data and settings goes on from the last state found there.
 """
 
 from __future__ import annotations
 
+import json
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +34,11 @@ from headway.functions.numeric import sigmoid
 from headway.session import materialise, ship_code
 
 
-# Above so many tasks their vectors are summed by fewer tasks before the driver sees them.
-TREE_PARTS = 64
+# So many vectors reach the driver in a step; more are summed by fewer tasks first.
+FEW_VECTORS = 8
+
+# Folded rows of up to this size are held by one task; 8 bytes a number, 4 a code.
+HELD_BYTES = 128 * 1024 * 1024
 
 
 class _Columns(Params):
@@ -56,6 +68,84 @@ def linear_score(
     return score
 
 
+@dataclass
+class State:
+    """What a step needs of the steps before it."""
+
+    bias: float
+    weights: np.ndarray
+    step: int = 0
+    history: list[float] = field(default_factory=list)
+    done: bool = False
+
+
+@dataclass(frozen=True)
+class Rules:
+    """How a step changes the state."""
+
+    rows: float
+    rate: float
+    alpha: float
+    tol: float
+    eps: float
+    fit_bias: bool
+    joint: bool
+    most: int
+
+    def sums(self, state: State, columns: list[np.ndarray], numbers: int, starts: np.ndarray) -> np.ndarray:
+        """Sums of the loss, of the residual and of residual * feature over weighted rows (n, positives, features)."""
+        w = state.weights
+        n, s, x = columns[0], columns[1], np.array(columns[2 : 2 + numbers]).reshape(numbers, -1)
+        score = state.bias + w[:numbers] @ x
+        one_more = np.append(w, 0.0)  # of codes without a weight
+        places = []
+        for column, start in zip(columns[2 + numbers :], starts, strict=False):
+            places.append(np.where(column >= 0, column + int(start), len(w)).astype(np.int64))
+            score += one_more[places[-1]]
+        p = 1.0 / (1.0 + np.exp(-score))
+        residual = n * p - s
+        total = np.zeros(len(w) + 2)
+        total[0] = -np.sum(s * np.log(p + self.eps) + (n - s) * np.log(1 - p + self.eps))
+        total[1] = residual.sum()
+        total[2 : 2 + numbers] = x @ residual
+        for place in places:
+            total[2:] += np.bincount(place, residual, len(w) + 1)[:-1]
+        return total
+
+    def after(self, state: State, total: np.ndarray) -> State:
+        """The state one step on; done when the slopes are short enough or the steps used up."""
+        loss, bias_slope, slope = total[0] / self.rows, total[1] / self.rows, total[2:] / self.rows
+        slope = slope + self.alpha * state.weights
+        weights = state.weights - self.rate * slope
+        bias = state.bias - self.rate * bias_slope if self.fit_bias else state.bias
+        loss = float(loss + self.alpha / 2 * np.sum(weights**2))
+        norm = np.linalg.norm(np.append(slope, bias_slope) if self.joint and self.fit_bias else slope)
+        step = state.step + 1
+        return State(float(bias), weights, step, [*state.history, loss], bool(norm < self.tol) or step >= self.most)
+
+
+STATE = "signature string, step int, bias double, weights array<double>, history array<double>, done boolean"
+_STATE = pa.schema(
+    [("step", pa.int32()), ("bias", pa.float64()), ("weights", pa.list_(pa.float64())),
+     ("history", pa.list_(pa.float64())), ("done", pa.bool_())]
+)
+
+
+def _saved(spark, folder: str, signature: str) -> State | None:
+    """The last state of this fit in a folder, if there is one."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return None
+    rows = spark.read.schema(STATE).parquet(folder).filter(F.col("signature") == signature)
+    last = rows.orderBy(F.desc("step")).first()
+    return last and State(last.bias, np.array(last.weights), last.step, list(last.history), last.done)
+
+
+def _save(spark, folder: str, signature: str, state: State) -> None:
+    row = (signature, state.step, state.bias, state.weights.tolist(), state.history, state.done)
+    spark.createDataFrame([row], STATE).coalesce(1).write.mode("append").parquet(folder)
+
+
 class GradientDescentLogistic(Estimator, _Columns, DefaultParamsReadable, DefaultParamsWritable):
     """``biasInWeights`` treats the bias as one more weight: random start, part of the gradient norm."""
 
@@ -68,109 +158,132 @@ class GradientDescentLogistic(Estimator, _Columns, DefaultParamsReadable, Defaul
     eps = Param(Params._dummy(), "eps", "added inside logarithms", TypeConverters.toFloat)
     startScale = Param(Params._dummy(), "startScale", "deviation of start weights", TypeConverters.toFloat)
     seed = Param(Params._dummy(), "seed", "seed of start weights", TypeConverters.toInt)
+    stateDir = Param(Params._dummy(), "stateDir", "folder of written states; none if empty", TypeConverters.toString)
+    stateEvery = Param(Params._dummy(), "stateEvery", "steps between written states", TypeConverters.toInt)
 
     @keyword_only
     def __init__(
         self, *, numericCols=None, indexCols=None, labelCol="is_delayed", learningRate=0.05,
         maxIter=800, tol=1e-4, alpha=0.001, fitIntercept=True, biasInWeights=False, eps=1e-12,
-        startScale=0.01, seed=42, threshold=0.5,
+        startScale=0.01, seed=42, threshold=0.5, stateDir="", stateEvery=500,
     ):
         super().__init__()
         self._setDefault(
             numericCols=[], indexCols=[], labelCol="is_delayed", learningRate=0.05, maxIter=800,
             tol=1e-4, alpha=0.001, fitIntercept=True, biasInWeights=False, eps=1e-12,
-            startScale=0.01, seed=42, threshold=0.5,
+            startScale=0.01, seed=42, threshold=0.5, stateDir="", stateEvery=500,
         )
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
     def _fit(self, df: DataFrame) -> GradientDescentLogisticModel:
-        ship_code(df.sparkSession)
+        spark = df.sparkSession
+        ship_code(spark)
         get = self.getOrDefault
         numeric, index, label = get("numericCols"), get("indexCols"), get("labelCol")
-        rows = materialise(
-            df.select(
-                F.col(label).cast("double").alias("_y"),
-                *[F.col(c).cast("double").alias(c) for c in numeric],
-                *[F.coalesce(F.col(c).cast("int"), F.lit(-1)).alias(c) for c in index],  # -1: no weight
-            ),
-            "descent",
+        features = [
+            *[F.col(c).cast("double").alias(c) for c in numeric],
+            *[F.coalesce(F.col(c).cast("int"), F.lit(-1)).alias(c) for c in index],  # -1: no weight
+        ]
+        plain = df.select(F.col(label).cast("double").alias("_y"), *features)
+        folded = plain.groupBy(*numeric, *index).agg(
+            F.count("_y").cast("double").alias("_n"), F.sum("_y").alias("_s"),
+            F.min("_y").alias("_low"), F.max("_y").alias("_high"),
         )
+        rows = materialise(folded.filter("_n > 0"), "descent")
         checks = rows.agg(
-            F.count(F.lit(1)), F.count_distinct("_y"), F.min("_y"), F.max("_y"),
+            F.count(F.lit(1)), F.sum("_n"), F.sum("_s"), F.min("_low"), F.max("_high"),
             *[F.coalesce(F.max(c), F.lit(-1)) + 1 for c in index],
         ).first()
-        n, sizes = checks[0], checks[4:]
-        if checks[1] < 2:
+        distinct, n, positives, low, high, *sizes = checks
+        if low == high:
             raise ValueError("gradient descent needs two classes")
-        if checks[2] < 0 or checks[3] > 1:
+        if low < 0 or high > 1:
             raise ValueError("the label must be 0 or 1")
 
         starts = np.cumsum([len(numeric), *sizes])
-        where = dict(zip(index, starts[:-1].tolist(), strict=True))
         size = int(starts[-1])
-        joint, with_bias, alpha = get("biasInWeights"), get("fitIntercept"), get("alpha")
+        joint, with_bias = get("biasInWeights"), get("fitIntercept")
         draw = np.random.default_rng(get("seed")).normal(
             0.0, get("startScale"), size + int(joint and with_bias)
         )
-        bias, weights = (float(draw[0]), draw[1:]) if joint and with_bias else (0.0, draw)
-
-        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-        parts = rows.rdd.getNumPartitions()
-        history = []
-        for _ in range(get("maxIter")):
-            loss, bias_slope, slope = self._step(rows, parts, len(numeric), starts, bias, weights, get("eps"))
-            slope, bias_slope, loss = slope / n, bias_slope / n, loss / n
-            slope = slope + alpha * weights
-            weights = weights - get("learningRate") * slope
-            if with_bias:
-                bias -= get("learningRate") * bias_slope
-            history.append(float(loss + alpha / 2 * np.sum(weights**2)))
-            norm = np.linalg.norm(np.append(slope, bias_slope) if joint and with_bias else slope)
-            if norm < get("tol"):
-                break
+        state = State(float(draw[0]), draw[1:]) if joint and with_bias else State(0.0, draw)
+        rules = Rules(
+            n, get("learningRate"), get("alpha"), get("tol"), get("eps"), with_bias, joint, get("maxIter")
+        )
+        names = ("learningRate", "alpha", "eps", "fitIntercept", "biasInWeights", "startScale", "seed")
+        signature = json.dumps([[get(k) for k in names], numeric, index, distinct, n, positives, sizes])
+        folder = get("stateDir")
+        if folder and (found := _saved(spark, folder, signature)):
+            # a state that met its stop rule may have to go on under another one
+            state = State(found.bias, found.weights, found.step, found.history, found.done and found.step >= rules.most)
+
+        rows = rows.select("_n", "_s", *numeric, *index)
+        held = distinct * (8 * (2 + len(numeric)) + 4 * len(index)) <= HELD_BYTES
+        parts = 0 if held else rows.rdd.getNumPartitions()
+        if not held:
+            rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+        while not state.done:
+            until = min(rules.most, state.step + get("stateEvery"))
+            if held:
+                state = self._held(rows, state, until, rules, len(numeric), starts)
+            else:
+                while state.step < until and not state.done:
+                    state = self._scanned(rows, parts, state, rules, len(numeric), starts)
+            if folder:
+                _save(spark, folder, signature, state)
         rows.unpersist()
 
         model = GradientDescentLogisticModel()
         model._set(
             numericCols=numeric, indexCols=index, labelCol=label, threshold=get("threshold"),
-            intercept=float(bias), weights=[float(w) for w in weights],
-            blockSizes=[int(s) for s in sizes], lossHistory=history,
+            intercept=float(state.bias), weights=[float(w) for w in state.weights],
+            blockSizes=[int(s) for s in sizes], lossHistory=state.history,
         )
         return model._resetUid(self.uid.replace("GradientDescentLogistic", "GradientDescentLogisticModel"))
 
     @staticmethod
-    def _step(rows, parts, numbers, starts, bias, weights, eps):
-        """Sums of the loss, of the residual and of residual * feature over all rows."""
-        state = rows.sparkSession.sparkContext.broadcast((float(bias), weights))
-        slots = [(int(a), int(b)) for a, b in zip(starts[:-1], starts[1:], strict=True)]
+    def _held(rows, state: State, until: int, rules: Rules, numbers: int, starts) -> State:
+        """The state after further steps in one task, which reads the rows once."""
+        shared = rows.sparkSession.sparkContext.broadcast(state)
+
+        def descend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            now, parts = shared.value, list(batches)
+            columns = [
+                np.concatenate([b.column(k).to_numpy(zero_copy_only=False) for b in parts])
+                for k in range(parts[0].num_columns)
+            ]
+            while now.step < until and not now.done:
+                now = rules.after(now, rules.sums(now, columns, numbers, starts))
+            found = [[now.step], [now.bias], [now.weights.tolist()], [now.history], [now.done]]
+            arrays = [pa.array(v, f.type) for v, f in zip(found, _STATE, strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, schema=_STATE)
+
+        # sorted, so that sums come out alike in every run
+        one = rows.coalesce(1).sortWithinPartitions(*rows.columns)
+        last = one.mapInArrow(descend, STATE.removeprefix("signature string, ")).first()
+        shared.destroy()
+        return State(last.bias, np.array(last.weights), last.step, list(last.history), last.done)
+
+    @staticmethod
+    def _scanned(rows, parts: int, state: State, rules: Rules, numbers: int, starts) -> State:
+        """The state one step on, from one scan of the rows."""
+        shared = rows.sparkSession.sparkContext.broadcast(state)
 
         def gradient(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            b, w = state.value
-            total = np.zeros(len(w) + 2)
+            now = shared.value
+            total = np.zeros(len(now.weights) + 2)
             for batch in batches:
                 columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-                y, x = columns[0], np.array(columns[1 : 1 + numbers]).reshape(numbers, -1)
-                score = b + w[:numbers] @ x
-                codes = []
-                for column, (start, stop) in zip(columns[1 + numbers :], slots, strict=True):
-                    known = column >= 0
-                    codes.append((known, column[known].astype(np.int64), start, stop))
-                    score[known] += w[start:stop][codes[-1][1]]
-                p = 1.0 / (1.0 + np.exp(-score))
-                residual = p - y
-                total[0] -= np.sum(y * np.log(p + eps) + (1 - y) * np.log(1 - p + eps))
-                total[1] += residual.sum()
-                total[2 : 2 + numbers] += x @ residual
-                for known, code, start, stop in codes:
-                    total[2 + start : 2 + stop] += np.bincount(code, residual[known], stop - start)
+                total += rules.sums(now, columns, numbers, starts)
             yield _vector(total)
 
         sums = rows.mapInArrow(gradient, "total binary")
-        if parts > TREE_PARTS:
-            sums = sums.repartition(int(parts**0.5)).mapInArrow(_added, "total binary")
+        while parts > FEW_VECTORS:
+            parts = max(FEW_VECTORS // 2, math.isqrt(parts))
+            sums = sums.repartition(parts).mapInArrow(_added, "total binary")
         found = sum(np.frombuffer(r[0]) for r in sums.collect())  # a vector per task of the last level
-        state.destroy()
-        return found[0], found[1], found[2:]
+        shared.destroy()
+        return rules.after(state, found)
 
 
 def _vector(total: np.ndarray) -> pa.RecordBatch:

@@ -5,7 +5,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from headway import schema as S
-from headway.operators import encoding, models
+from headway.operators import encoding, gradient_descent, models
 from headway.operators.gradient_descent import GradientDescentLogistic
 from headway.plans import training
 
@@ -94,8 +94,10 @@ def by_hand(x, y, steps, rate, alpha, start, joint, eps):
     return w, b, losses
 
 
+@pytest.mark.parametrize("held", [1 << 30, 0])
 @pytest.mark.parametrize("joint", [False, True])
-def test_descent_equals_dense_numpy(spark, joint):
+def test_descent_equals_dense_numpy(spark, joint, held, monkeypatch):
+    monkeypatch.setattr(gradient_descent, "HELD_BYTES", held)
     rng = np.random.default_rng(1)
     a, c = rng.normal(size=60), rng.integers(0, 3, 60)
     y = (a + c + rng.normal(size=60) > 1).astype(float)
@@ -113,6 +115,38 @@ def test_descent_equals_dense_numpy(spark, joint):
     assert 0 <= model.accuracy(df) <= 1
 
 
+@pytest.mark.parametrize("held", [1 << 30, 0])
+def test_resumed_descent_equals_an_uninterrupted_one(spark, tmp_path, held, monkeypatch):
+    monkeypatch.setattr(gradient_descent, "HELD_BYTES", held)
+    rng = np.random.default_rng(2)
+    rows = [(float(rng.normal()), int(rng.integers(0, 3)), int(rng.integers(0, 2))) for _ in range(80)]
+    df = spark.createDataFrame(rows + rows[:20], "a double, c int, is_delayed int").coalesce(1)
+
+    def fit(steps, folder):
+        return GradientDescentLogistic(
+            numericCols=["a"], indexCols=["c"], maxIter=steps, tol=0.0, learningRate=0.3, stateDir=folder, stateEvery=2
+        ).fit(df)
+
+    folder = str(tmp_path / "state")
+    whole = fit(9, "")
+    assert len(fit(5, folder).getOrDefault("lossHistory")) == 5
+    states = spark.read.parquet(folder)
+    assert sorted(r.step for r in states.collect()) == [2, 4, 5]
+    again = fit(9, folder)
+    for name in ("weights", "intercept", "lossHistory"):
+        assert again.getOrDefault(name) == pytest.approx(whole.getOrDefault(name), rel=1e-12)
+    other = GradientDescentLogistic(numericCols=["a"], maxIter=3, tol=0.0, stateDir=folder).fit(df)
+    assert len(other.getOrDefault("lossHistory")) == 3  # other settings don't take up that state
+
+
+def test_equal_rows_are_folded(spark):
+    rows = [(1.0, 0, 1), (1.0, 0, 0), (2.0, 1, 0), (2.0, 1, 1), (3.0, 0, 1)]
+    one = spark.createDataFrame(rows * 3, "a double, c int, is_delayed int")
+    many = spark.createDataFrame(rows * 300, "a double, c int, is_delayed int").repartition(7)
+    fits = [GradientDescentLogistic(numericCols=["a"], indexCols=["c"], maxIter=20).fit(d) for d in (one, many)]
+    assert fits[0].getOrDefault("weights") == pytest.approx(fits[1].getOrDefault("weights"))
+
+
 def test_descent_stops_and_refuses(spark, tmp_path):
     df = spark.createDataFrame([(1.0, 1), (-1.0, 0)], "a double, is_delayed int")
     model = GradientDescentLogistic(numericCols=["a"], maxIter=50, tol=10.0).fit(df)
