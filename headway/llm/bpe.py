@@ -26,6 +26,7 @@ import base64
 import hashlib
 from array import array
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from functools import lru_cache, reduce
 from heapq import heapify, heappop, heappush
 from itertools import chain, groupby, pairwise
@@ -45,7 +46,7 @@ LEAF_CHARS = 1 << 13
 LEAF_BYTES = 8
 FEW_BYTES = 256
 NO_RANK = 1 << 62
-KNOWN_PIECES = 1 << 18  # pieces whose ids a worker remembers, then it starts anew
+KNOWN_PIECES = 1 << 19  # pieces whose ids a worker remembers, then it starts anew
 
 CUT = r"(?<=\p{L})(?=\P{L})|(?<=\p{N})(?=\P{N})|(?<=[^\s\p{L}\p{N}'])(?=[\s\p{L}\p{N}])"
 FIRST_CUT, LAST_CUT = regex.compile(CUT), regex.compile(CUT, regex.REVERSE)
@@ -278,12 +279,23 @@ def _parts(batch: pa.RecordBatch, most: int = 1 << 24) -> Iterator[pa.RecordBatc
         yield batch.slice(at, step)
 
 
-def encoded(docs: DataFrame, path: str, pattern: str, span: int = SPAN) -> DataFrame:
-    """The ids of every text in blocks: doc_id, row, place, alone, ids.
+@dataclass
+class Blocks:
+    """Encoded texts (doc_id, row, place, alone, ids): ``short`` ones are one block each, ``long`` ones
+    several under one row, in the order of their place."""
 
-    A text of up to ``span`` bytes is one block (``alone``); a longer one has several, in the
-    order of ``place``, under one ``row``. Null texts are empty and have no ids. Repeated and null
-    ids are rows of their own. Special tokens are ordinary text.
+    short: DataFrame
+    long: DataFrame
+
+    def all(self) -> DataFrame:
+        return self.short.unionByName(self.long)
+
+
+def encoded(docs: DataFrame, path: str, pattern: str, span: int = SPAN) -> Blocks:
+    """The ids of every text in blocks; a text of more than ``span`` bytes is a long one.
+
+    Null texts are empty and have no ids. Repeated and null ids are rows of their own. Special
+    tokens are ordinary text.
     """
     small_batches(docs)
     shared = Shared(docs, path, pattern)
@@ -302,7 +314,7 @@ def encoded(docs: DataFrame, path: str, pattern: str, span: int = SPAN) -> DataF
                 yield pa.RecordBatch.from_arrays(columns, schema=_BLOCKS)
 
     fits = F.octet_length("text") <= span
-    return rows.filter(fits).mapInArrow(short, BLOCKS).unionByName(_spanned(rows.filter(~fits), shared, span))
+    return Blocks(rows.filter(fits).mapInArrow(short, BLOCKS), _spanned(rows.filter(~fits), shared, span))
 
 
 _EDGES = pa.schema(
@@ -374,6 +386,14 @@ def _spanned(rows: DataFrame, shared: Shared, span: int) -> DataFrame:
     return found.select("doc_id", "row", "place", F.lit(False).alias("alone"), "ids")
 
 
+def _ids_of(batch: pa.RecordBatch) -> Iterator[list[int]]:
+    """The lists of the last column, by way of one flat list."""
+    lists = batch.column(batch.num_columns - 1)
+    offsets = lists.offsets.to_pylist()
+    flat = lists.values[offsets[0] : offsets[-1]].to_numpy().tolist()
+    return (flat[a - offsets[0] : b - offsets[0]] for a, b in pairwise(offsets))
+
+
 def decoded(blocks: DataFrame, path: str, pattern: str) -> DataFrame:
     """The bytes of every block beside its keys: doc_id, row, place, alone, bytes."""
     shared = Shared(blocks, path, pattern)
@@ -383,7 +403,7 @@ def decoded(blocks: DataFrame, path: str, pattern: str) -> DataFrame:
         encoder = shared()
         for whole in batches:
             for batch in _parts(whole):
-                data = pa.array([encoder.decode(ids) for ids in batch.column(4).to_pylist()], pa.binary())
+                data = pa.array([encoder.decode(ids) for ids in _ids_of(batch)], pa.binary())
                 yield pa.RecordBatch.from_arrays([*batch.columns[:4], data], schema=schema)
 
     names = [f.name for f in _BLOCKS]
@@ -395,12 +415,12 @@ _DIGESTS = pa.schema(
 )
 
 
-def digests(blocks: DataFrame, path: str, pattern: str) -> DataFrame:
+def digests(blocks: Blocks, path: str, pattern: str) -> DataFrame:
     """A row per text: doc_id, number of ids, SHA-256 of the ids joined by blanks and of the decoded bytes.
 
     The blocks of a long text meet in one task and pass through it one after the other.
     """
-    shared = Shared(blocks, path, pattern)
+    shared = Shared(blocks.short, path, pattern)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = shared()
@@ -409,12 +429,12 @@ def digests(blocks: DataFrame, path: str, pattern: str) -> DataFrame:
         def rows():
             for whole in batches:
                 for batch in _parts(whole):
-                    yield from zip(*(c.to_pylist() for c in batch.columns), strict=True)
+                    yield from zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), _ids_of(batch), strict=True)
 
         out = []
         for _, group in groupby(rows(), key=lambda r: r[1]):
             n, listed, data, doc_id = 0, hashlib.sha256(), hashlib.sha256(), None
-            for doc_id, _, _, _, ids in group:
+            for doc_id, _, ids in group:
                 if ids:
                     listed.update(((" " if n else "") + " ".join(map(words.__getitem__, ids))).encode())
                     data.update(encoder.decode(ids))
@@ -428,7 +448,6 @@ def digests(blocks: DataFrame, path: str, pattern: str) -> DataFrame:
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     names = [f.name for f in _BLOCKS]
-    short = blocks.select(names).filter("alone")
-    long = blocks.select(names).filter("not alone").repartition("row").sortWithinPartitions("row", "place")
-    return short.mapInArrow(work, schema).unionByName(long.mapInArrow(work, schema))
+    long = blocks.long.select(names).repartition("row").sortWithinPartitions("row", "place")
+    return blocks.short.select(names).mapInArrow(work, schema).unionByName(long.mapInArrow(work, schema))
 

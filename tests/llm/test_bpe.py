@@ -80,10 +80,10 @@ def test_spans_joined_up_the_tree(spark, library, span, monkeypatch):
     texts += ["z" * 1500, " " * 700, "", None, "word " * 300, "中文" * 200, "a.b" * 150]
     docs = spark.createDataFrame([(k // 2, t) for k, t in enumerate(texts)], "doc_id long, text string")
     blocks = bpe.encoded(docs, PATH, PATTERN, span=span)
-    assert blocks.filter("not alone").count()
+    assert blocks.long.count()
     found = bpe.digests(blocks, PATH, PATTERN)
     assert cases.rows_of(found) == sorted(((k // 2, *wanted(library, t)) for k, t in enumerate(texts)), key=repr)
-    parts = bpe.decoded(blocks, PATH, PATTERN).collect()
+    parts = bpe.decoded(blocks.all(), PATH, PATTERN).collect()
     by_row = {}
     for r in sorted(parts, key=lambda r: r.place):
         key = (r.row, r.alone)
@@ -94,11 +94,11 @@ def test_spans_joined_up_the_tree(spark, library, span, monkeypatch):
 def test_no_rows(spark):
     docs = cases.documents(spark).limit(0)
     blocks = bpe.encoded(docs, PATH, PATTERN)
-    assert blocks.count() == 0
+    assert blocks.all().count() == 0
     assert bpe.digests(blocks, PATH, PATTERN).count() == 0
 
 
 def test_ids_are_the_output(spark, library):
     docs = cases.documents(spark, n=8, awkward=False)
-    found = {r.doc_id: r.ids for r in bpe.encoded(docs, PATH, PATTERN).collect()}
+    found = {r.doc_id: r.ids for r in bpe.encoded(docs, PATH, PATTERN).all().collect()}
     assert found == {r.doc_id: library.encode_ordinary(r.text) for r in docs.select("doc_id", F.col("text")).collect()}
