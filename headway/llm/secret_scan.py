@@ -3,15 +3,21 @@
 Three plain patterns give the base findings. The values they hold are credentials labelled
 by kind; a bounded sample of them (``TRAINING`` per kind, by hash) makes a frequency prefix
 tree per kind, whose states are merged while their outgoing frequencies are compatible
-within the Hoeffding bound. The resulting probabilistic automata score every other
-candidate token of the corpus: a token more likely, per character, under an automaton of
-credentials than under the one of ordinary words is a finding too.
+within the Hoeffding bound. These automata read the *format* of a token: its character set
+first (decimal, hexadecimal, base 32, ...), then a step per character or mark, so that their
+states hold lengths and places of marks. Tokens outside the findings, sampled in the same way
+with and without digits and marks, make automata of *letters*.
+
+Every token of six or more characters of the base patterns' set is scored by both: it is a
+finding too if its likelihood as a credential is ``MARGIN`` nats above that as another token.
 """
 
 from __future__ import annotations
 
+import heapq
 import math
 import re
+import zlib
 from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterator
@@ -21,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.common import document_keys
+from headway.llm.common import document_keys, small_batches
 from headway.session import materialise
 
 KINDS = ("assign", "access", "hex")
@@ -33,47 +39,92 @@ PATTERNS = {
     "hex": re.compile(r"[0-9a-f]{24,}"),
 }
 NAMES = re.compile(r"(?ai:passw|secret|token|api_?key)")
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+# Characters of assigned values; a full stop at either end belongs to the sentence.
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-][A-Za-z0-9+/_.=-]{4,}[A-Za-z0-9+/_=-]")
 MODEL = "model"
-TRAINING = 2000  # labelled values per kind that an automaton is fitted to
+TRAINING = 2000  # values per kind that an automaton is fitted to, those with the smallest hashes
 ALPHA = 0.05
-MARGIN = 1.0  # nats per character a candidate must be likelier as a credential
+MARGIN = 7.0  # nats: of a thousand tokens one is taken to be a credential
 FLOOR = 1e-4  # probability of what a state has not seen
+SYMBOLS = 40  # of ordinary tokens: letters, digits as one, marks, the end
+CAPITAL = 0.05  # probability that a letter of an ordinary token is a capital
+CAPITALS = 0.02  # probability that all of its letters are
+REMEMBERED = 1 << 17  # tokens whose verdict a worker keeps
+
+FORMAT, LETTERS = "format", "letters"
+PLAIN, OTHER = "plain", "other"  # tokens of letters alone, and all others
+
+# Character sets from the narrowest on: symbol, members, size.
+CHARSETS = [
+    ("0", re.compile(r"[0-9]*"), 10), ("h", re.compile(r"[0-9a-f]*"), 16), ("H", re.compile(r"[0-9A-F]*"), 16),
+    ("l", re.compile(r"[a-z]*"), 26), ("B", re.compile(r"[A-Z2-7]*"), 32), ("m", re.compile(r"[a-z0-9]*"), 36),
+    ("M", re.compile(r"[A-Z0-9]*"), 36), ("L", re.compile(r"[A-Za-z]*"), 52), ("A", re.compile(r"[A-Za-z0-9]*"), 62),
+]
+MARKS = re.compile(r"[^A-Za-z0-9]")
+UNIT = "x"  # a character of the token's set
+
+
+def format_of(word: str) -> tuple[list[str], float]:
+    """The format of a token, and the log probability of its characters given the format."""
+    bare = MARKS.sub("", word)
+    symbol, _, size = next((c for c in CHARSETS if c[1].fullmatch(bare)), CHARSETS[-1])
+    steps = [UNIT if c.isalnum() else c for c in word]
+    return [symbol, *steps], -len(bare) * math.log(size)
+
+
+def letters_of(word: str) -> tuple[list[str], float]:
+    """Folded letters, one symbol for digits, marks; and the log probability of what folding lost."""
+    digits = sum(c.isdigit() for c in word)
+    capitals, letters = sum(c.isupper() for c in word), sum(c.isalpha() for c in word)
+    lost = capitals * math.log(CAPITAL) + (letters - capitals) * math.log(1 - CAPITAL)
+    if capitals == letters > 1:
+        lost = math.log(CAPITALS)
+    return ["0" if c.isdigit() else c.lower() for c in word], lost - digits * math.log(10)
+
+
+CODINGS = {FORMAT: format_of, LETTERS: letters_of}
 
 
 @dataclass
 class Automaton:
-    """States with transition and end probabilities; characters are grouped into classes."""
+    """States with transition and end probabilities over the symbols of a coding."""
 
     moves: list[dict[str, tuple[int, float]]]
     ends: list[float]
+    coding: str
+    unseen: list[float]
 
     def score(self, word: str) -> float:
-        """Log probability of a word per character."""
-        state, total = 0, 0.0
-        for c in map(_symbol, word):
+        """Log probability of a word."""
+        symbols, total = CODINGS[self.coding](word)
+        state = 0
+        for c in symbols:
             step = self.moves[state].get(c)
-            if step is None:
-                total += math.log(FLOOR)
-                state = 0
+            if step is not None:
+                state, p = step
+                total += math.log(p)
                 continue
-            state, p = step
-            total += math.log(p)
-        return (total + math.log(max(self.ends[state], FLOOR))) / (len(word) + 1)
+            total += math.log(self.unseen[state])
+            if self.coding == LETTERS:
+                state = 0  # as at the start of another word
+            elif state == 0 and self.moves[0]:
+                state = max(self.moves[0].values(), key=lambda m: m[1])[0]  # the lengths of the most frequent set
+        return total + math.log(self.ends[state])
 
 
-def _symbol(c: str) -> str:
-    """Character classes: digits, a-f, other lower case, A-F, other upper case; marks stand for themselves."""
-    if c.isdigit():
-        return "0"
-    if c.islower():
-        return "a" if c <= "f" else "z"
-    if c.isupper():
-        return "A" if c <= "F" else "Z"
-    return c
+@dataclass
+class Mixture:
+    """Automata and their shares."""
+
+    parts: list[tuple[float, Automaton]]
 
+    def score(self, word: str) -> float:
+        scores = [math.log(share) + a.score(word) for share, a in self.parts]
+        best = max(scores)
+        return best + math.log(sum(math.exp(s - best) for s in scores))
 
-def infer(words: list[str], alpha: float = ALPHA) -> Automaton:
+
+def infer(words: list[str], alpha: float = ALPHA, coding: str = FORMAT) -> Automaton:
     """Merge compatible states of the frequency prefix tree of ``words``, breadth first.
 
     Two states are compatible if their end and transition frequencies differ by less than
@@ -84,7 +135,7 @@ def infer(words: list[str], alpha: float = ALPHA) -> Automaton:
     ended: list[int] = [0]
     for word in words:
         state = 0
-        for c in map(_symbol, word):
+        for c in CODINGS[coding](word)[0]:
             passed[state][c] += 1
             if c not in kids[state]:
                 kids[state][c] = len(kids)
@@ -144,10 +195,15 @@ def infer(words: list[str], alpha: float = ALPHA) -> Automaton:
             kept.append(blue)
         fringe = [(s, c) for s in kept for c in sorted(kids[s]) if kids[s][c] not in kept]
     number = {s: i for i, s in enumerate(kept)}
-    moves = [
-        {c: (number[kids[s][c]], n / max(total(s), 1)) for c, n in passed[s].items()} for s in kept
-    ]
-    return Automaton(moves, [ended[s] / max(total(s), 1) for s in kept])
+    # every symbol of ordinary tokens counts once more than seen, so that a rare token isn't learned by heart
+    more, kinds = (1, SYMBOLS) if coding == LETTERS else (0, 0)
+    moves, ends, unseen = [], [], []
+    for s in kept:
+        n = max(total(s) + kinds, 1)
+        moves.append({c: (number[kids[s][c]], max((k + more) / n, FLOOR)) for c, k in passed[s].items()})
+        ends.append(max((ended[s] + more) / n, FLOOR))
+        unseen.append(max(more / n, FLOOR))
+    return Automaton(moves, ends, coding, unseen)
 
 
 def base_spans(text: str) -> list[tuple[int, int, str, str]]:
@@ -167,7 +223,7 @@ def base_spans(text: str) -> list[tuple[int, int, str, str]]:
 
 
 def candidates(text: str, taken: list[tuple[int, int, str, str]]) -> list[tuple[int, int, str]]:
-    """(start, stop, token) of the long tokens that overlap no base finding."""
+    """(start, stop, token) of the tokens that overlap no base finding."""
     starts, stops = [], []
     for a, b, _, _ in taken:
         if stops and a < stops[-1]:
@@ -187,50 +243,80 @@ SPAN = "struct<start:long,stop:long,kind:string,value:string>"
 _SPAN = pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("kind", pa.string()), ("value", pa.string())])
 
 
-def tokens(docs: DataFrame) -> DataFrame:
-    """(doc_id, h, base, others): findings of the patterns and candidate tokens, in one scan of the texts."""
+_SAMPLE = pa.schema([("kind", pa.string()), ("rank", pa.int64()), ("value", pa.string())])
 
-    @F.arrow_udf(f"struct<base:array<{SPAN}>,others:array<{SPAN}>>")
-    def scan(texts: pa.Array) -> pa.Array:
-        base, others = [], []
-        for text in texts.to_pylist():
-            text = text or ""
-            found = base_spans(text)
-            base.append([dict(zip(("start", "stop", "kind", "value"), s, strict=True)) for s in found])
-            others.append(
-                [{"start": a, "stop": b, "kind": MODEL, "value": v} for a, b, v in candidates(text, found)]
-            )
-        kind = pa.list_(_SPAN)
-        return pa.StructArray.from_arrays([pa.array(base, kind), pa.array(others, kind)], names=["base", "others"])
 
-    keys = document_keys(docs, scan(F.col("text").cast("string")).alias("s"))
-    return materialise(keys.select("doc_id", "h", "s.base", "s.others"), "secret-tokens")
+class _Smallest:
+    """The distinct values with the smallest hashes, a bounded number of them."""
+
+    def __init__(self, size: int):
+        self.size, self.held, self.heap = size, set(), []
+
+    def add(self, value: str) -> None:
+        rank = zlib.crc32(value.encode())
+        if len(self.heap) == self.size and (-rank, value) <= self.heap[0] or value in self.held:
+            return
+        self.held.add(value)
+        heapq.heappush(self.heap, (-rank, value))
+        if len(self.heap) > self.size:
+            self.held.discard(heapq.heappop(self.heap)[1])
+
 
+def samples(docs: DataFrame, rows: int) -> dict[str, list[tuple[int, str]]]:
+    """Per kind up to ``rows`` distinct (CRC-32, value), those with the smallest hashes of all texts.
 
-def _sample(found: DataFrame, column: str, rows: int) -> dict[str, list[str]]:
-    """Up to ``rows`` distinct values per kind, those with the smallest hashes."""
-    values = found.select(F.explode(column).alias("s")).select("s.kind", "s.value").distinct()
+    A task holds ``rows`` values per kind, whatever it reads, and so does the driver.
+    """
+    kinds = (*KINDS, PLAIN, OTHER)
+    small_batches(docs)
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = {k: _Smallest(rows) for k in kinds}
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                found = base_spans(text or "")
+                for _, _, kind, value in found:
+                    kept[kind].add(value)
+                for _, _, value in candidates(text or "", found):
+                    kept[PLAIN if value.isalpha() else OTHER].add(value)
+        out = [(k, -rank, value) for k, best in kept.items() for rank, value in best.heap]
+        if out:
+            columns = [pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), _SAMPLE, strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, schema=_SAMPLE)
+
+    every = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(gather, "kind string, rank long, value string")
+    every = materialise(every, "secret-samples")
     out = {}
-    for kind in KINDS if column == "base" else (MODEL,):
-        picked = values.filter(F.col("kind") == kind).orderBy(F.xxhash64("value"), "value").limit(rows)
-        out[kind] = [r[0] for r in picked.select("value").collect()]
+    for kind in kinds:
+        best = every.filter(F.col("kind") == kind).select("rank", "value").distinct().orderBy("rank", F.desc("value"))
+        out[kind] = [(r[0], r[1]) for r in best.limit(rows).collect()]
     return out
 
 
-def fit(found: DataFrame, rows: int = TRAINING) -> tuple[list[Automaton], Automaton | None]:
-    """Automata of the labelled credentials by kind, and one of other tokens without digits."""
-    models = [infer(values) for values in _sample(found, "base", rows).values() if values]
-    plain = found.select(F.filter("others", lambda s: ~s["value"].rlike("[0-9]")).alias("plain"))
-    words = _sample(plain, "plain", rows)[MODEL]
-    return models, infer(words) if words else None
+def fit(docs: DataFrame, rows: int = TRAINING) -> tuple[list[Automaton], Mixture | None]:
+    """Automata of the labelled credentials by kind, and the mixture of all other tokens.
+
+    The shares of tokens with and without digits or marks are those of their distinct values, which
+    the largest hash of a full sample tells.
+    """
+    found = samples(docs, rows)
+    models = [infer([v for _, v in found[k]]) for k in KINDS if found[k]]
+    numbers = {
+        k: len(found[k]) if len(found[k]) < rows else rows * 2**32 / (found[k][-1][0] + 1) for k in (PLAIN, OTHER)
+    }
+    total = sum(numbers.values())
+    parts = [
+        (numbers[k] / total, infer([v for _, v in found[k]], coding=LETTERS)) for k in (PLAIN, OTHER) if found[k]
+    ]
+    return models, Mixture(parts) if parts else None
 
 
-def likely(value: str, models: list[Automaton], words: Automaton | None, margin: float) -> bool:
-    """Whether a token fits a credential format clearly better than ordinary words do."""
+def likely(value: str, models: list[Automaton], words: Automaton | Mixture | None, margin: float = MARGIN) -> bool:
+    """Whether a token fits a credential format clearly better than it fits other tokens."""
     if not models:
         return False
     best = max(m.score(value) for m in models)
-    ordinary = words.score(value) if words else math.log(FLOOR)
+    ordinary = words.score(value) if words else (len(value) + 1) * math.log(FLOOR)
     return best - ordinary > margin
 
 
@@ -239,20 +325,33 @@ def secrets(docs: DataFrame, training: int = TRAINING, margin: float = MARGIN) -
 
     ``base`` are the findings of the patterns, ``spans`` these and what the automata add.
     Positions count code points, ends are exclusive. Null counts as empty; a corpus without
-    labelled credentials has no automata and gets base findings only.
+    labelled credentials has no automata and gets base findings only. Tokens of any length
+    from six characters on are scored.
     """
-    found = tokens(docs)
-    models, words = fit(found, training)
+    models, words = fit(docs, training)
+    verdicts: dict[str, bool] = {}  # of a worker
+
+    def judge(value: str) -> bool:
+        known = verdicts.get(value)
+        if known is None:
+            if len(verdicts) >= REMEMBERED:
+                verdicts.clear()
+            known = verdicts[value] = likely(value, models, words, margin)
+        return known
+
+    @F.arrow_udf(f"struct<base:array<{SPAN}>,spans:array<{SPAN}>>")
+    def scan(texts: pa.Array) -> pa.Array:
+        base, spans = [], []
+        for text in texts.to_pylist():
+            text = text or ""
+            found = base_spans(text)
+            more = [(a, b, MODEL, v) for a, b, v in candidates(text, found) if judge(v)]
+            order = (*KINDS, MODEL)
+            every = sorted([*found, *more], key=lambda s: (s[0], order.index(s[2]))) if more else found
+            for out, listed in ((base, found), (spans, every)):
+                out.append([dict(zip(("start", "stop", "kind", "value"), s, strict=True)) for s in listed])
+        kind = pa.list_(_SPAN)
+        return pa.StructArray.from_arrays([pa.array(base, kind), pa.array(spans, kind)], names=["base", "spans"])
 
-    def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            spans = []
-            for base, others in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                more = [s for s in others if likely(s["value"], models, words, margin)]
-                order = (*KINDS, MODEL)
-                spans.append(sorted([*base, *more], key=lambda s: (s["start"], order.index(s["kind"]))))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array(spans, pa.list_(_SPAN))], names=["doc_id", "h", "base", "spans"]
-            )
-
-    return found.mapInArrow(judged, f"doc_id long, h long, base array<{SPAN}>, spans array<{SPAN}>")
+    keys = document_keys(docs, scan(F.col("text").cast("string")).alias("s"))
+    return keys.select("doc_id", "h", "s.base", "s.spans")

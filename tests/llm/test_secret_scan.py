@@ -82,6 +82,58 @@ def test_model_adds_bare_credentials(spark):
     assert sum(len(out[i].spans) - len(out[i].base) for i in range(80)) == 0
 
 
+def test_formats_of_credentials_and_ordinary_tokens():
+    rng = random.Random(8)
+    pick = lambda letters, k: "".join(rng.choice(letters) for _ in range(k))
+    lower, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    syllables = "an de ti on er ing th re sh ou ble ment ly co ra".split()
+    word = lambda: "".join(rng.choice(syllables) for _ in range(rng.randint(3, 6)))
+    numbers = [
+        lambda: pick(digits, 16), lambda: f"20{pick(digits, 2)}-{pick('01', 2)}-{pick('012', 2)}",
+        lambda: f"555-{pick(digits, 4)}", lambda: ".".join(str(rng.randint(1, 255)) for _ in range(4)),
+        lambda: f"{word()}.{pick(digits, 2)}", lambda: f"www.{word()}.com/{word()}",
+    ]
+    other = lambda: rng.choice(numbers)()
+    kinds = {
+        "hex": lambda: pick("0123456789abcdef", 40), "access": lambda: "AKIA" + pick(lower.upper() + "234567", 16),
+        "short": lambda: pick(lower + lower.upper() + digits, 12), "jwt": lambda: "eyJ" + ".".join(pick(lower + lower.upper() + digits, 30) for _ in "123"),
+    }
+    models = [secret_scan.infer([make() for _ in range(300)]) for make in kinds.values()]
+    assert all(len(m.moves) > 1 for m in models)
+    words = secret_scan.Mixture([
+        (0.9, secret_scan.infer([word() for _ in range(1500)], coding=secret_scan.LETTERS)),
+        (0.1, secret_scan.infer([other() for _ in range(1500)], coding=secret_scan.LETTERS)),
+    ])
+    for make in kinds.values():
+        assert sum(secret_scan.likely(make(), models, words) for _ in range(300)) >= 270
+    for make in (word, lambda: word().capitalize() + word(), *numbers):
+        assert sum(secret_scan.likely(make(), models, words) for _ in range(300)) <= 3
+
+
+def test_candidates_start_at_six_characters_and_keep_marks():
+    found = secret_scan.candidates("is a1b2c3, or eyJh.bGci.x9. .abcde and abcde", [])
+    assert [v for _, _, v in found] == ["a1b2c3", "eyJh.bGci.x9"]
+
+
+def test_sample_holds_the_smallest_hashes():
+    import zlib
+
+    kept = secret_scan._Smallest(20)
+    values = [f"v{k % 150}" for k in range(600)]
+    for v in values:
+        kept.add(v)
+    want = sorted(set(values), key=lambda v: zlib.crc32(v.encode()))[:20]
+    assert {v for _, v in kept.heap} == set(want)
+
+
+def test_automata_of_the_tables_have_states_and_add_no_numbers(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    models, _ = secret_scan.fit(docs)
+    assert models and all(len(m.moves) > 1 for m in models)
+    spans = [s for r in secret_scan.secrets(docs).collect() for s in r.spans if s.kind == secret_scan.MODEL]
+    assert not [s.value for s in spans if s.value.isdigit()]
+
+
 def test_awkward_rows(spark):
     docs = cases.clashing(cases.documents(spark))
     out = secret_scan.secrets(docs)
