@@ -1,7 +1,9 @@
 """Removal of repeated passages by sliding sentence spans.
 
 A text is cut into sentences at end marks, clause marks and line ends, and long stretches
-without marks behind words chosen by their hash. From every sentence
+without marks behind the word with the smallest hash of every window of ``WINDOW`` words:
+no piece of them has more words, and equal stretches are cut alike but for a window at either
+end. In scripts without spaces two characters count as a word, and cuts lie between any. From every sentence
 the shortest run of at least ``SENTENCES`` sentences and ``WORDS`` words is hashed; the
 hashes are joined over the whole corpus. The first occurrence of a run, by doc_id and
 place, stays; the sentences under any other occurrence are removed. A passage that two
@@ -13,6 +15,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -25,19 +28,30 @@ from headway.session import materialise, small_table
 
 SENTENCES = 3
 WORDS = 20
+# Letters of scripts that are written without spaces: Thai, Lao, Burmese, Khmer, kana, ideographs.
+UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
 # A sentence with its marks and the white space behind it; the pieces of a text add up to it.
-SENTENCE = re.compile(r"[^.!?;:,\n]*(?:[.!?;:,]+(?=\s|$)\s*|\n\s*|[.!?;:,]+|$)")
+SENTENCE = re.compile(
+    r"[^.!?;:,\n。！？；：，、]*(?:[.!?;:,]+(?=\s|$)\s*|[。！？；：，、]+\s*|\n\s*|[.!?;:,]+|$)"
+)
+UNIT = re.compile(rf"[{UNSPACED}]\s*|[^\s{UNSPACED}]+\s*")
+LETTER = re.compile(f"[{UNSPACED}]")
+LONG = 16  # words from which a sentence is cut further
+WINDOW = 8
 
-WORD = re.compile(r"(\S+)\s*")
-LONG = 16  # spaces from which a sentence is cut further
-CUT_WORDS = 8  # one word in so many ends a part of a long sentence
+
+def _halves(piece: str) -> int:
+    """Length of a piece in half words: words count two, letters of scripts without spaces one."""
+    if piece.isascii() or not LETTER.search(piece):
+        return 2 * len(piece.split())
+    return sum(1 if LETTER.match(u) else 2 for u in UNIT.findall(piece.lstrip()))
 
 
 def sentences(text: str | None) -> list[str]:
     """Consecutive pieces of the text, none empty; pieces joined are the text."""
     out = []
     for piece in SENTENCE.findall(text or ""):
-        if piece.count(" ") < LONG:
+        if piece.count(" ") < LONG and len(piece) < 2 * LONG or _halves(piece) <= 2 * LONG:
             if piece:
                 out.append(piece)
         else:
@@ -46,14 +60,24 @@ def sentences(text: str | None) -> list[str]:
 
 
 def _cut(sentence: str) -> Iterator[str]:
-    """A long sentence in parts that end with words of certain hashes, so that equal stretches are cut alike."""
+    """A long sentence in parts of ``WINDOW`` words at most, which end behind the smallest hash of a window.
+
+    Of equal hashes the last one counts, so that a word said over and over is cut behind each.
+    """
+    ends = [m.end() for m in UNIT.finditer(sentence)]
+    words = [sentence[a:b].rstrip().encode("utf-8", "surrogatepass") for a, b in pairwise([0, *ends])]
+    if len(words) > WINDOW:
+        hashes = np.fromiter(map(zlib.crc32, words), dtype=np.int64, count=len(words))[::-1]
+        smallest = np.lib.stride_tricks.sliding_window_view(hashes, WINDOW).argmin(axis=1)
+        chosen = np.unique(len(words) - 1 - (np.arange(len(smallest)) + smallest))
+        ends = [ends[k] for k in chosen.tolist()]
+    else:
+        ends = []
     start = 0
-    for m in WORD.finditer(sentence):
-        if zlib.crc32(m[1].encode("utf-8", "surrogatepass")) % CUT_WORDS == 0:
-            yield sentence[start : m.end()]
-            start = m.end()
-    if start < len(sentence):
-        yield sentence[start:]
+    for end in [*ends, len(sentence)]:
+        if end > start:
+            yield sentence[start:end]
+        start = end
 
 
 def runs(text: str | None, least: int = SENTENCES, least_words: int = WORDS) -> Iterator[tuple[int, int, bytes]]:
@@ -61,12 +85,12 @@ def runs(text: str | None, least: int = SENTENCES, least_words: int = WORDS) ->
 
     A text of fewer sentences or words has none.
     """
-    parts = [s.encode("utf-8", "surrogatepass").split() for s in sentences(text)]
-    lines = [b" ".join(p) for p in parts]
-    lengths = [len(p) for p in parts]
-    stop, held = 0, 0
-    for at in range(len(parts)):
-        while stop < len(parts) and (held < least_words or stop - at < least):
+    pieces = sentences(text)
+    lines = [b" ".join(s.encode("utf-8", "surrogatepass").split()) for s in pieces]
+    lengths = [_halves(s) for s in pieces]
+    stop, held, least_words = 0, 0, 2 * least_words
+    for at in range(len(pieces)):
+        while stop < len(pieces) and (held < least_words or stop - at < least):
             held += lengths[stop]
             stop += 1
         if held < least_words or stop - at < least:
@@ -128,18 +152,25 @@ def repeats(docs: DataFrame, least: int = SENTENCES, least_words: int = WORDS) -
     return found.filter(~is_first).select("doc_id", "h", "at", "n", F.col("first.doc_id").alias("first_id"))
 
 
-def _merged(runs: str) -> Column:
-    """Sorted runs (at, stop) as few disjoint ones."""
-    none = F.expr("cast(array() as array<struct<at:int,stop:int>>)")
+def disjoint(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Runs (at, stop) as few disjoint ones, in one pass over the sorted runs."""
+    out = []
+    for at, stop in sorted(runs):
+        if out and at <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], stop)
+        else:
+            out.append([at, stop])
+    return [(at, stop) for at, stop in out]
 
-    def add(acc: Column, run: Column) -> Column:
-        last = F.try_element_at(acc, F.lit(-1))
-        longer = F.struct(last["at"].alias("at"), F.greatest(last["stop"], run["stop"]).alias("stop"))
-        joined = F.concat(F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0))), F.array(longer))
-        touches = (F.size(acc) > 0) & (last["stop"] >= run["at"])
-        return F.when(touches, joined).otherwise(F.concat(acc, F.array(run)))
 
-    return F.aggregate(F.array_sort(runs), none, add)
+def _merged(runs: str) -> Column:
+    @F.arrow_udf("array<struct<at:int,stop:int>>")
+    def merged(lists: pa.Array) -> pa.Array:
+        rows = [disjoint([(r["at"], r["stop"]) for r in row]) for row in lists.to_pylist()]
+        kind = pa.list_(pa.struct([("at", pa.int32()), ("stop", pa.int32())]))
+        return pa.array([[{"at": a, "stop": b} for a, b in row] for row in rows], kind)
+
+    return merged(runs)
 
 
 def without_repeats(docs: DataFrame, least: int = SENTENCES, least_words: int = WORDS) -> DataFrame:

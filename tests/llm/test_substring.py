@@ -52,6 +52,46 @@ def test_passage_without_marks_is_found(spark):
     assert all("".join(substring.sentences(r.text)) == r.text for r in out)
 
 
+def found_runs(text):
+    return {digest for _, _, digest in substring.runs(text)}
+
+
+def test_no_passage_of_51_words_in_unmarked_prose_is_lost():
+    rng = random.Random(11)
+    vocabulary = [f"{w}{e}{k}" for w in cases.WORDS for e in ("", "s", "ed") for k in range(60)]
+    words = lambda n: " ".join(rng.choice(vocabulary) for _ in range(n))
+    for _ in range(1000):
+        passage = words(51)
+        one, two = (f"{words(rng.randint(0, 40))} {passage} {words(rng.randint(0, 40))}" for _ in "12")
+        assert found_runs(one) & found_runs(two)
+
+
+def test_pieces_of_unmarked_text_are_short_and_add_up():
+    rng = random.Random(12)
+    for text in ("word " * 500, " ".join(rng.choice(cases.WORDS) for _ in range(900)), "字" * 400, "ก ข" * 200):
+        pieces = substring.sentences(text)
+        assert "".join(pieces) == text
+        assert max(substring._halves(p) for p in pieces) <= 2 * substring.WINDOW
+
+
+def test_copies_of_one_word_and_of_chinese_prose_are_found(spark):
+    rng = random.Random(13)
+    chinese = "".join(rng.choice("天地玄黄宇宙洪荒日月盈昃辰宿列张寒来暑往秋收冬藏") + ("。" if k % 19 == 18 else "") for k in range(300))
+    plain = chinese.replace("。", "")
+    rows = [(1, "again " * 500), (2, "again " * 500), (3, chinese), (4, "前言" + chinese), (5, plain), (6, plain)]
+    docs = spark.createDataFrame([(i, t, "zh", "s", 0) for i, t in rows], cases.SCHEMA)
+    out = {r.doc_id: r for r in substring.without_repeats(docs).collect()}
+    assert not out[2].clean_text and out[1].clean_text.startswith("again ")
+    assert out[3].clean_text == chinese and len(out[4].clean_text) < 30
+    assert out[5].n_removed < out[6].n_removed and len(out[6].clean_text) < 60
+
+
+def test_many_runs_of_one_text_are_merged_in_one_pass():
+    runs = [(k, k + 3) for k in range(100_000)] + [(200_000, 200_005)]
+    assert substring.disjoint(runs[::-1]) == [(0, 100_002), (200_000, 200_005)]
+    assert substring.disjoint([]) == []
+
+
 def test_planted_passage_leaves_all_but_its_first_document(spark):
     rng = random.Random(9)
     passage = cases.prose(rng, 60)
