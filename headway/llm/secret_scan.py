@@ -20,7 +20,7 @@ import re
 import zlib
 from bisect import bisect_left
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -61,6 +61,8 @@ CHARSETS = [
     ("M", re.compile(r"[A-Z0-9]*"), 36), ("L", re.compile(r"[A-Za-z]*"), 52), ("A", re.compile(r"[A-Za-z0-9]*"), 62),
 ]
 MARKS = re.compile(r"[^A-Za-z0-9]")
+HEX_LETTERS = re.compile(r"[a-f]*|[A-F]*")
+SMALL = math.log(1 - CAPITAL)
 UNIT = "x"  # a character of the token's set
 
 
@@ -72,11 +74,13 @@ def format_of(word: str) -> tuple[list[str], float]:
     return [symbol, *steps], -len(bare) * math.log(size)
 
 
-def letters_of(word: str) -> tuple[list[str], float]:
+def letters_of(word: str) -> tuple[Sequence[str], float]:
     """Folded letters, one symbol for digits, marks; and the log probability of what folding lost."""
+    if word.isalpha() and word.islower():
+        return word, len(word) * SMALL
     digits = sum(c.isdigit() for c in word)
     capitals, letters = sum(c.isupper() for c in word), sum(c.isalpha() for c in word)
-    lost = capitals * math.log(CAPITAL) + (letters - capitals) * math.log(1 - CAPITAL)
+    lost = capitals * math.log(CAPITAL) + (letters - capitals) * SMALL
     if capitals == letters > 1:
         lost = math.log(CAPITALS)
     return ["0" if c.isdigit() else c.lower() for c in word], lost - digits * math.log(10)
@@ -87,29 +91,33 @@ CODINGS = {FORMAT: format_of, LETTERS: letters_of}
 
 @dataclass
 class Automaton:
-    """States with transition and end probabilities over the symbols of a coding."""
+    """States with the logarithms of transition and end probabilities over the symbols of a coding."""
 
     moves: list[dict[str, tuple[int, float]]]
     ends: list[float]
     coding: str
     unseen: list[float]
 
-    def score(self, word: str) -> float:
-        """Log probability of a word."""
-        symbols, total = CODINGS[self.coding](word)
-        state = 0
+    def walk(self, symbols: Iterable[str]) -> float:
+        """Log probability of a row of symbols."""
+        state, total, moves = 0, 0.0, self.moves
         for c in symbols:
-            step = self.moves[state].get(c)
+            step = moves[state].get(c)
             if step is not None:
                 state, p = step
-                total += math.log(p)
+                total += p
                 continue
-            total += math.log(self.unseen[state])
+            total += self.unseen[state]
             if self.coding == LETTERS:
                 state = 0  # as at the start of another word
-            elif state == 0 and self.moves[0]:
-                state = max(self.moves[0].values(), key=lambda m: m[1])[0]  # the lengths of the most frequent set
-        return total + math.log(self.ends[state])
+            elif state == 0 and moves[0]:
+                state = max(moves[0].values(), key=lambda m: m[1])[0]  # the lengths of the most frequent set
+        return total + self.ends[state]
+
+    def score(self, word: str) -> float:
+        """Log probability of a word."""
+        symbols, lost = CODINGS[self.coding](word)
+        return lost + self.walk(symbols)
 
 
 @dataclass
@@ -198,11 +206,15 @@ def infer(words: list[str], alpha: float = ALPHA, coding: str = FORMAT) -> Autom
     # every symbol of ordinary tokens counts once more than seen, so that a rare token isn't learned by heart
     more, kinds = (1, SYMBOLS) if coding == LETTERS else (0, 0)
     moves, ends, unseen = [], [], []
+
+    def log(p: float) -> float:
+        return math.log(max(p, FLOOR))
+
     for s in kept:
         n = max(total(s) + kinds, 1)
-        moves.append({c: (number[kids[s][c]], max((k + more) / n, FLOOR)) for c, k in passed[s].items()})
-        ends.append(max((ended[s] + more) / n, FLOOR))
-        unseen.append(max(more / n, FLOOR))
+        moves.append({c: (number[kids[s][c]], log((k + more) / n)) for c, k in passed[s].items()})
+        ends.append(log((ended[s] + more) / n))
+        unseen.append(log(more / n))
     return Automaton(moves, ends, coding, unseen)
 
 
@@ -231,6 +243,8 @@ def candidates(text: str, taken: list[tuple[int, int, str, str]]) -> list[tuple[
         else:
             starts.append(a)
             stops.append(b)
+    if not starts:
+        return [(*m.span(), m[0]) for m in CANDIDATE.finditer(text)]
     out = []
     for m in CANDIDATE.finditer(text):
         at = bisect_left(starts, m.end()) - 1
@@ -315,7 +329,14 @@ def likely(value: str, models: list[Automaton], words: Automaton | Mixture | Non
     """Whether a token fits a credential format clearly better than it fits other tokens."""
     if not models:
         return False
-    best = max(m.score(value) for m in models)
+    if isinstance(words, Mixture) and value.isalpha():
+        # a format can't make letters likelier than their smallest set, nor the whole mixture less likely than a part
+        most = -len(value) * math.log(16 if HEX_LETTERS.fullmatch(value) else 26)
+        share, part = words.parts[0]
+        if most - math.log(share) - part.score(value) <= margin:
+            return False
+    symbols, given = format_of(value)
+    best = given + max(m.walk(symbols) for m in models)
     ordinary = words.score(value) if words else (len(value) + 1) * math.log(FLOOR)
     return best - ordinary > margin
 
