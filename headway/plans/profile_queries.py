@@ -20,6 +20,11 @@ def late_trips(spark, folder):
     return weathered(spark, folder).withColumn("is_delayed", (F.col("delay_minutes") >= 5.0).cast("int"))
 
 
+def labelled_trips(spark, folder):
+    """Trips with the five-minute label, without their weather."""
+    return D.trips(spark, folder).withColumn("is_delayed", (F.col("delay_minutes") >= 5.0).cast("int"))
+
+
 LATE = "CAST(CASE WHEN delay_minutes >= 5.0 THEN 1 ELSE 0 END AS BIGINT)"
 
 # ---- delays by driver ------------------------------------------------------
@@ -84,7 +89,7 @@ def condition_ranking(spark, folder):
     ("trips",),
 )
 def route_ranking(spark, folder):
-    return profiles.route_ranking(late_trips(spark, folder))
+    return profiles.route_ranking(labelled_trips(spark, folder))
 
 
 @query(
@@ -159,7 +164,7 @@ def category_frequencies(spark, folder):
 
 @query(f"SELECT {LATE} AS is_delayed, count(*) AS n FROM trips GROUP BY 1", ("trips",))
 def label_counts(spark, folder):
-    return profiles.label_counts(late_trips(spark, folder), "is_delayed")
+    return profiles.label_counts(labelled_trips(spark, folder), "is_delayed")
 
 
 @query(
@@ -191,7 +196,7 @@ def split_counts(spark, folder):
     ("trips",),
 )
 def positive_rate(spark, folder):
-    return profiles.positive_rate(late_trips(spark, folder), "is_delayed")
+    return profiles.positive_rate(labelled_trips(spark, folder), "is_delayed")
 
 
 OVERVIEW = {
@@ -315,7 +320,7 @@ def feature_histograms(spark, folder):
     ("trips",),
 )
 def class_histogram(spark, folder):
-    return profiles.class_histogram(late_trips(spark, folder), "delay_minutes", "is_delayed")
+    return profiles.class_histogram(labelled_trips(spark, folder), "delay_minutes", "is_delayed")
 
 
 # ---- evaluation of scores --------------------------------------------------
