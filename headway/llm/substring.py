@@ -15,7 +15,6 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
-from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +33,8 @@ UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf
 SENTENCE = re.compile(
     r"[^.!?;:,\n。！？；：，、]*(?:[.!?;:,]+(?=\s|$)\s*|[。！？；：，、]+\s*|\n\s*|[.!?;:,]+|$)"
 )
-UNIT = re.compile(rf"[{UNSPACED}]\s*|[^\s{UNSPACED}]+\s*")
+UNIT = re.compile(rf"([{UNSPACED}]|[^\s{UNSPACED}]+)\s*")
+WORD = re.compile(r"(\S+)\s*")
 LETTER = re.compile(f"[{UNSPACED}]")
 LONG = 16  # words from which a sentence is cut further
 WINDOW = 8
@@ -42,42 +42,51 @@ WINDOW = 8
 
 def _halves(piece: str) -> int:
     """Length of a piece in half words: words count two, letters of scripts without spaces one."""
-    if piece.isascii() or not LETTER.search(piece):
+    if _spaced(piece):
         return 2 * len(piece.split())
-    return sum(1 if LETTER.match(u) else 2 for u in UNIT.findall(piece.lstrip()))
+    return sum(1 if LETTER.match(u) else 2 for u in UNIT.findall(piece))
+
+
+def _spaced(text: str) -> bool:
+    """Whether a text has no letters of scripts without spaces."""
+    return text.isascii() or not LETTER.search(text)
 
 
 def sentences(text: str | None) -> list[str]:
     """Consecutive pieces of the text, none empty; pieces joined are the text."""
     out = []
+    spaced = _spaced(text or "")
     for piece in SENTENCE.findall(text or ""):
-        if piece.count(" ") < LONG and len(piece) < 2 * LONG or _halves(piece) <= 2 * LONG:
-            if piece:
-                out.append(piece)
-        else:
-            out.extend(_cut(piece))
+        plain = spaced or _spaced(piece)
+        if piece.count(" ") >= LONG or not plain and _halves(piece) > 2 * LONG:
+            out.extend(_cut(piece, WORD if plain else UNIT))
+        elif piece:
+            out.append(piece)
     return out
 
 
-def _cut(sentence: str) -> Iterator[str]:
+def _cut(sentence: str, unit: re.Pattern) -> Iterator[str]:
     """A long sentence in parts of ``WINDOW`` words at most, which end behind the smallest hash of a window.
 
     Of equal hashes the last one counts, so that a word said over and over is cut behind each.
     """
-    ends = [m.end() for m in UNIT.finditer(sentence)]
-    words = [sentence[a:b].rstrip().encode("utf-8", "surrogatepass") for a, b in pairwise([0, *ends])]
-    if len(words) > WINDOW:
-        hashes = np.fromiter(map(zlib.crc32, words), dtype=np.int64, count=len(words))[::-1]
-        smallest = np.lib.stride_tricks.sliding_window_view(hashes, WINDOW).argmin(axis=1)
-        chosen = np.unique(len(words) - 1 - (np.arange(len(smallest)) + smallest))
-        ends = [ends[k] for k in chosen.tolist()]
-    else:
-        ends = []
-    start = 0
-    for end in [*ends, len(sentence)]:
-        if end > start:
+    matches = list(unit.finditer(sentence))
+    hashes = [zlib.crc32(m[1].encode("utf-8", "surrogatepass")) for m in matches]
+    start, smallest, at = 0, 0, -1
+    for stop in range(WINDOW, len(hashes) + 1):
+        before = at
+        if at < stop - WINDOW:
+            window = hashes[stop - WINDOW : stop]
+            smallest = min(window)
+            at = stop - 1 - window[::-1].index(smallest)
+        elif hashes[stop - 1] <= smallest:
+            at, smallest = stop - 1, hashes[stop - 1]
+        if at != before:
+            end = matches[at].end()
             yield sentence[start:end]
-        start = end
+            start = end
+    if start < len(sentence):
+        yield sentence[start:]
 
 
 def runs(text: str | None, least: int = SENTENCES, least_words: int = WORDS) -> Iterator[tuple[int, int, bytes]]:
@@ -86,8 +95,9 @@ def runs(text: str | None, least: int = SENTENCES, least_words: int = WORDS) ->
     A text of fewer sentences or words has none.
     """
     pieces = sentences(text)
-    lines = [b" ".join(s.encode("utf-8", "surrogatepass").split()) for s in pieces]
-    lengths = [_halves(s) for s in pieces]
+    parts = [s.encode("utf-8", "surrogatepass").split() for s in pieces]
+    lines = [b" ".join(p) for p in parts]
+    lengths = [2 * len(p) for p in parts] if _spaced(text or "") else [_halves(s) for s in pieces]
     stop, held, least_words = 0, 0, 2 * least_words
     for at in range(len(pieces)):
         while stop < len(pieces) and (held < least_words or stop - at < least):
