@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway import schema as S
-from headway.operators import encoding
+from headway.operators import encoding, forest
 from headway.operators.gradient_descent import GradientDescentLogistic
 from headway.session import materialise
 
@@ -200,7 +200,9 @@ class ForestSettings:
     min_rows: float = 20.0
     # Candidate split values per feature; days, stops and routes have a few hundred values.
     max_bins: int = 256
-    # Histograms of all tree nodes of one pass; more memory, fewer passes.
+    # Drawn rows up to which one task finishes a sub-tree; 0 grows whole trees level by level,
+    # with Spark's own fit and `memory_mb` for the histograms of a pass.
+    hand_over: int = 500_000
     memory_mb: int = 2048
 
 
@@ -284,13 +286,20 @@ def fit_forest(train: DataFrame, label: str = "label", settings: ForestSettings
     settings = settings or ForestSettings()
     stages, weights = forest_stages(train, label, settings)
     rows = weighted_vectors(stages, train, label, weights)
+    share = settings.max_samples or 0
+    rate = rows_per_tree(settings.max_samples, 1 if share <= 1 else train.count())
+    if settings.hand_over:
+        size = len(stages[-1].getInputCols())
+        tried = forest.tried_number(feature_subset(settings.max_features), size)
+        model = forest.fit(
+            rows, label, (weights[0], weights[1]), settings.trees, settings.max_depth, settings.min_leaf,
+            tried, rate, settings.seed, settings.max_bins, settings.hand_over,
+        )
+        return PipelineModel([*stages, model])
     model = RandomForestClassifier(
         featuresCol="features", labelCol=label, weightCol="class_weight",
         numTrees=settings.trees, maxDepth=settings.max_depth, minInstancesPerNode=settings.min_leaf,
-        featureSubsetStrategy=feature_subset(settings.max_features),
-        subsamplingRate=rows_per_tree(
-            settings.max_samples, 1 if (settings.max_samples or 0) <= 1 else train.count()
-        ),
+        featureSubsetStrategy=feature_subset(settings.max_features), subsamplingRate=rate,
         bootstrap=True, seed=settings.seed, maxMemoryInMB=settings.memory_mb, cacheNodeIds=False,
         maxBins=settings.max_bins,
     ).fit(rows)
