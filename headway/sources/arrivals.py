@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,16 +30,16 @@ WEATHER_TYPES = {
 }
 
 
-def list_csv(spark: SparkSession, path: str) -> list[str]:
+def list_csv(spark: SparkSession, path: str | list[str]) -> list[str]:
     """Sorted paths of the ``.csv`` files under ``path``; an error if there are none."""
     files = spark.read.schema("value string").csv(path, pathGlobFilter="*.csv").inputFiles()
     if not files:
         raise FileNotFoundError(f"no CSV files under {path}")
-    return sorted(files)
+    return sorted(unquote(f) for f in files)  # names come as URIs, paths are read as they are
 
 
-def read_text(spark: SparkSession, path: str) -> DataFrame:
-    """The CSV files of a file or folder with every column as text.
+def read_text(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """The CSV files of a file, folder or list of files with every column as text.
 
     Files may order or choose their columns differently: those of one header are read
     together, and the groups are matched by column name.
@@ -81,7 +82,7 @@ def unreadable(df: DataFrame, types: dict[str, T.DataType]) -> DataFrame:
     return df.agg(*lost).select(F.expr(f"stack({len(known)}, {parts}) as (column, n_unreadable)"))
 
 
-def read_csv(spark: SparkSession, path: str, types: dict[str, T.DataType]) -> DataFrame:
+def read_csv(spark: SparkSession, path: str | list[str], types: dict[str, T.DataType]) -> DataFrame:
     """CSV files typed by column name, read as text and then converted.
 
     Types are declared rather than inferred: inference needs a pass over the data and may
@@ -111,6 +112,6 @@ def read_clean_arrivals(spark: SparkSession, path: str) -> DataFrame:
     return read_csv(spark, path, {f.name: f.dataType for f in S.CLEAN_ARRIVAL_SCHEMA})
 
 
-def read_integrated(spark: SparkSession, path: str) -> DataFrame:
+def read_integrated(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Arrivals with weather; the identifier columns are text whatever they look like."""
     return read_csv(spark, path, {f.name: f.dataType for f in S.INTEGRATED_SCHEMA})

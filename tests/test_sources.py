@@ -89,6 +89,53 @@ def test_processed_cache_is_reused_and_rebuilt(spark, tmp_path):
     assert {p.name for p in (tmp_path / "cache").rglob("*.parquet")} != written
 
 
+def arrival_file(folder, name, dates):
+    lines = [
+        f"{d},8,0,0,01,0,005,1,A,2023-01-02 08:00:00,2023-01-02 08:05:00,{300 + i},5.0,2023-01-02 08:00:00,"
+        "1.0,50,0.3,180,3.0,1010,0.1,Clear\n"
+        for i, d in enumerate(dates)
+    ]
+    folder.mkdir(exist_ok=True)
+    write(folder / name, INTEGRATED + "".join(lines))
+
+
+def test_a_file_costs_its_own_months_only(spark, tmp_path):
+    source, cache = tmp_path / "in", tmp_path / "cache"
+
+    def load():
+        df = processed.load_or_build(spark, str(source), str(cache))
+        found = {r["service_month"]: r["count"] for r in df.groupBy("service_month").count().collect()}
+        parts = {p.parent.name.split("=")[1]: p.name for p in cache.rglob("service_month=*/*.parquet")}
+        fresh = processed.load_or_build(spark, str(source), str(tmp_path / "anew"), rebuild=True)
+        assert sorted(map(str, df.collect())) == sorted(map(str, fresh.collect()))
+        return found, parts
+
+    arrival_file(source, "jan.csv", ["2023-01-05", "2023-01-06"])
+    arrival_file(source, "feb and mar.csv", ["2023-02-05", "2023-03-01"])
+    found, first = load()
+    assert found == {"2023-01": 2, "2023-02": 1, "2023-03": 1}
+
+    arrival_file(source, "late.csv", ["2023-02-07", "2023-04-01", "2023-04-02"])  # a new file
+    found, second = load()
+    assert found == {"2023-01": 2, "2023-02": 2, "2023-03": 1, "2023-04": 2}
+    assert {m for m in first if second[m] != first[m]} == {"2023-02"}
+
+    arrival_file(source, "jan.csv", ["2023-01-05", "2023-01-06", "2023-04-09"])  # a changed one
+    found, third = load()
+    assert found["2023-04"] == 3 and {m for m in second if third[m] != second[m]} == {"2023-01", "2023-04"}
+
+    (source / "feb and mar.csv").unlink()  # a lost one, which alone had March
+    found, last = load()
+    assert found == {"2023-01": 2, "2023-02": 1, "2023-04": 3}
+    assert {m for m in last if third[m] != last[m]} == {"2023-02"}
+    assert load()[1] == last
+
+    arrival_file(source, "none.csv", [])  # a file without rows is known, too
+    assert load()[1] == last
+    known = processed.manifest(spark, str(cache)).groupBy("name").agg(F.sum("n").alias("n")).collect()
+    assert sorted(r["n"] for r in known) == [0, 3, 3]
+
+
 def test_month_partitions_are_pruned(spark, tmp_path):
     from headway.operators.splits import dated_splits
 
