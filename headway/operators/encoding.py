@@ -22,6 +22,10 @@ from headway.session import lookup_join, materialise
 MAX_LEVELS = 1_000_000
 
 
+class TooManyLevels(ValueError):
+    """A column has more levels than a model on the driver may hold; ``wide_descent`` takes any number."""
+
+
 def check_levels(df: DataFrame, columns: Sequence[str], limit: int = MAX_LEVELS) -> None:
     """An error when a column has more levels than a one-hot or indexed model may hold, counted exactly."""
     parts = ", ".join(f"'{c}', cast(`{c}` as string)" for c in columns)
@@ -29,7 +33,7 @@ def check_levels(df: DataFrame, columns: Sequence[str], limit: int = MAX_LEVELS)
     sizes = {r["column"]: r["n"] for r in levels.groupBy("column").agg(F.count("level").alias("n")).collect()}
     too_many = [c for c in columns if sizes.get(c, 0) > limit]
     if too_many:
-        raise ValueError(f"too many levels to index: {', '.join(too_many)}; bucket rare ones first")
+        raise TooManyLevels(f"too many levels to index: {', '.join(too_many)}; bucket rare ones first")
 
 
 # ---- numbers ---------------------------------------------------------------
@@ -81,12 +85,12 @@ def fill_most_frequent(train: DataFrame, columns: Sequence[str], *others: DataFr
     return [df.na.fill(values) for df in (train, *others)]
 
 
-def fit_one_hot(train: DataFrame, columns: Sequence[str]):
+def fit_one_hot(train: DataFrame, columns: Sequence[str], limit: int | None = None):
     """Indexer and encoder; a level not seen in ``train``, or null, becomes the zero vector.
 
     The extra index the indexer keeps for such values is the one the encoder drops.
     """
-    check_levels(train, columns)
+    check_levels(train, columns, limit or MAX_LEVELS)
     indexer = StringIndexer(
         inputCols=list(columns),
         outputCols=[f"{c}_index" for c in columns],

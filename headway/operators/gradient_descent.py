@@ -37,6 +37,9 @@ from headway.session import materialise, ship_code
 # So many vectors reach the driver in a step; more are summed by fewer tasks first.
 FEW_VECTORS = 8
 
+# Places that share a generator of start weights.
+START_BLOCK = 65_536
+
 # Folded rows of up to this size are held by one task; 8 bytes a number, 4 a code.
 HELD_BYTES = 128 * 1024 * 1024
 
@@ -94,9 +97,15 @@ class Rules:
 
     def sums(self, state: State, columns: list[np.ndarray], numbers: int, starts: np.ndarray) -> np.ndarray:
         """Sums of the loss, of the residual and of residual * feature over weighted rows (n, positives, features)."""
+        return self.parts(state, columns, numbers, starts)[0]
+
+    def parts(
+        self, state: State, columns: list[np.ndarray], numbers: int, starts: np.ndarray, offset=0.0
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """The sums, and the residual of each row; ``offset`` is the part of the scores that lies elsewhere."""
         w = state.weights
         n, s, x = columns[0], columns[1], np.array(columns[2 : 2 + numbers]).reshape(numbers, -1)
-        score = state.bias + w[:numbers] @ x
+        score = state.bias + w[:numbers] @ x + offset
         one_more = np.append(w, 0.0)  # of codes without a weight
         places = []
         for column, start in zip(columns[2 + numbers :], starts, strict=False):
@@ -110,20 +119,35 @@ class Rules:
         total[2 : 2 + numbers] = x @ residual
         for place in places:
             total[2:] += np.bincount(place, residual, len(w) + 1)[:-1]
-        return total
+        return total, residual
 
-    def after(self, state: State, total: np.ndarray) -> State:
-        """The state one step on; done when the slopes are short enough or the steps used up."""
+    def after(self, state: State, total: np.ndarray, squares: tuple[float, float] = (0.0, 0.0)) -> State:
+        """The state one step on; done when the slopes are short enough or the steps used up.
+
+        ``squares`` are the sums of squared new weights and of squared slopes that lie elsewhere.
+        """
         loss, bias_slope, slope = total[0] / self.rows, total[1] / self.rows, total[2:] / self.rows
         slope = slope + self.alpha * state.weights
         weights = state.weights - self.rate * slope
         bias = state.bias - self.rate * bias_slope if self.fit_bias else state.bias
-        loss = float(loss + self.alpha / 2 * np.sum(weights**2))
+        loss = float(loss + self.alpha / 2 * (np.sum(weights**2) + squares[0]))
         norm = np.linalg.norm(np.append(slope, bias_slope) if self.joint and self.fit_bias else slope)
+        norm = math.hypot(norm, math.sqrt(squares[1]))
         step = state.step + 1
         return State(float(bias), weights, step, [*state.history, loss], bool(norm < self.tol) or step >= self.most)
 
 
+def start_weights(seed: int, scale: float, places: np.ndarray) -> np.ndarray:
+    """Start weights by place; each block of places has a generator of its own, so that tasks can draw theirs."""
+    out = np.empty(len(places))
+    blocks = places // START_BLOCK
+    for block in np.unique(blocks):
+        draws = np.random.default_rng([seed, int(block)] if block else seed).normal(0.0, scale, START_BLOCK)
+        here = blocks == block
+        out[here] = draws[places[here] % START_BLOCK]
+    return out
+
+
 STATE = "signature string, step int, bias double, weights array<double>, history array<double>, done boolean"
 _STATE = pa.schema(
     [("step", pa.int32()), ("bias", pa.float64()), ("weights", pa.list_(pa.float64())),
@@ -203,9 +227,7 @@ class GradientDescentLogistic(Estimator, _Columns, DefaultParamsReadable, Defaul
         starts = np.cumsum([len(numeric), *sizes])
         size = int(starts[-1])
         joint, with_bias = get("biasInWeights"), get("fitIntercept")
-        draw = np.random.default_rng(get("seed")).normal(
-            0.0, get("startScale"), size + int(joint and with_bias)
-        )
+        draw = start_weights(get("seed"), get("startScale"), np.arange(size + int(joint and with_bias)))
         state = State(float(draw[0]), draw[1:]) if joint and with_bias else State(0.0, draw)
         rules = Rules(
             n, get("learningRate"), get("alpha"), get("tol"), get("eps"), with_bias, joint, get("maxIter")
@@ -277,15 +299,19 @@ class GradientDescentLogistic(Estimator, _Columns, DefaultParamsReadable, Defaul
                 total += rules.sums(now, columns, numbers, starts)
             yield _vector(total)
 
-        sums = rows.mapInArrow(gradient, "total binary")
-        while parts > FEW_VECTORS:
-            parts = max(FEW_VECTORS // 2, math.isqrt(parts))
-            sums = sums.repartition(parts).mapInArrow(_added, "total binary")
-        found = sum(np.frombuffer(r[0]) for r in sums.collect())  # a vector per task of the last level
+        found = summed(rows.mapInArrow(gradient, "total binary"), parts)
         shared.destroy()
         return rules.after(state, found)
 
 
+def summed(sums: DataFrame, parts: int) -> np.ndarray:
+    """The sum of a vector per part (column total), added up by fewer and fewer tasks."""
+    while parts > FEW_VECTORS:
+        parts = max(FEW_VECTORS // 2, math.isqrt(parts))
+        sums = sums.repartition(parts).mapInArrow(_added, "total binary")
+    return sum(np.frombuffer(r[0]) for r in sums.collect())  # a vector per task of the last level
+
+
 def _vector(total: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["total"])
 

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from headway import schema as S
 from headway.operators import encoding, forest
 from headway.operators.gradient_descent import GradientDescentLogistic
+from headway.operators.wide_descent import WideDescentLogistic, WideDescentModel
 from headway.session import materialise
 
 FOREST_CATEGORICAL = S.TARGET_ENCODED + S.ORDINAL_ENCODED
@@ -43,10 +44,10 @@ def _select(columns: dict[str, str]) -> SQLTransformer:
 # ---- linear models ---------------------------------------------------------
 
 
-def linear_stages(
+def filled_stage(
     train: DataFrame, numeric: Sequence[str], categorical: Sequence[str]
-) -> tuple[list[Model], list[str], list[str]]:
-    """Median fill, scaling, most-frequent fill and level codes, with their output columns."""
+) -> tuple[Model, list[str], list[str]]:
+    """Median fill, scaling and most-frequent fill as one stage, with its output columns."""
     medians = encoding.fit_medians(train, numeric)
     numeric = [c for c in numeric if c in medians]  # a column without any value has no median
     scaling = encoding.fit_scaling(encoding.fill_medians(train, medians), numeric)
@@ -59,9 +60,16 @@ def linear_stages(
         f"{c}_filled": f"coalesce(cast(`{c}` as string), {_text(modes.get(c, S.MISSING))})"
         for c in categorical
     }
-    fill = _select(columns)
-    indexer, encoder = encoding.fit_one_hot(fill.transform(train), [f"{c}_filled" for c in categorical])
-    return [fill, indexer, encoder], [f"{c}_scaled" for c in numeric], indexer.getOutputCols()
+    return _select(columns), [f"{c}_scaled" for c in numeric], [f"{c}_filled" for c in categorical]
+
+
+def linear_stages(
+    train: DataFrame, numeric: Sequence[str], categorical: Sequence[str]
+) -> tuple[list[Model], list[str], list[str]]:
+    """Median fill, scaling, most-frequent fill and level codes, with their output columns."""
+    fill, scaled, filled = filled_stage(train, numeric, categorical)
+    indexer, encoder = encoding.fit_one_hot(fill.transform(train), filled)
+    return [fill, indexer, encoder], scaled, indexer.getOutputCols()
 
 
 def assembled(stages: list[Model], numeric: Sequence[str]) -> list[Model]:
@@ -109,11 +117,21 @@ def fit_gradient_descent(
     label: str = "is_delayed",
     numeric: Sequence[str] = S.LINEAR_NUMERIC,
     categorical: Sequence[str] = S.LINEAR_CATEGORICAL,
+    max_levels: int = encoding.MAX_LEVELS,
     **settings,
 ) -> PipelineModel:
-    stages, scaled, codes = linear_stages(train, numeric, categorical)
-    indexed = stages[:-1]
-    levels = {c: len(labels) for c, labels in zip(codes, stages[1].labelsArray, strict=True)}
+    """Gradient descent on one-hot columns; a column with more than ``max_levels`` levels is
+    fitted with the weights in a written table instead of on the driver, with the same result."""
+    fill, scaled, filled = filled_stage(train, numeric, categorical)
+    try:
+        indexer, _ = encoding.fit_one_hot(fill.transform(train), filled, max_levels)
+    except encoding.TooManyLevels:
+        wide = WideDescentLogistic(
+            numericCols=scaled, levelCols=filled, labelCol=label, heldLevels=max_levels, **settings
+        )
+        return PipelineModel([fill, wide.fit(fill.transform(train))])
+    indexed, codes = [fill, indexer], indexer.getOutputCols()
+    levels = {c: len(labels) for c, labels in zip(codes, indexer.labelsArray, strict=True)}
     known = {f"{c}_known": f"if(`{c}` < {n}, cast(`{c}` as int), null)" for c, n in levels.items()}
     indexed.append(_select(known))
     model = GradientDescentLogistic(
@@ -126,6 +144,8 @@ def coefficients(model: PipelineModel, example: DataFrame) -> DataFrame:
     """Name and signed weight of every feature; ``example`` supplies the columns, no rows are read."""
     last = model.stages[-1]
     spark = example.sparkSession
+    if isinstance(last, WideDescentModel):
+        return last.coefficient_table(spark)
     if hasattr(last, "coefficients"):
         attributes = model.transform(example).schema["features"].metadata["ml_attr"]["attrs"]
         named = [(a["idx"], a["name"]) for group in attributes.values() for a in group]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from headway import schema as S
 from headway.operators import encoding, gradient_descent, models
 from headway.operators.gradient_descent import GradientDescentLogistic
+from headway.operators.wide_descent import WideDescentLogistic, WideDescentModel
 from headway.plans import training
 
 
@@ -139,6 +140,71 @@ def test_resumed_descent_equals_an_uninterrupted_one(spark, tmp_path, held, monk
     assert len(other.getOrDefault("lossHistory")) == 3  # other settings don't take up that state
 
 
+def wide_rows(spark, n=240):
+    """A hot level with a third of the rows, many rare ones, nulls, and numbers."""
+    rng = np.random.default_rng(5)
+    stop = ["hot" if k % 3 == 0 else f"s{int(rng.integers(0, 60)):02d}" for k in range(n)]
+    line = [None if k % 17 == 0 else "ABCDEFG"[int(rng.integers(0, 7))] for k in range(n)]
+    a = rng.normal(size=n)
+    y = (a + np.array([len(s) for s in stop]) - 3 + rng.normal(size=n) > 0).astype(int)
+    rows = list(zip(map(float, a), stop, line, map(int, y), strict=True))
+    return spark.createDataFrame(rows, "a double, stop string, line string, is_delayed int")
+
+
+@pytest.mark.parametrize("joint", [False, True])
+@pytest.mark.parametrize("limit", [5, 30])
+def test_weights_in_a_table_equal_weights_on_the_driver(spark, joint, limit):
+    df = wide_rows(spark)
+    settings = dict(numeric=["a"], categorical=["stop", "line"], maxIter=4, learningRate=0.5, tol=0.0, alpha=0.01, biasInWeights=joint)
+    near = models.fit_gradient_descent(df, **settings)
+    wide = models.fit_gradient_descent(df, max_levels=limit, **settings)
+    last = wide.stages[-1]
+    assert isinstance(last, WideDescentModel)
+    held = last.level_weights(spark).groupBy("held").count().collect()
+    assert {r["held"] for r in held} == {True, False}
+    one, other = ({r.feature: r.coefficient for r in models.coefficients(m, df).collect()} for m in (near, wide))
+    assert one.keys() == other.keys()
+    assert [other[k] for k in one] == pytest.approx(list(one.values()), rel=1e-9, abs=1e-12)
+    assert last.getOrDefault("intercept") == pytest.approx(near.stages[-1].getOrDefault("intercept"), rel=1e-9)
+    assert last.getOrDefault("lossHistory") == pytest.approx(near.stages[-1].getOrDefault("lossHistory"), rel=1e-9)
+    odd = df.limit(20).unionByName(df.limit(5).withColumn("stop", F.lit("unseen")))
+    scores = [sorted(r.p for r in models.score(m, odd).select(F.col("pred_proba_delayed").alias("p")).collect()) for m in (near, wide)]
+    assert scores[1] == pytest.approx(scores[0], rel=1e-9)
+
+
+def test_wide_descent_resumes_stops_saves_and_refuses(spark, tmp_path):
+    df = wide_rows(spark, 90)
+
+    def fit(steps, folder="", **more):
+        return WideDescentLogistic(
+            numericCols=["a"], levelCols=["stop", "line"], heldLevels=4, maxIter=steps, learningRate=0.5,
+            stateDir=folder, stateEvery=2, weightsDir=str(tmp_path / "weights"), **{"tol": 0.0, **more},
+        ).fit(df)
+
+    folder = str(tmp_path / "state")
+    whole = fit(5)
+    fit(3, folder)
+    assert sorted(r.step for r in spark.read.parquet(f"{folder}/states").collect()) == [2, 3]
+    again = fit(5, folder)
+    assert again.getOrDefault("lossHistory") == pytest.approx(whole.getOrDefault("lossHistory"), rel=1e-12)
+    tables = [{(r.block, r.level): r.weight for r in m.level_weights(spark).collect()} for m in (whole, again)]
+    assert tables[1] == pytest.approx(tables[0], rel=1e-12)
+    assert len(fit(9, tol=10.0).getOrDefault("lossHistory")) == 1
+    PipelineModel([again]).write().overwrite().save(str(tmp_path / "m"))
+    loaded = PipelineModel.load(str(tmp_path / "m"))
+    assert loaded.transform(df).select("prediction").collect() == again.transform(df).select("prediction").collect()
+    with pytest.raises(ValueError, match="two classes"):
+        WideDescentLogistic(numericCols=["a"], levelCols=["stop"]).fit(df.where("is_delayed = 1"))
+
+
+def test_start_weights_are_those_of_one_generator_per_block():
+    block = gradient_descent.START_BLOCK
+    all_of = gradient_descent.start_weights(7, 0.1, np.arange(2 * block + 5))
+    assert all_of[:block] == pytest.approx(np.random.default_rng(7).normal(0, 0.1, block))
+    some = np.array([2 * block + 1, 3, block])
+    assert gradient_descent.start_weights(7, 0.1, some) == pytest.approx(all_of[some])
+
+
 def test_equal_rows_are_folded(spark):
     rows = [(1.0, 0, 1), (1.0, 0, 0), (2.0, 1, 0), (2.0, 1, 1), (3.0, 0, 1)]
     one = spark.createDataFrame(rows * 3, "a double, c int, is_delayed int")
