@@ -208,6 +208,13 @@ def descent_weights(spark, folder):
     return weights_table(model, rows)
 
 
+@query(oracle.descent_weights(STEPS, RATE, ALPHA, 1e-12))
+def descent_weights_any_cardinality(spark, folder):
+    """As if the driver could hold no more than three levels a column: the others' weights lie in a table."""
+    model, rows = descent(late_trips(spark, folder), max_levels=3)
+    return weights_table(model, rows)
+
+
 @query(oracle.descent_stopped(JOINT_STEPS, RATE, ALPHA, 1e-15, joint_start(), JOINT_TOL))
 def descent_weights_joint_bias(spark, folder):
     """The bias starts at random like a weight and counts in the norm that ends the descent."""
