@@ -1,4 +1,18 @@
-"""Known licence texts and notices. Fixed values."""
+"""Known licence texts and notices. Fixed values; long texts lie in ``licence_files``, one each."""
+
+import os
+
+_FOLDER = os.path.join(os.path.dirname(os.path.abspath(__file__)), "licence_files")
+
+
+def _files() -> list[tuple[str, str]]:
+    """Whole texts by the name of their file."""
+    out = []
+    for name in sorted(os.listdir(_FOLDER)):
+        with open(os.path.join(_FOLDER, name), encoding="utf-8") as file:
+            out.append((name.removesuffix(".txt"), file.read()))
+    return out
+
 
 _WARRANTY_MIT = """THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
 IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A
@@ -59,7 +73,21 @@ _UNLICENSE = """This is free and unencumbered software released into the public
 
 Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either
 in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by
-any means."""
+any means.
+
+In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any
+and all copyright interest in the software to the public domain. We make this dedication for the
+benefit of the public at large and to the detriment of our heirs and successors. We intend this
+dedication to be an overt act of relinquishment in perpetuity of all present and future rights to
+this software under copyright law.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT
+NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND
+NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY,
+WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE
+SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+
+_UNLICENSE_LINK = "For more information, please refer to <https://unlicense.org>"
 
 _APACHE_NOTICE = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use
 this file except in compliance with the License. You may obtain a copy of the License at
@@ -99,7 +127,10 @@ KNOWN: list[tuple[str, str]] = [
     ("BSD-3-Clause", _BSD_HEAD + _BSD_THIRD + _BSD_TAIL),
     ("BSD-3-Clause", "BSD 3-Clause License\n\n" + _BSD_HEAD + _BSD_THIRD + _BSD_TAIL),
     ("Unlicense", _UNLICENSE),
+    ("Unlicense", f"{_UNLICENSE}\n\n{_UNLICENSE_LINK}"),
+    ("Unlicense", f"{_UNLICENSE}\n\n{_UNLICENSE_LINK}/"),
+    *_files(),
     ("Apache-2.0", _APACHE_NOTICE),
     *((name, f"Licensed under the {said}.") for name, all_said in _NAMES.items() for said in all_said),
-    *((name, f"SPDX-License-Identifier: {name}") for name in (*_NAMES, "Unlicense")),
+    *((name, f"SPDX-License-Identifier: {name}") for name in (*_NAMES, "CC0-1.0", "Unlicense")),
 ]

@@ -1,16 +1,28 @@
 """Licence scans by digest of a canonical text.
 
 A text is brought to a canonical form: ASCII letters in lower case, copyright lines out,
-punctuation and white space reduced to single spaces, equivalent spellings made one. The
-SHA-256 of the form is joined to the digests of known licences. Whole documents are looked
-up, and so is every whole line, because notices stand on lines of their own. The known
+punctuation of any script and white space reduced to single spaces, equivalent spellings made
+one. The SHA-256 of the form is joined to the digests of known licences. Whole documents are
+looked up, and so is every whole line, because notices stand on lines of their own. The known
 digests are a fixed table of this module, so its broadcast has a fixed size.
+
+Copyright lines are those that begin, behind comment marks, with the word and have a sign or a
+year; with a sign and have a year; with a sign at the head of a text; paragraphs of their own of
+one line of up to 80 characters that begins with the word; ``all rights reserved`` alone. What
+licence texts have for themselves (the foundation's line, lines with a place for year and name)
+goes as a phrase, wherever lines break. Other lines that begin so, list items with ``(c)`` or
+lines of re-wrapped bodies, stay. A copyright line set into one line with a body takes it along.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+import hashlib
+import re
+import sys
+import unicodedata
+from functools import cache
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,9 +30,25 @@ from headway.llm.common import document_keys
 from headway.llm.licence_texts import KNOWN
 from headway.session import materialise
 
-LETTERS = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-COPYRIGHT = r"(^|\n)[ \t]*(copyright|\(c\)|©|all rights reserved)[^\n]*"
-MARKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_COMMENT = r"[ \t#*/;%!<>.-]*"
+_GAP = r"[\s#*/;%!-]+"
+# In this order: what licences say of themselves, signs at the head, lines, paragraphs.
+COPYRIGHT = [
+    (re.compile(
+        rf"copyright{_GAP}(?:\(c\){_GAP})?(?:[<\[{{](?:year|yyyy)[^>\]}}]{{0,20}}[>\]}}]{_GAP}[<\[{{][^>\]}}]{{0,80}}[>\]}}]"
+        rf"|year{_GAP}name{_GAP}of{_GAP}author"
+        rf"|[0-9]{{4}}(?:,{_GAP}[0-9]{{4}})*{_GAP}free{_GAP}software{_GAP}foundation,{_GAP}inc\.,?(?:{_GAP}<https?://[^>\s]*>)?)"
+    ), " "),
+    (re.compile(rf"\A(?:{_COMMENT}(?:(?:\(c\)|©)[^\n]*)?(?:\n|\Z))+"), ""),
+    (re.compile(
+        rf"^{_COMMENT}(?:(?:\(c\)|©)[^\n]*[0-9]{{4}}[^\n]*"
+        r"|copyright\b[^\n]*(?:\(c\)|©|[0-9]{4})[^\n]*|all rights reserved[ \t.]*)$", re.MULTILINE
+    ), ""),
+    (re.compile(rf"(?:\A|\n{_COMMENT}\n){_COMMENT}copyright\b[^\n]{{0,80}}(?:\n{_COMMENT}\n|\n?\Z)"), "\n\n"),
+]
+_HINTS = ("copyright", "(c)", "\xa9", "all rights reserved")
+_ASCII_MARKS = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
+_LOWER = {c: c + 32 for c in range(65, 91)}
 # Spellings that mean the same, applied in this order; an empty right side drops the phrase.
 SPELLINGS = (
     ("licence", "license"),
@@ -45,31 +73,86 @@ SPELLINGS = (
     ("version", ""),
     ("the", ""),
 )
-# A line that is a known text names one of these; it keeps prose out of the rewriting.
-HINT = r"(?i)licen[cs]e|spdx|gpl|creative commons|public domain|unlicense|warrant"
+_REPLACED = [
+    (f" {old.replace(' ', '  ')} ".encode(), (f" {new.replace(' ', '  ')} " if new else " ").encode())
+    for old, new in SPELLINGS
+]
+_FOUND = pa.struct([("digest", pa.string()), ("lines", pa.list_(pa.string()))])
+
+
+@cache
+def _other_marks() -> re.Pattern:
+    """Punctuation, symbols and separators beyond ASCII."""
+    marks = (chr(c) for c in range(128, sys.maxunicode + 1) if unicodedata.category(chr(c))[0] in "PSZ")
+    return re.compile(f"[{''.join(map(re.escape, marks))}\ufeff]+")
+
 
+def words(text: str) -> list[bytes]:
+    """Lower-case words without those of copyright lines."""
+    text = text.lower() if text.isascii() else text.translate(_LOWER)
+    if any(h in text for h in _HINTS):
+        text = text.replace("\r\n", "\n")
+        for pattern, instead in COPYRIGHT:
+            text = pattern.sub(instead, text)
+    if not text.isascii():
+        text = _other_marks().sub(" ", text)
+    return text.encode("utf-8", "surrogatepass").translate(_ASCII_MARKS).split()
 
-def canonical(text: Column) -> Column:
-    """The canonical form; null counts as empty."""
-    out = F.translate(F.coalesce(text.cast("string"), F.lit("")), *LETTERS)
-    out = F.regexp_replace(out, COPYRIGHT, "\n")
+
+def canonical(found: list[bytes]) -> bytes:
+    """The canonical form of words."""
     # Two spaces between words: neighbouring phrases do not share one.
-    out = F.concat(F.lit(" "), F.regexp_replace(out, MARKS, "  "), F.lit(" "))
-    out = reduce(lambda c, rule: F.replace(c, F.lit(_phrase(rule[0])), F.lit(_phrase(rule[1]))), SPELLINGS, out)
-    return F.trim(F.regexp_replace(out, " +", " "))
+    out = b" " + b"  ".join(found) + b" "
+    for old, new in _REPLACED:
+        out = out.replace(old, new)
+    return b" ".join(out.split())
+
+
+def digest(text: str | None) -> str:
+    """SHA-256 of the canonical form; null counts as empty."""
+    return hashlib.sha256(canonical(words(text or ""))).hexdigest()
 
 
-def _phrase(words: str) -> str:
-    return f" {words.replace(' ', '  ')} " if words else " "
+def telling_words() -> frozenset[bytes]:
+    """Words of which every text has one whose canonical form is a known one.
+
+    Such a word goes through the spellings unchanged: a rule that writes it has read it.
+    """
+    safe = set()
+    for _, text in KNOWN:
+        mine = set(canonical(words(text)).split())
+        mine -= {w.encode() for old, new in SPELLINGS for w in set(new.split()) - set(old.split())}
+        if not mine & safe:
+            safe.add(max(mine, key=lambda w: (len(w), w)))
+    return frozenset(safe)
 
 
 def known_licences(spark: SparkSession) -> DataFrame:
     """(digest, licence) of the known texts and notices."""
-    rows = spark.createDataFrame(KNOWN, "licence string, text string")
-    known = rows.select(F.sha2(canonical(F.col("text")), 256).alias("digest"), "licence")
+    rows = sorted({(digest(text), name) for name, text in KNOWN})
+    known = spark.createDataFrame(rows, "digest string, licence string")
     return known.groupBy("digest").agg(F.min("licence").alias("licence"))
 
 
+def scan(text: Column) -> Column:
+    """Struct of the text's ``digest`` and the digests of its ``lines`` that can be known."""
+    telling = telling_words()
+
+    @F.arrow_udf("struct<digest:string,lines:array<string>>")
+    def digests(texts: pa.Array) -> pa.Array:
+        out = []
+        for text in texts.to_pylist():
+            lines = set()
+            for line in (text or "").split("\n"):
+                found = words(line)
+                if not telling.isdisjoint(found):
+                    lines.add(hashlib.sha256(canonical(found)).hexdigest())
+            out.append({"digest": digest(text), "lines": sorted(lines)})
+        return pa.array(out, _FOUND)
+
+    return digests(text)
+
+
 def licence_scan(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, digest, licence, notices.
 
@@ -77,13 +160,8 @@ def licence_scan(docs: DataFrame) -> DataFrame:
     text it is, else null; ``notices`` lists the licences whose notice is a whole line, by
     name. Null and empty texts have the digest of the empty form and no licence.
     """
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(HINT))
-    digests = F.transform(lines, lambda x: F.sha2(canonical(x), 256))
-    rows = materialise(
-        document_keys(docs, F.sha2(canonical(text), 256).alias("digest"), digests.alias("lines")),
-        "licence-digests",
-    )
+    found = document_keys(docs, scan(F.col("text").cast("string")).alias("found"))
+    rows = materialise(found.select("doc_id", "h", "found.digest", "found.lines"), "licence-digests")
     known = known_licences(docs.sparkSession)
     noticed = (
         rows.select("doc_id", "h", F.explode("lines").alias("digest"))

@@ -213,31 +213,46 @@ ORACLES: dict[str, str] = {
 }
 
 
+# The rule for licence texts once more, as SQL: its own patterns, only texts and spellings are shared.
+_MARKS_SQL = r"[\x00-\x2F\x3A-\x60\x7B-\x7F\p{P}\p{S}\p{Z}\x{FEFF}]+"
+_BEFORE_SQL = r"[ \t#*/;%!<>.-]*"
+_BETWEEN_SQL = r"[\s#*/;%!-]+"
+_RIGHTS_SQL = (
+    (rf"copyright{_BETWEEN_SQL}(\(c\){_BETWEEN_SQL})?([<\[{{](year|yyyy)[^>\]}}]{{0,20}}[>\]}}]{_BETWEEN_SQL}"
+     rf"[<\[{{][^>\]}}]{{0,80}}[>\]}}]|year{_BETWEEN_SQL}name{_BETWEEN_SQL}of{_BETWEEN_SQL}author|[0-9]{{4}}(,{_BETWEEN_SQL}[0-9]{{4}})*{_BETWEEN_SQL}free{_BETWEEN_SQL}software{_BETWEEN_SQL}"
+     rf"foundation,{_BETWEEN_SQL}inc\.,?({_BETWEEN_SQL}<https?://[^>\s]*>)?)", " "),
+    (rf"\A({_BEFORE_SQL}((\(c\)|©)[^\n]*)?(\n|\z))+", ""),
+    (rf"(?m)^{_BEFORE_SQL}((\(c\)|©)[^\n]*[0-9]{{4}}[^\n]*|copyright\b[^\n]*(\(c\)|©|[0-9]{{4}})[^\n]*"
+     r"|all rights reserved[ \t.]*)$", ""),
+    (rf"(\A|\n{_BEFORE_SQL}\n){_BEFORE_SQL}copyright\b[^\n]{{0,80}}(\n{_BEFORE_SQL}\n|\n?\z)", "  "),
+)
+
+
 def _canonical_sql(text: str) -> str:
-    """The canonical form of licence texts in SQL, from the same rules."""
-    out = f"translate(coalesce({text}, ''), '{licences.LETTERS[0]}', '{licences.LETTERS[1]}')"
-    out = f"regexp_replace({out}, '{licences.COPYRIGHT}', chr(10), 'g')"
-    out = f"(' ' || regexp_replace({out}, '{licences.MARKS}', '  ', 'g') || ' ')"
+    """The canonical form of a text."""
+    out = f"translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    out = f"replace({out}, chr(13) || chr(10), chr(10))"
+    for pattern, instead in _RIGHTS_SQL:
+        out = f"regexp_replace({out}, '{pattern}', '{instead}', 'g')"
+    out = f"(' ' || regexp_replace({out}, '{_MARKS_SQL}', '  ', 'g') || ' ')"
     for old, new in licences.SPELLINGS:
-        out = f"replace({out}, '{licences._phrase(old)}', '{licences._phrase(new)}')"
+        doubled = [f" {' '.join(x.split()).replace(' ', '  ')} " if x else " " for x in (old, new)]
+        out = f"replace({out}, '{doubled[0]}', '{doubled[1]}')"
     return f"trim(regexp_replace({out}, ' +', ' ', 'g'))"
 
 
 def _licence_sql() -> str:
-    values = ", ".join(
-        "('" + name + "', '" + text.replace("'", "''") + "')" for name, text in licences.KNOWN
-    )
+    values = ", ".join("('" + name + "', '" + text.replace("'", "''") + "')" for name, text in licences.KNOWN)
     return f"""
         WITH known AS (
             SELECT sha256({_canonical_sql('text')}) AS digest, min(licence) AS licence
             FROM (VALUES {values}) AS k (licence, text) GROUP BY 1),
         doc AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
-        lines AS (SELECT r, unnest(string_split(text, chr(10))) AS line FROM doc),
+        lines AS (SELECT DISTINCT r, unnest(string_split(text, chr(10))) AS line FROM doc),
         noticed AS (
             SELECT r, string_agg(licence, ',' ORDER BY licence) AS notices FROM (
-                SELECT DISTINCT r, licence FROM (
-                    SELECT r, sha256({_canonical_sql('line')}) AS digest FROM lines
-                    WHERE regexp_matches(line, '{licences.HINT}')) JOIN known USING (digest))
+                SELECT DISTINCT r, licence FROM (SELECT r, sha256({_canonical_sql('line')}) AS digest FROM lines)
+                JOIN known USING (digest))
             GROUP BY r),
         digests AS (SELECT r, doc_id, sha256({_canonical_sql('text')}) AS digest FROM doc)
         SELECT doc_id, digest, licence, coalesce(notices, '') AS notices

@@ -1,8 +1,9 @@
 import hashlib
+import textwrap
 
 import cases
 
-from headway.llm import licences
+from headway.llm import licences, queries
 from headway.llm.licence_texts import KNOWN
 
 
@@ -46,3 +47,76 @@ def test_awkward_rows(spark):
     empty = hashlib.sha256(b"").hexdigest()
     assert {r.digest for r in out.filter("doc_id IN (1000, 1001, 1002)").collect()} == {empty}
     assert licences.licence_scan(docs.limit(0)).count() == 0
+
+
+def wrapped(text, width):
+    paragraphs = text.split("\n\n")
+    return "\n\n".join(textwrap.fill(p, width, break_on_hyphens=False, break_long_words=False) for p in paragraphs)
+
+
+# First words and licence of texts that must be known in full, by hand.
+WHOLE = {
+    "Apache License Version 2.0, January 2004": "Apache-2.0",
+    "GNU GENERAL PUBLIC LICENSE Version 2, June 1991": "GPL-2.0",
+    "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007": "GPL-3.0",
+    "Mozilla Public License Version 2.0": "MPL-2.0",
+    "Creative Commons Legal Code CC0 1.0 Universal": "CC0-1.0",
+    "Permission is hereby granted, free of charge, to any person": "MIT",
+    "This is free and unencumbered software released into the public domain.": "Unlicense",
+    "Redistribution and use in source and binary forms": "BSD-2-Clause",
+}
+
+
+def whole(start):
+    found = [t for _, t in KNOWN if " ".join(t.split()).startswith(start)]
+    assert found and all(len(t.split()) > 150 for t in found)
+    return min(found, key=len)
+
+
+def test_whole_texts_rewrapped_commented_and_with_other_marks(spark):
+    texts, want = [], []
+    for start, name in WHOLE.items():
+        text = whole(start)
+        texts += [
+            wrapped(text, 30), wrapped(text, 57), wrapped(text, 100),
+            "\n".join(f"# {line}" for line in text.split("\n")),
+            text.replace('"', "\u201c").replace("'", "\u2019").replace(" - ", " \u2014 ").replace("  ", "\u00a0 "),
+            text.replace("\n", "\r\n"), text.upper(),
+        ]
+        want += [name] * 7
+    out = scan(spark, texts)
+    assert [out[i].licence for i in range(len(texts))] == want
+
+
+def test_copyright_lines_by_hand():
+    body = whole("Permission is hereby granted")
+    same = licences.digest(body)
+    for head in (
+        "# Copyright (c) 2020 A B", " * Copyright 2019-2021, A B", "// (c) A B", "\u00a9 2020 A", "Copyright (c) <year> <holders>",
+        "Copyright (c) A B\nAll rights reserved.", "Copyright A B\n", "(C) 2001 A\nCopyright (C) 2002 B",
+    ):
+        assert licences.digest(f"{head}\n{body}") == same, head
+    for line in ("copyright holders be liable", "(c) you must retain the notices", "copyright law of this state and", "rights"):
+        assert licences.canonical(licences.words(f"some\n{line}\nmore")).split()[1:-1] == [
+            w.encode() for w in line.replace("(", "").replace(")", "").split() if w != "the"
+        ]
+
+
+def test_notices_without_the_word_licence_and_very_long_lines(spark):
+    out = scan(spark, ["Released under MIT.\nprose", "a\n\u2022 Available under Apache 2.0 \u2022", "under " * 200_000, "x" * 1_000_000])
+    assert [list(out[i].notices) for i in range(4)] == [["MIT"], ["Apache-2.0"], [], []]
+
+
+def test_every_known_text_has_a_telling_word():
+    telling = licences.telling_words()
+    assert all(not telling.isdisjoint(licences.words(t)) for _, t in KNOWN)
+
+
+def test_registered_query_by_hand(spark, tmp_path):
+    mit = whole("Permission is hereby granted")
+    texts = ["Copyright (c) 2020 A\n" + wrapped(mit, 40), "Released under the MIT License.\nprose", None, "", "Licensed under CC BY 4.0."]
+    spark.createDataFrame([(i, t, None, None, 0) for i, t in enumerate(texts)], cases.SCHEMA).write.parquet(str(tmp_path / "documents.parquet"))
+    out = {r.doc_id: r for r in queries.op10_licence_scan(spark, str(tmp_path)).collect()}
+    assert [out[i].licence for i in range(5)] == ["MIT", None, None, None, "CC-BY-4.0"]
+    assert [out[i].notices for i in range(5)] == ["", "MIT", "", "", "CC-BY-4.0"]
+    assert out[2].digest == out[3].digest == hashlib.sha256(b"").hexdigest()
