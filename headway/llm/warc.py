@@ -32,6 +32,8 @@ from headway.llm.common import KEY_ROWS, small_batches, spread_join
 from headway.session import materialise, own, shared_folder, small_table
 
 ARCHIVE_BYTES = 64 * 1024 * 1024
+# Compressed bytes that a task reads back.
+READ_BYTES = 8 * 1024 * 1024
 BLOCK_LINES = 500
 DATE = "2024-01-01T00:00:00Z"
 LEVEL = 1
@@ -309,7 +311,9 @@ def lookup(wanted: DataFrame, folder: str, files: DataFrame) -> DataFrame:
             yield _rows(out, _CAPTURES)
 
     asked = wanted.select("key").distinct().select(F.explode(files_of("key")).alias("file"), "key")
-    return asked.repartition("file").sortWithinPartitions("file", "key").mapInArrow(work, CAPTURES)
+    # a part per index file: the size of the keys says nothing about the blocks they read
+    parts = asked.repartition(max(1, len(ranges)), "file")
+    return parts.sortWithinPartitions("file", "key").mapInArrow(work, CAPTURES)
 
 
 def read_records(captures: DataFrame, folder: str, payload: bool = True) -> DataFrame:
@@ -334,8 +338,12 @@ def read_records(captures: DataFrame, folder: str, payload: bool = True) -> Data
                     out = []
             yield _rows(out, _RECORDS)
 
-    places = captures.select("archive", "offset", "length").repartition("archive")
-    return places.sortWithinPartitions("archive", "offset").mapInArrow(work, RECORDS)
+    # As many tasks as the bytes to read ask for; each reads whole stretches of archives.
+    places = materialise(captures.select("archive", "offset", "length"), "places")
+    size = places.agg(F.sum("length")).first()[0] or 0
+    stretch = F.floor(F.col("offset") / F.lit(READ_BYTES))
+    parts = places.repartition(1 + size // READ_BYTES, "archive", stretch)
+    return parts.sortWithinPartitions("archive", "offset").mapInArrow(work, RECORDS)
 
 
 def url_keys(pages: DataFrame) -> DataFrame:

@@ -74,6 +74,26 @@ def test_lookup_finds_every_capture_of_a_key_and_no_other(spark, pages):
     assert texts.filter("record_type = 'response' AND payload IS NULL").count() == 0
 
 
+def test_as_many_reading_tasks_as_the_bytes_ask_for(spark, pages, monkeypatch):
+    folder, captures = warc.write_archives(pages, archive_bytes=4000)
+    size = captures.agg({"length": "sum"}).first()[0]
+    few = warc.read_records(captures, folder)
+    assert few.rdd.getNumPartitions() == 1
+    monkeypatch.setattr(warc, "READ_BYTES", 1500)
+    many = warc.read_records(captures, folder)
+    assert many.rdd.getNumPartitions() == 1 + size // 1500 > 5
+    assert cases.rows_of(many) == cases.rows_of(few)
+
+
+def test_url_with_captures_in_several_index_files(spark):
+    rows = [(i, "http://one.example/" if i % 3 else f"http://h{i}.example/", f"body {i}") for i in range(120)]
+    folder, captures = warc.write_archives(spark.createDataFrame(rows, PAGES))
+    index, files = warc.build_index(captures, block_lines=2)
+    asked = spark.createDataFrame([("example,one)/",)], "key string")
+    found = warc.lookup(asked, index, files)
+    assert sorted(r.page_id for r in found.collect()) == [i for i in range(120) if i % 3]
+
+
 def test_url_keys():
     assert warc.url_key("http://User@A.Example.com/x?y") == "com,example,a)/x?y"
     assert warc.url_key("https://a.b?c") == "b,a)?c"
