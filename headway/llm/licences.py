@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import hashlib
 import re
-import sys
 import unicodedata
 from functools import cache
 
@@ -48,7 +47,6 @@ COPYRIGHT = [
 ]
 _HINTS = ("copyright", "(c)", "\xa9", "all rights reserved")
 _ASCII_MARKS = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
-_LOWER = {c: c + 32 for c in range(65, 91)}
 # Spellings that mean the same, applied in this order; an empty right side drops the phrase.
 SPELLINGS = (
     ("licence", "license"),
@@ -81,21 +79,30 @@ _FOUND = pa.struct([("digest", pa.string()), ("lines", pa.list_(pa.string()))])
 
 
 @cache
-def _other_marks() -> re.Pattern:
+def _is_mark(character: str) -> bool:
     """Punctuation, symbols and separators beyond ASCII."""
-    marks = (chr(c) for c in range(128, sys.maxunicode + 1) if unicodedata.category(chr(c))[0] in "PSZ")
-    return re.compile(f"[{''.join(map(re.escape, marks))}\ufeff]+")
+    return character > "\x7f" and (character == "\ufeff" or unicodedata.category(character)[0] in "PSZ")
+
+
+def _without_marks(text: str) -> str:
+    """Marks beyond ASCII as blanks; a text has few different ones."""
+    marks = [c for c in set(text) if _is_mark(c)]
+    if len(marks) > 16:
+        return text.translate({ord(c): " " for c in marks})
+    for c in marks:
+        text = text.replace(c, " ")
+    return text
 
 
 def words(text: str) -> list[bytes]:
     """Lower-case words without those of copyright lines."""
-    text = text.lower() if text.isascii() else text.translate(_LOWER)
+    text = text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")  # ASCII letters only
     if any(h in text for h in _HINTS):
         text = text.replace("\r\n", "\n")
         for pattern, instead in COPYRIGHT:
             text = pattern.sub(instead, text)
     if not text.isascii():
-        text = _other_marks().sub(" ", text)
+        text = _without_marks(text)
     return text.encode("utf-8", "surrogatepass").translate(_ASCII_MARKS).split()
 
 
