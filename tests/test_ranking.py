@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from headway import session
 from headway.operators import ranking, splits
 from headway.session import lookup_join, salted_join
 
@@ -93,6 +94,19 @@ def test_salted_join_keeps_all_rows(spark):
     assert sorted((r["id"], r["v"]) for r in beyond.collect()) == want
 
 
+def test_salted_join_shuffles_and_copies_frequent_keys_only(spark, monkeypatch):
+    monkeypatch.setattr(session, "HOT_ROWS", 1000)
+    facts = spark.range(5000).withColumn("k", F.when(F.col("id") % 3 == 0, 1).when(F.col("id") % 3 == 1, F.col("id") % 50))
+    table = spark.range(40).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
+    want = sorted(((r["id"], r["v"]) for r in facts.join(table, "k", "left").collect()), key=str)
+    got = salted_join(facts, table, ["k"])
+    assert sorted(((r["id"], r["v"]) for r in got.collect()), key=str) == want
+    # the copies are as many times the table, so they must not be broadcast by the table's size
+    assert "SortMergeJoin" in got._jdf.queryExecution().executedPlan().toString()
+    inner = salted_join(facts, table, ["k"], "inner")
+    assert inner.count() == sum(v is not None for _, v in want)
+
+
 def test_splits_and_samples(spark):
     df = spark.createDataFrame(
         [("2022-12-31", 0), ("2023-01-01", 1), ("2023-09-30", 0), ("2023-10-01", 1), ("2023-12-31", 0),
