@@ -43,6 +43,9 @@ START_BLOCK = 65_536
 # Folded rows of up to this size are held by one task; 8 bytes a number, 4 a code.
 HELD_BYTES = 128 * 1024 * 1024
 
+# Rows that a scan reads as one byte string each for numbers and codes.
+PACKED_ROWS = 16_384
+
 
 class _Columns(Params):
     numericCols = Param(Params._dummy(), "numericCols", "numeric features", TypeConverters.toListString)
@@ -107,18 +110,18 @@ class Rules:
         n, s, x = columns[0], columns[1], np.array(columns[2 : 2 + numbers]).reshape(numbers, -1)
         score = state.bias + w[:numbers] @ x + offset
         one_more = np.append(w, 0.0)  # of codes without a weight
-        places = []
         for column, start in zip(columns[2 + numbers :], starts, strict=False):
-            places.append(np.where(column >= 0, column + int(start), len(w)).astype(np.int64))
-            score += one_more[places[-1]]
+            score += one_more[np.where(column >= 0, column + int(start), len(w)).astype(np.int64)]
         p = 1.0 / (1.0 + np.exp(-score))
         residual = n * p - s
         total = np.zeros(len(w) + 2)
         total[0] = -np.sum(s * np.log(p + self.eps) + (n - s) * np.log(1 - p + self.eps))
         total[1] = residual.sum()
         total[2 : 2 + numbers] = x @ residual
-        for place in places:
-            total[2:] += np.bincount(place, residual, len(w) + 1)[:-1]
+        for column, start in zip(columns[2 + numbers :], starts, strict=False):
+            known = column >= 0
+            found = np.bincount(column[known], residual[known])  # as long as the largest code of the block
+            total[2 + int(start) : 2 + int(start) + len(found)] += found
         return total, residual
 
     def after(self, state: State, total: np.ndarray, squares: tuple[float, float] = (0.0, 0.0)) -> State:
@@ -243,7 +246,7 @@ class GradientDescentLogistic(Estimator, _Columns, DefaultParamsReadable, Defaul
         held = distinct * (8 * (2 + len(numeric)) + 4 * len(index)) <= HELD_BYTES
         parts = 0 if held else rows.rdd.getNumPartitions()
         if not held:
-            rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+            rows = packed(rows, len(numeric)).persist(StorageLevel.MEMORY_AND_DISK)
         while not state.done:
             until = min(rules.most, state.step + get("stateEvery"))
             if held:
@@ -295,8 +298,9 @@ class GradientDescentLogistic(Estimator, _Columns, DefaultParamsReadable, Defaul
             now = shared.value
             total = np.zeros(len(now.weights) + 2)
             for batch in batches:
-                columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-                total += rules.sums(now, columns, numbers, starts)
+                for numeric, codes in zip(batch.column(0), batch.column(1), strict=True):
+                    columns = [*_matrix(numeric, np.float64, 2 + numbers), *_matrix(codes, np.int32, len(starts) - 1)]
+                    total += rules.sums(now, columns, numbers, starts)
             yield _vector(total)
 
         found = summed(rows.mapInArrow(gradient, "total binary"), parts)
@@ -304,6 +308,40 @@ class GradientDescentLogistic(Estimator, _Columns, DefaultParamsReadable, Defaul
         return rules.after(state, found)
 
 
+def packed(rows: DataFrame, numbers: int) -> DataFrame:
+    """Batches of rows as two byte strings, the numbers and the codes column by column.
+
+    A scan then hands bytes over to Python; it would convert every value of every row, in every step.
+    """
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting, count = [], 0
+        for batch in batches:
+            waiting.append(batch)
+            count += batch.num_rows
+            if count >= PACKED_ROWS:
+                yield joined(waiting)
+                waiting, count = [], 0
+        if count:
+            yield joined(waiting)
+
+    def joined(found: list[pa.RecordBatch]) -> pa.RecordBatch:
+        columns = [c.to_numpy() for c in pa.Table.from_batches(found).columns]
+        parts = [
+            b"".join(c.astype(kind).tobytes() for c in some)
+            for some, kind in ((columns[: 2 + numbers], np.float64), (columns[2 + numbers :], np.int32))
+        ]
+        return pa.RecordBatch.from_arrays([pa.array([p], pa.binary()) for p in parts], ["numbers", "codes"])
+
+    return rows.mapInArrow(pack, "numbers binary, codes binary")
+
+
+def _matrix(data: pa.Scalar, kind: type, columns: int) -> np.ndarray:
+    """The columns of a byte string, a row each; none if there are no columns."""
+    flat = np.frombuffer(data.as_buffer(), dtype=kind)
+    return flat.reshape(columns, -1) if columns else flat.reshape(0, 0)
+
+
 def summed(sums: DataFrame, parts: int) -> np.ndarray:
     """The sum of a vector per part (column total), added up by fewer and fewer tasks."""
     while parts > FEW_VECTORS:

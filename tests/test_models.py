@@ -116,6 +116,17 @@ def test_descent_equals_dense_numpy(spark, joint, held, monkeypatch):
     assert 0 <= model.accuracy(df) <= 1
 
 
+def test_a_step_scans_packed_rows(spark):
+    """A row per batch instead of a row per row of the table, with all its numbers and codes."""
+    rows = spark.createDataFrame([(2.0, 1.0, i / 8.0, i % 3, -1) for i in range(50)], "n double, s double, x double, c int, d int")
+    packed = gradient_descent.packed(rows.coalesce(1), 1).collect()
+    assert len(packed) == 1
+    numbers = np.frombuffer(packed[0].numbers).reshape(3, 50)
+    codes = np.frombuffer(packed[0].codes, dtype=np.int32).reshape(2, 50)
+    assert numbers[2].tolist() == [i / 8.0 for i in range(50)] and set(numbers[0]) == {2.0}
+    assert codes[0].tolist() == [i % 3 for i in range(50)] and set(codes[1]) == {-1}
+
+
 @pytest.mark.parametrize("held", [1 << 30, 0])
 def test_resumed_descent_equals_an_uninterrupted_one(spark, tmp_path, held, monkeypatch):
     monkeypatch.setattr(gradient_descent, "HELD_BYTES", held)
