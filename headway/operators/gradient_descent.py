@@ -6,10 +6,10 @@ share of the gradient a sum of residuals by code. Rows with equal features are f
 to one weighted row before the first step, so a step reads distinct rows only.
 
 Folded rows of up to ``HELD_BYTES`` (counted, not guessed) are held by one task that
-makes many steps in one job. Beyond that every step is one scan: each task adds up the
-gradient of its rows as one vector, and the vectors are summed level by level until few
-are left. Weights live on the driver and reach each step as a broadcast variable of one
-number per weight. With ``stateDir`` the state is written every ``stateEvery`` steps, and a
+makes many steps in one job. Beyond that every step is one scan of packed rows that lie
+mapped into memory where the tasks run (``pieces``): each task adds up the gradient of its
+rows as one vector. Weights live on the driver and reach each step as a broadcast variable
+of one number per weight. With ``stateDir`` the state is written every ``stateEvery`` steps, and a
 fit with the same data and settings goes on from the last state found there.
 """
 
@@ -22,7 +22,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel, keyword_only
+from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headway.functions.numeric import sigmoid
+from headway.operators.pieces import Pieces, matrix, piece_number
 from headway.session import materialise, ship_code
 
 
@@ -124,6 +125,30 @@ class Rules:
             total[2 + int(start) : 2 + int(start) + len(found)] += found
         return total, residual
 
+    def add_packed(
+        self, total: np.ndarray, state: State, values: np.ndarray, codes: np.ndarray, bounds: list[int]
+    ) -> None:
+        """Adds ``sums`` of packed rows to a total; codes without a weight are -1, others count within their block."""
+        w, numbers = state.weights, len(values) - 2
+        n, s, x = values[0], values[1], values[2:]
+        score = w[:numbers] @ x
+        score += state.bias
+        shifted = []
+        for column, low, high in zip(codes, bounds, bounds[1:], strict=False):
+            shifted.append(column + 1)  # 0: no weight
+            score += np.append(0.0, w[low:high]).take(shifted[-1])
+        np.negative(score, out=score)
+        np.exp(score, out=score)
+        score += 1.0
+        p = np.divide(1.0, score, out=score)
+        total[0] -= s @ np.log(p + self.eps) + (n - s) @ np.log(1 - p + self.eps)
+        residual = n * p
+        residual -= s
+        total[1] += residual.sum()
+        total[2 : 2 + numbers] += x @ residual
+        for column, low, high in zip(shifted, bounds, bounds[1:], strict=False):
+            total[2 + low : 2 + high] += np.bincount(column, residual, high - low + 1)[1:]
+
     def after(self, state: State, total: np.ndarray, squares: tuple[float, float] = (0.0, 0.0)) -> State:
         """The state one step on; done when the slopes are short enough or the steps used up.
 
@@ -244,19 +269,20 @@ class GradientDescentLogistic(Estimator, _Columns, DefaultParamsReadable, Defaul
 
         rows = rows.select("_n", "_s", *numeric, *index)
         held = distinct * (8 * (2 + len(numeric)) + 4 * len(index)) <= HELD_BYTES
-        parts = 0 if held else rows.rdd.getNumPartitions()
         if not held:
-            rows = packed(rows, len(numeric)).persist(StorageLevel.MEMORY_AND_DISK)
+            spread = rows.repartition(piece_number(spark, distinct), *rows.columns)
+            pieces = Pieces(packed(spread, len(numeric)), "packed")
         while not state.done:
             until = min(rules.most, state.step + get("stateEvery"))
             if held:
                 state = self._held(rows, state, until, rules, len(numeric), starts)
             else:
                 while state.step < until and not state.done:
-                    state = self._scanned(rows, parts, state, rules, len(numeric), starts)
+                    state = self._scanned(pieces, state, rules, len(numeric), starts)
             if folder:
                 _save(spark, folder, signature, state)
-        rows.unpersist()
+        if not held:
+            pieces.close()
 
         model = GradientDescentLogisticModel()
         model._set(
@@ -290,22 +316,16 @@ class GradientDescentLogistic(Estimator, _Columns, DefaultParamsReadable, Defaul
         return State(last.bias, np.array(last.weights), last.step, list(last.history), last.done)
 
     @staticmethod
-    def _scanned(rows, parts: int, state: State, rules: Rules, numbers: int, starts) -> State:
+    def _scanned(pieces: Pieces, state: State, rules: Rules, numbers: int, starts) -> State:
         """The state one step on, from one scan of the rows."""
-        shared = rows.sparkSession.sparkContext.broadcast(state)
+        bounds = [int(s) for s in starts]
 
-        def gradient(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            now = shared.value
-            total = np.zeros(len(now.weights) + 2)
-            for batch in batches:
-                for numeric, codes in zip(batch.column(0), batch.column(1), strict=True):
-                    columns = [*_matrix(numeric, np.float64, 2 + numbers), *_matrix(codes, np.int32, len(starts) - 1)]
-                    total += rules.sums(now, columns, numbers, starts)
-            yield _vector(total)
+        def added(total: np.ndarray, batch: pa.RecordBatch, now: State) -> None:
+            values = matrix(batch.column(0)[0], np.float64, 2 + numbers)
+            codes = matrix(batch.column(1)[0], np.int32, len(bounds) - 1)
+            rules.add_packed(total, now, values, codes, bounds)
 
-        found = summed(rows.mapInArrow(gradient, "total binary"), parts)
-        shared.destroy()
-        return rules.after(state, found)
+        return rules.after(state, pieces.sums(len(state.weights) + 2, state, added))
 
 
 def packed(rows: DataFrame, numbers: int) -> DataFrame:
@@ -336,12 +356,6 @@ def packed(rows: DataFrame, numbers: int) -> DataFrame:
     return rows.mapInArrow(pack, "numbers binary, codes binary")
 
 
-def _matrix(data: pa.Scalar, kind: type, columns: int) -> np.ndarray:
-    """The columns of a byte string, a row each; none if there are no columns."""
-    flat = np.frombuffer(data.as_buffer(), dtype=kind)
-    return flat.reshape(columns, -1) if columns else flat.reshape(0, 0)
-
-
 def summed(sums: DataFrame, parts: int) -> np.ndarray:
     """The sum of a vector per part (column total), added up by fewer and fewer tasks."""
     while parts > FEW_VECTORS:

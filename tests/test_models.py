@@ -1,3 +1,5 @@
+import os
+
 import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
@@ -5,7 +7,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from headway import schema as S
-from headway.operators import encoding, gradient_descent, models
+from headway.operators import encoding, gradient_descent, models, pieces
 from headway.operators.gradient_descent import GradientDescentLogistic
 from headway.operators.wide_descent import WideDescentLogistic, WideDescentModel
 from headway.plans import training
@@ -127,6 +129,29 @@ def test_a_step_scans_packed_rows(spark):
     assert codes[0].tolist() == [i % 3 for i in range(50)] and set(codes[1]) == {-1}
 
 
+@pytest.mark.parametrize("limit", [1 << 30, 0])
+def test_pieces_are_mapped_where_they_are_scanned(spark, limit, monkeypatch):
+    """A scan plans no query and takes its rows from a local copy, which is made again when it is lost."""
+    monkeypatch.setattr(pieces, "DRIVER_BYTES", limit)
+    rows = spark.createDataFrame([(2.0, 1.0, float(i), i % 3) for i in range(90)], "n double, s double, x double, c int")
+    scanned = pieces.Pieces(gradient_descent.packed(rows.repartition(3, "x"), 1), "pieces")
+
+    def added(total, batch, state):
+        values = pieces.matrix(batch.column(0)[0], np.float64, 3)
+        codes = pieces.matrix(batch.column(1)[0], np.int32, 1)
+        total[:3] += np.bincount(codes[0], values[2] * state, 3)
+        total[3] += values.shape[1]
+
+    want = [sum(i for i in range(90) if i % 3 == k) * 2.0 for k in range(3)] + [90.0]
+    assert scanned.sums(4, 2.0, added).tolist() == want
+    copies = [c for files in scanned.files.map(lambda p: pieces.local_copy(p)).glom().collect() for c in files]
+    assert len(copies) == 3 and all(os.path.exists(c) for c in copies)
+    os.remove(copies[0])
+    assert scanned.sums(4, 2.0, added).tolist() == want
+    scanned.close()
+    assert not any(os.path.exists(c) for c in copies)
+
+
 @pytest.mark.parametrize("held", [1 << 30, 0])
 def test_resumed_descent_equals_an_uninterrupted_one(spark, tmp_path, held, monkeypatch):
     monkeypatch.setattr(gradient_descent, "HELD_BYTES", held)
