@@ -7,7 +7,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from headway import schema as S
-from headway.operators import encoding, gradient_descent, models, pieces
+from headway.operators import encoding, gradient_descent, models, pieces, wide_logistic
 from headway.operators.gradient_descent import GradientDescentLogistic
 from headway.operators.wide_descent import WideDescentLogistic, WideDescentModel
 from headway.plans import training
@@ -233,6 +233,26 @@ def test_wide_descent_resumes_stops_saves_and_refuses(spark, tmp_path):
         WideDescentLogistic(numericCols=["a"], levelCols=["stop"]).fit(df.where("is_delayed = 1"))
 
 
+@pytest.mark.parametrize("hot", [20, 1000])
+def test_logistic_beyond_the_levels_of_a_driver_equals_the_one_on_it(spark, hot, monkeypatch):
+    """Rare levels' weights never reach the driver, the optimum is the same; two such columns are refused."""
+    monkeypatch.setattr(wide_logistic.fit, "__defaults__", (1000, hot))
+    monkeypatch.setattr(wide_logistic, "PACKED_ROWS", 50)
+    df = wide_rows(spark, 400).repartition(3)
+    near = models.fit_logistic(df, numeric=["a"], categorical=["stop", "line"])
+    wide = models.fit_logistic(df, numeric=["a"], categorical=["stop", "line"], max_levels=30)
+    levels = wide.stages[-1].level_weights(spark).collect()
+    assert len(levels) == len({(r.block, r.level) for r in levels}) == len(wide.stages[-1].level_weights(spark).distinct().collect())
+    assert any(r.held and r.level == "hot" for r in levels) == (hot == 20)
+    odd = df.unionByName(df.where("a > 1.5").withColumn("stop", F.lit("unseen")).withColumn("line", F.lit(None).cast("string")))
+    scores = [models.score(m, odd).orderBy("a", "stop").select("pred_proba_delayed").toPandas() for m in (near, wide)]
+    assert np.abs(scores[0] - scores[1]).to_numpy().max() < 1e-3
+    names = [{r.feature for r in models.coefficients(m, df).collect()} for m in (near, wide)]
+    assert len(names[0]) == len(names[1])
+    with pytest.raises(encoding.TooManyLevels, match="line"):
+        models.fit_logistic(df, numeric=["a"], categorical=["stop", "line"], max_levels=3)
+
+
 def test_start_weights_are_those_of_one_generator_per_block():
     block = gradient_descent.START_BLOCK
     all_of = gradient_descent.start_weights(7, 0.1, np.arange(2 * block + 5))
