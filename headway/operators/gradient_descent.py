@@ -7,9 +7,9 @@ to one weighted row before the first step, so a step reads distinct rows only.
 
 Folded rows of up to ``HELD_BYTES`` (counted, not guessed) are held by one task that
 makes many steps in one job. Beyond that every step is one scan of packed rows that lie
-mapped into memory where the tasks run (``pieces``): each task adds up the gradient of its
-rows as one vector. Weights live on the driver and reach each step as a broadcast variable
-of one number per weight. With ``stateDir`` the state is written every ``stateEvery`` steps, and a
+mapped into memory where the tasks run (``pieces``), columns that take few values together
+sharing a dictionary (``grouped``): each task adds up the gradient of its rows as one vector,
+and the vectors meet in the shared folder or on the driver (``steps``). With ``stateDir`` the state is written every ``stateEvery`` steps, and a
 fit with the same data and settings goes on from the last state found there.
 """
 
@@ -31,7 +31,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headway.functions.numeric import sigmoid
-from headway.operators.pieces import Pieces, matrix, piece_number
+from headway.operators.grouped import blocks, compressed
+from headway.operators.pieces import Pieces, piece_number
+from headway.operators.steps import Steps
 from headway.session import materialise, ship_code
 
 
@@ -45,7 +47,7 @@ START_BLOCK = 65_536
 HELD_BYTES = 128 * 1024 * 1024
 
 # Rows that a scan reads as one byte string each for numbers and codes.
-PACKED_ROWS = 16_384
+PACKED_ROWS = 65_536
 
 
 class _Columns(Params):
@@ -125,30 +127,6 @@ class Rules:
             total[2 + int(start) : 2 + int(start) + len(found)] += found
         return total, residual
 
-    def add_packed(
-        self, total: np.ndarray, state: State, values: np.ndarray, codes: np.ndarray, bounds: list[int]
-    ) -> None:
-        """Adds ``sums`` of packed rows to a total; codes without a weight are -1, others count within their block."""
-        w, numbers = state.weights, len(values) - 2
-        n, s, x = values[0], values[1], values[2:]
-        score = w[:numbers] @ x
-        score += state.bias
-        shifted = []
-        for column, low, high in zip(codes, bounds, bounds[1:], strict=False):
-            shifted.append(column + 1)  # 0: no weight
-            score += np.append(0.0, w[low:high]).take(shifted[-1])
-        np.negative(score, out=score)
-        np.exp(score, out=score)
-        score += 1.0
-        p = np.divide(1.0, score, out=score)
-        total[0] -= s @ np.log(p + self.eps) + (n - s) @ np.log(1 - p + self.eps)
-        residual = n * p
-        residual -= s
-        total[1] += residual.sum()
-        total[2 : 2 + numbers] += x @ residual
-        for column, low, high in zip(shifted, bounds, bounds[1:], strict=False):
-            total[2 + low : 2 + high] += np.bincount(column, residual, high - low + 1)[1:]
-
     def after(self, state: State, total: np.ndarray, squares: tuple[float, float] = (0.0, 0.0)) -> State:
         """The state one step on; done when the slopes are short enough or the steps used up.
 
@@ -270,18 +248,22 @@ class GradientDescentLogistic(Estimator, _Columns, DefaultParamsReadable, Defaul
         rows = rows.select("_n", "_s", *numeric, *index)
         held = distinct * (8 * (2 + len(numeric)) + 4 * len(index)) <= HELD_BYTES
         if not held:
+            # rows of a level lie together, so that a packed row has few of them
+            order = sorted(range(len(index)), key=lambda i: -sizes[i])
             spread = rows.repartition(piece_number(spark, distinct), *rows.columns)
-            pieces = Pieces(packed(spread, len(numeric)), "packed")
+            spread = spread.sortWithinPartitions(*[index[i] for i in order], *rows.columns)
+            pieces = Pieces(spread, "packed", grouped_rows(len(numeric), [int(s) for s in starts[:-1]], size))
+            steps = Steps(pieces, rules, size)
         while not state.done:
             until = min(rules.most, state.step + get("stateEvery"))
             if held:
                 state = self._held(rows, state, until, rules, len(numeric), starts)
             else:
-                while state.step < until and not state.done:
-                    state = self._scanned(pieces, state, rules, len(numeric), starts)
+                state = steps.advanced(state, until)
             if folder:
                 _save(spark, folder, signature, state)
         if not held:
+            steps.close()
             pieces.close()
 
         model = GradientDescentLogisticModel()
@@ -315,45 +297,42 @@ class GradientDescentLogistic(Estimator, _Columns, DefaultParamsReadable, Defaul
         shared.destroy()
         return State(last.bias, np.array(last.weights), last.step, list(last.history), last.done)
 
-    @staticmethod
-    def _scanned(pieces: Pieces, state: State, rules: Rules, numbers: int, starts) -> State:
-        """The state one step on, from one scan of the rows."""
-        bounds = [int(s) for s in starts]
-
-        def added(total: np.ndarray, batch: pa.RecordBatch, now: State) -> None:
-            values = matrix(batch.column(0)[0], np.float64, 2 + numbers)
-            codes = matrix(batch.column(1)[0], np.int32, len(bounds) - 1)
-            rules.add_packed(total, now, values, codes, bounds)
 
-        return rules.after(state, pieces.sums(len(state.weights) + 2, state, added))
+def grouped_rows(numbers: int, starts: list[int], none: int, wide: bool = False):
+    """Makes packed rows with dictionaries from the batches of a partition."""
 
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        plain = packed_batches(batches, 2 + numbers + 2 * wide)
+        return compressed(blocks(plain, 2 + numbers, starts, none, wide), wide)
 
-def packed(rows: DataFrame, numbers: int) -> DataFrame:
-    """Batches of rows as two byte strings, the numbers and the codes column by column.
+    return pack
 
-    A scan then hands bytes over to Python; it would convert every value of every row, in every step.
-    """
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting, count = [], 0
-        for batch in batches:
-            waiting.append(batch)
-            count += batch.num_rows
-            if count >= PACKED_ROWS:
-                yield joined(waiting)
-                waiting, count = [], 0
-        if count:
-            yield joined(waiting)
+def packed_batches(batches: Iterator[pa.RecordBatch], numbers: int) -> Iterator[pa.RecordBatch]:
+    """Rows as two byte strings, the numbers and the codes column by column."""
 
     def joined(found: list[pa.RecordBatch]) -> pa.RecordBatch:
         columns = [c.to_numpy() for c in pa.Table.from_batches(found).columns]
         parts = [
             b"".join(c.astype(kind).tobytes() for c in some)
-            for some, kind in ((columns[: 2 + numbers], np.float64), (columns[2 + numbers :], np.int32))
+            for some, kind in ((columns[:numbers], np.float64), (columns[numbers:], np.int32))
         ]
         return pa.RecordBatch.from_arrays([pa.array([p], pa.binary()) for p in parts], ["numbers", "codes"])
 
-    return rows.mapInArrow(pack, "numbers binary, codes binary")
+    waiting, count = [], 0
+    for batch in batches:
+        waiting.append(batch)
+        count += batch.num_rows
+        if count >= PACKED_ROWS:
+            yield joined(waiting)
+            waiting, count = [], 0
+    if count:
+        yield joined(waiting)
+
+
+def packed(rows: DataFrame, numbers: int) -> DataFrame:
+    """Batches of weighted rows, positives, ``numbers`` numbers and codes as two byte strings."""
+    return rows.mapInArrow(lambda batches: packed_batches(batches, 2 + numbers), "numbers binary, codes binary")
 
 
 def summed(sums: DataFrame, parts: int) -> np.ndarray:

@@ -1,13 +1,15 @@
+import json
 import os
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from headway import schema as S
-from headway.operators import encoding, gradient_descent, models, pieces, wide_logistic
+from headway.operators import encoding, gradient_descent, grouped, models, pieces, steps, wide_logistic
 from headway.operators.gradient_descent import GradientDescentLogistic
 from headway.operators.wide_descent import WideDescentLogistic, WideDescentModel
 from headway.plans import training
@@ -129,6 +131,46 @@ def test_a_step_scans_packed_rows(spark):
     assert codes[0].tolist() == [i % 3 for i in range(50)] and set(codes[1]) == {-1}
 
 
+def test_columns_that_go_together_share_a_dictionary(spark):
+    """Sums over packed rows are those over the rows; stops and what belongs to them become one code."""
+    rng = np.random.default_rng(8)
+    stop = np.sort(rng.integers(-1, 40, 900))
+    count = np.where(rng.random(900) < 0.1, 3.0, 1.0)
+    columns = [count, np.floor(rng.random(900) * (count + 1)), rng.normal(size=900), np.cos(stop), stop % 7, stop, rng.integers(0, 2, 900)]
+    starts = [2, 42]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, pa.float64() if i < 4 else pa.int32()) for i, c in enumerate([*columns[:4], *columns[5:]])], list("nsxzcd"))
+    state, rules = gradient_descent.State(0.2, rng.normal(size=44)), gradient_descent.Rules(1.0, 0.1, 0.0, 0.0, 1e-12, True, False, 1)
+    packed = list(gradient_descent.grouped_rows(2, starts, 44)(iter([batch.slice(0, 500), batch.slice(500)])))
+    rows, simple, dense, groups = json.loads(packed[0].column(0)[0].as_py())
+    assert len(packed) == 1 and (rows, simple, dense) == (900, int((count == 1).sum()), [0])
+    assert len(groups) == 1 and groups[0][:2] == [[1], 2] and groups[0][3] <= 82
+    total = np.zeros(47)
+    grouped.add_grouped(total, 0.2, np.append(state.weights, 0.0), 1e-12, packed[0])
+    assert total[:-1] == pytest.approx(rules.sums(state, [c.to_numpy() for c in batch.columns], 2, starts), rel=1e-9)
+
+
+@pytest.mark.parametrize("tasks", [0, 2, 32])
+def test_tasks_make_many_steps_in_a_job(spark, tasks, monkeypatch):
+    """3,500 steps take a job for many of them, not a job each, with the weights of a job each."""
+    monkeypatch.setattr(gradient_descent, "HELD_BYTES", 0)
+    monkeypatch.setattr(steps, "EXCHANGING_TASKS", tasks)
+    ways = []
+    for way in ("_one", "_many"):
+        plain = getattr(steps.Steps, way)
+        monkeypatch.setattr(steps.Steps, way, lambda self, *a, plain=plain, way=way: ways.append(way) or plain(self, *a))
+    rng = np.random.default_rng(4)
+    rows = [(float(rng.normal()), int(rng.integers(0, 9)), int(rng.integers(0, 2))) for _ in range(300)]
+    df = spark.createDataFrame(rows, "a double, c int, is_delayed int").repartition(4)
+    settings = dict(numericCols=["a"], indexCols=["c"], maxIter=14, tol=0.0, learningRate=0.3)
+    many = GradientDescentLogistic(**settings).fit(df)
+    parallel = spark.sparkContext.defaultParallelism
+    assert ways[:1] == (["_many"] if parallel <= tasks else ["_one"])
+    monkeypatch.setattr(gradient_descent, "HELD_BYTES", 1 << 30)
+    held = GradientDescentLogistic(**settings).fit(df)
+    for name in ("weights", "lossHistory"):
+        assert many.getOrDefault(name) == pytest.approx(held.getOrDefault(name), rel=1e-9)
+
+
 @pytest.mark.parametrize("limit", [1 << 30, 0])
 def test_pieces_are_mapped_where_they_are_scanned(spark, limit, monkeypatch):
     """A scan plans no query and takes its rows from a local copy, which is made again when it is lost."""
