@@ -9,7 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from headway import schema as S
-from headway.operators import encoding, gradient_descent, grouped, models, pieces, steps, wide_logistic
+from headway.operators import encoding, gradient_descent, grouped, models, pieces, steps, wide_descent, wide_logistic
 from headway.operators.gradient_descent import GradientDescentLogistic
 from headway.operators.wide_descent import WideDescentLogistic, WideDescentModel
 from headway.plans import training
@@ -250,6 +250,27 @@ def test_weights_in_a_table_equal_weights_on_the_driver(spark, joint, limit):
     assert scores[1] == pytest.approx(scores[0], rel=1e-9)
 
 
+@pytest.mark.parametrize("tasks", [0, 32])
+def test_weights_of_one_wide_column_lie_with_its_rows(spark, tmp_path, tasks, monkeypatch):
+    """No step joins a table where one column alone is wide, resumed or not; weights are those on the driver."""
+    monkeypatch.setattr(steps, "EXCHANGING_TASKS", tasks)
+    monkeypatch.setattr(wide_descent, "HOT_ROWS", 70)
+    monkeypatch.setattr(WideDescentLogistic, "_step", None)
+    df = wide_rows(spark).repartition(3)
+    settings = dict(numericCols=["a"], levelCols=["stop", "line"], learningRate=0.5, tol=0.0, biasInWeights=True)
+    fit = lambda most, **more: WideDescentLogistic(maxIter=most, heldLevels=30, **settings, **more).fit(df)
+    whole, folder = fit(13), str(tmp_path / "state")
+    fit(5, stateDir=folder, stateEvery=2)
+    again = fit(13, stateDir=folder, stateEvery=2)
+    found = {(r.block, r.level): (r.held, r.weight) for r in whole.level_weights(spark).collect()}
+    assert [k for k, v in found.items() if k[0] == 0 and v[0]] == [(0, "hot")] and len(found) > 60
+    assert {(r.block, r.level): r.weight for r in again.level_weights(spark).collect()} == pytest.approx({k: v[1] for k, v in found.items()}, rel=1e-12)
+    monkeypatch.undo()
+    joined = WideDescentLogistic(maxIter=13, heldLevels=5, **settings).fit(df)
+    assert whole.getOrDefault("lossHistory") == pytest.approx(joined.getOrDefault("lossHistory"), rel=1e-9)
+    assert {(r.block, r.level): r.weight for r in joined.level_weights(spark).collect()} == pytest.approx({k: v[1] for k, v in found.items()}, rel=1e-9)
+
+
 def test_wide_descent_resumes_stops_saves_and_refuses(spark, tmp_path):
     df = wide_rows(spark, 90)
 
