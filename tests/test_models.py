@@ -194,6 +194,25 @@ def test_pieces_are_mapped_where_they_are_scanned(spark, limit, monkeypatch):
     assert not any(os.path.exists(c) for c in copies)
 
 
+def test_pieces_are_written_row_by_row(spark):
+    """Packed rows go from the task that packs them to an Arrow file; none passes the JVM or waits for the others."""
+    rows = spark.createDataFrame([(1.0, 0.0, float(i), 1, f"s{i // 4:02d}") for i in range(90)], "w double, a double, x double, c int, l string")
+    whole = wide_logistic.packing(3, 1)
+
+    def pack(batches):
+        for batch in batches:
+            for start in range(0, batch.num_rows, 8):
+                yield from whole(iter([batch.slice(start, 8)]))
+
+    scanned = pieces.Pieces(rows.coalesce(1), "rows", pack)
+    (path,) = scanned.paths
+    found = [b.num_rows for b in pieces.mapped(path)]
+    assert path.endswith(".arrow") and found == [1] * 12
+    levels = scanned.table(lambda p: (pa.RecordBatch.from_arrays([b.column(2).flatten()], ["l"]) for b in pieces.mapped(p)), "l string")
+    assert {r.l for r in levels.collect()} == {f"s{k:02d}" for k in range(23)}
+    scanned.close()
+
+
 @pytest.mark.parametrize("held", [1 << 30, 0])
 def test_resumed_descent_equals_an_uninterrupted_one(spark, tmp_path, held, monkeypatch):
     monkeypatch.setattr(gradient_descent, "HELD_BYTES", held)
